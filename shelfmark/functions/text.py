@@ -92,11 +92,8 @@ def stem_of(file_name: Column | str) -> Column:
 
 
 def content_type(path: Column | str) -> Column:
-    ext = extension_of(path)
-    expr = F.lit(DEFAULT_CONTENT_TYPE)
-    for known, mime in CONTENT_TYPES.items():
-        expr = F.when(ext == known, mime).otherwise(expr)
-    return expr
+    known = F.create_map(*[F.lit(x) for pair in CONTENT_TYPES.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, extension_of(path)), F.lit(DEFAULT_CONTENT_TYPE))
 
 
 def relative_path(path: Column | str, root: str) -> Column:

@@ -137,8 +137,7 @@ def todo_items(items: DataFrame, verdicts: DataFrame, key: Sequence[str]) -> Dat
 
 def lookup(collections: DataFrame, name: str) -> DataFrame:
     """The named collection, or one row with ``found`` false."""
-    spark = collections.sparkSession
-    wanted = spark.createDataFrame([(name,)], "name string")
+    wanted = collections.sparkSession.range(1).select(F.lit(name).alias("name"))
     hit = collections.filter(F.col("name") == name).withColumn("found", F.lit(True))
     return wanted.join(hit, "name", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
