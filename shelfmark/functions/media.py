@@ -77,8 +77,7 @@ def jpeg_size(content: bytes) -> tuple[int, int]:
     return 0, 0
 
 
-@F.pandas_udf("struct<width: bigint, height: bigint>")
-def _jpeg_size(content: pd.Series) -> pd.DataFrame:
+def _jpeg_sizes(content: pd.Series) -> pd.DataFrame:
     sizes = [jpeg_size(bytes(c)) if c is not None else (0, 0) for c in content]
     return pd.DataFrame(sizes, columns=["width", "height"])
 
@@ -122,5 +121,6 @@ def header_size(content: Column | str, with_jpeg: bool = True) -> Column:
         .when(is_webp(c) & (F.octet_length(c) >= 30), webp)
     )
     if with_jpeg:
-        sized = sized.when(is_jpeg(c), _jpeg_size(F.when(is_jpeg(c), c)))
+        walk = F.pandas_udf(_jpeg_sizes, "struct<width: bigint, height: bigint>")
+        sized = sized.when(is_jpeg(c), walk(F.when(is_jpeg(c), c)))
     return sized.otherwise(pair(zero, zero))

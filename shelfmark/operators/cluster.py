@@ -97,13 +97,15 @@ def leader_clusters(
     threshold: float = CLUSTER_THRESHOLD,
     batch: int = BATCH,
     chunk: int = CHUNK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Cluster of every row: group, item, idx, leader (the leader's idx), leader_sim.
 
     Groups of up to ``batch`` rows are decided in one step. For larger ones the first ``batch``
     undecided rows of every group are decided together, all later rows are matched against the new
     leaders in chunks, and what found no leader goes into the next round. Each round is written, so
-    a lost executor costs no more than the round's own tasks.
+    a lost executor costs no more than the round's own tasks. The result is written, too: whatever
+    is read off the clusters looks at it more than once.
     """
     keyed = rows.select(
         F.col(group).alias("_g"), F.col(item).alias("item"), unit(vector).alias("vec"),
@@ -118,10 +120,11 @@ def leader_clusters(
     columns = ["_g", "idx", "item", "vec"]
     biggest = largest_group(rows, [group])
     if biggest <= batch:
-        placed = ordered_index(keyed, ["_g"], by_order).select(*columns)
-        return _named(placed.groupBy("_g").applyInArrow(_decide_batch(threshold), decided_schema), group, item)
+        placed = ordered_index(keyed, ["_g"], by_order, biggest=biggest).select(*columns)
+        decided = placed.groupBy("_g").applyInArrow(_decide_batch(threshold), decided_schema)
+        return stage(_named(decided, group, item), "clusters")
 
-    index = ordered_index(keyed.drop("vec"), ["_g"], by_order, span=chunk).select("_g", "item", "idx")
+    index = ordered_index(keyed.drop("vec"), ["_g"], by_order, span=chunk, biggest=biggest).select("_g", "item", "idx")
     undecided = stage(keyed.select("_g", "item", "vec").join(index, ["_g", "item"]).select(*columns), "cluster")
     parts = []
     while True:
@@ -130,27 +133,25 @@ def leader_clusters(
             F.count(F.lit(1)).alias("_n")
         )
         running = Window.partitionBy("_g").orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-        cut = (
+        cut = stage(
             slices.withColumn("_sum", F.sum("_n").over(running))
             .groupBy("_g")
             .agg(
                 F.max(F.when(F.col("_sum") <= batch, (F.col("_slice") + 1) * batch)).alias("_end"),
                 F.max("_slice").alias("_last"),
-            )
+            ),
+            "cut",
         )
-        bounded = attach(undecided, cut, ["_g"], ["idx"], "inner", HOT_ROWS)
+        bounded = attach(undecided, cut, ["_g"], ["idx"], "inner", hot_rows)
         head = bounded.filter(F.col("idx") < F.col("_end")).select(*columns)
         decided = stage(head.groupBy("_g").applyInArrow(_decide_batch(threshold), decided_schema), "cluster")
         parts.append(decided)
 
-        rest = bounded.filter(F.col("idx") >= F.col("_end")).withColumn("_chunk", F.floor(F.col("idx") / chunk))
+        place = F.floor(F.col("idx") / chunk).alias("_chunk")
+        rest = bounded.filter(F.col("idx") >= F.col("_end")).select(*columns, place)
         leaders = decided.filter(F.col("leader") == F.col("idx")).select(*columns).join(cut, "_g")
-        copies = leaders.repartition("_g", "idx").withColumn(
-            "_chunk",
-            F.explode(
-                F.sequence(F.floor(F.col("_end") / chunk), F.floor((F.col("_last") + 1) * batch / chunk))
-            ),
-        )
+        chunks = F.sequence(F.floor(F.col("_end") / chunk), F.floor((F.col("_last") + 1) * batch / chunk))
+        copies = leaders.repartition("_g", "idx").select(*columns, F.explode(chunks).alias("_chunk"))
         matched = stage(
             rest.groupBy("_g", "_chunk")
             .cogroup(copies.groupBy("_g", "_chunk"))

@@ -8,26 +8,28 @@ from pyspark.sql import functions as F
 from shelfmark.constants import SHARD_MB
 from shelfmark.functions.vectors import letter_counts
 from shelfmark.operators import packing, quality, sequence, verdicts
-from shelfmark.scale import HOT_ROWS, SPAN, attach
+from shelfmark.scale import HOT_ROWS, SPAN, attach, largest_group
+from shelfmark.storage import stage
 
 
-def with_context(items: DataFrame, hash_column: Column, span: int = SPAN, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """collection_id, item_id → key and filler flags from the items' texts."""
-    narrow = items.select("collection_id", "item_id", hash_column.alias("hash"))
-    featured = letter_counts(items.select("collection_id", "item_id", hash_column.alias("hash"), "text"), "text")
-    flags = sequence.sequence_flags(
-        featured, ["collection_id"], ["item_id"], [F.col("item_id")], span=span, narrow=narrow
+def item_features(items: DataFrame, broken: Column, hash_column: Column) -> DataFrame:
+    """Everything later stages need of an item's payload, from one pass over it, written once."""
+    narrow = items.select(
+        "collection_id",
+        "item_id",
+        "bytes",
+        sequence.fingerprint(F.col("text")).alias("fingerprint"),
+        broken.alias("broken"),
+        hash_column.alias("hash"),
+        "text",
     )
-    summaries = sequence.sequence_summary(flags, ["collection_id"])
-    keyed = items.select("collection_id", "item_id")
-    return sequence.item_context(keyed, flags, summaries, ["collection_id"], ["item_id"], hot_rows)
+    return stage(letter_counts(narrow, "text"), "features")
 
 
 def curate(
-    items: DataFrame,
+    features: DataFrame,
     responses: DataFrame,
     labels: DataFrame,
-    broken: Column,
     config: dict,
     target_mb: float = SHARD_MB,
     run_sequence: bool = True,
@@ -37,28 +39,40 @@ def curate(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Clean items with flags, scores, collection label and shard; each stage can be left out."""
-    kept = items.select("collection_id", "item_id", "bytes")
+    group, key = ["collection_id"], ["item_id"]
+    keyed = features.select("collection_id", "item_id")
+    biggest = largest_group(keyed, group)
+    kept = features.select("collection_id", "item_id", "bytes")
     if run_quality:
-        checked = items.select(
-            "collection_id", "item_id", "bytes", sequence.fingerprint(F.col("text")).alias("fingerprint"), broken.alias("_broken")
-        )
-        whole = checked.filter(~F.col("_broken")).drop("_broken")
+        whole = features.filter(~F.col("broken")).select("collection_id", "item_id", "bytes", "fingerprint")
         first = quality.first_copies(whole, "fingerprint", "item_id").select("item_id")
-        kept = whole.join(first, "item_id", "left_semi").select("collection_id", "item_id", "bytes")
-    shards = packing.assign_shards(kept.select("item_id", "bytes"), target_mb, span=span)
-    out = kept.join(shards.drop("bytes"), "item_id")
+        kept = stage(whole.join(first, "item_id", "left_semi").select("collection_id", "item_id", "bytes"), "kept")
+    out = packing.assign_shards(kept, target_mb, span=span)
     if run_sequence:
-        context = with_context(items, F.col("lang"), span, hot_rows)
-        out = out.join(context.select("item_id", "is_key", "is_filler"), "item_id", "left")
-    else:
-        out = out.withColumns({"is_key": F.lit(False), "is_filler": F.lit(False)})
+        flags = sequence.sequence_flags(
+            features.select("collection_id", "item_id", "hash", "hist"), group, key, [F.col("item_id")], span=span
+        )
+        gates = sequence.sequence_gates(features, group)
+        analyzed = gates.filter(F.col("status") == "analyzed").select("collection_id", F.lit(True).alias("_ok"))
+        labels = labels.join(analyzed, "collection_id", "full")
+        out = out.join(flags.select("item_id", "is_key", "is_filler"), "item_id", "left")
     if run_scoring:
         parsed = verdicts.parse_lines(responses).select("item_id", "ai_score", "ai_factors")
+        out = out.join(parsed, "item_id", "left")
+    # One join brings all that is known of the collection: its label and whether it was analysed.
+    out = attach(out, labels, group, key, "left", hot_rows, keyed, biggest)
+    none = F.lit(False)
+    if run_sequence:
+        ok = F.coalesce("_ok", none)
+        out = out.withColumns({"is_key": ok & F.coalesce("is_key", none), "is_filler": ok & F.coalesce("is_filler", none)})
+    else:
+        out = out.withColumns({"is_key": none, "is_filler": none})
+    if run_scoring:
         _, score = verdicts.rubric_score(F.col("ai_factors"), F.col("is_key"), F.col("is_filler"), config)
-        out = out.join(parsed, "item_id", "left").withColumn("rubric_score", score).drop("ai_factors")
+        out = out.withColumn("rubric_score", score)
     else:
         out = out.withColumns({"ai_score": F.lit(None).cast("int"), "rubric_score": F.lit(None).cast("int")})
-    return attach(out, labels, ["collection_id"], ["item_id"], "left", hot_rows)
+    return out.drop("_ok", "ai_factors")
 
 
 def shard_summary(curated: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.constants import ROW_OVERHEAD_BYTES, SHARD_MB, SIZE_SAMPLE_ROWS
 from shelfmark.functions.text import blank_to_null, folder_name, stem_of
 from shelfmark.operators.relational import seeded_order
-from shelfmark.scale import HOT_ROWS, SPAN, attach, ordered_index
+from shelfmark.scale import HOT_ROWS, SPAN, attach, largest_group, ordered_index
 
 
 def shard_size(items: DataFrame, target_mb: float = SHARD_MB, seed: str = "42") -> DataFrame:
@@ -30,13 +30,11 @@ def shard_size(items: DataFrame, target_mb: float = SHARD_MB, seed: str = "42")
 def assign_shards(
     items: DataFrame, target_mb: float = SHARD_MB, seed: str = "42", span: int = SPAN
 ) -> DataFrame:
-    """item_id, bytes → position in the shuffle and shard number."""
+    """Add the position in the shuffle and the shard number; pass narrow rows with their ``bytes``."""
     size = shard_size(items, target_mb, seed).select("rows_per_shard")
-    keyed = items.select("item_id", "bytes", seeded_order(F.col("item_id"), seed).alias("_key"))
+    keyed = items.withColumn("_key", seeded_order(F.col("item_id"), seed))
     placed = ordered_index(keyed, [], [F.col("_key"), F.col("item_id")], "position", span)
-    return placed.select(
-        "item_id", "bytes", "position", F.floor(F.col("position") / size.scalar()).cast("bigint").alias("shard")
-    )
+    return placed.withColumn("shard", F.floor(F.col("position") / size.scalar()).cast("bigint")).drop("_key")
 
 
 def shard_manifest(assigned: DataFrame) -> DataFrame:
@@ -81,9 +79,11 @@ def unpack_items(packed: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN)
     collection never has to fit into one row.
     """
     keyed = packed.select("album_id", "item_id", "file_name")
-    placed = ordered_index(keyed, ["album_id"], [F.col("file_name"), F.col("item_id")], "place", span)
+    biggest = largest_group(keyed, ["album_id"])
+    placed = ordered_index(keyed, ["album_id"], [F.col("file_name"), F.col("item_id")], "place", span, biggest)
     folders = unpack_collections(packed).select("album_id", "folder")
-    return attach(placed, folders, ["album_id"], ["item_id"], "inner", hot_rows).select(
+    joined = attach(placed, folders, ["album_id"], ["item_id"], "inner", hot_rows, keyed, biggest)
+    return joined.select(
         "album_id", "item_id", "place", F.concat_ws("/", "folder", "file_name").alias("path")
     )
 

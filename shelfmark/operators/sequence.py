@@ -161,15 +161,23 @@ def sequence_status(
     )
 
 
+def sequence_gates(
+    features: DataFrame,
+    group: Sequence[str],
+    min_items: int = MIN_SEQUENCE_ITEMS,
+    min_features: int = MIN_SEQUENCE_FEATURES,
+) -> DataFrame:
+    """Status of every collection from its counts alone, without looking at the sequence."""
+    counted = features.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.count("hash").alias("_f"))
+    return counted.select(*group, sequence_status(F.col("_n"), F.col("_f"), min_items, min_features).alias("status"))
+
+
 def item_context(
-    items: DataFrame, flags: DataFrame, summaries: DataFrame, group: Sequence[str], key: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    flags: DataFrame, gates: DataFrame, group: Sequence[str], key: Sequence[str],
+    hot_rows: int = HOT_ROWS, measure: DataFrame | None = None,
 ) -> DataFrame:
     """Key and filler flag of every item by its key; items of unanalysed collections get neither."""
-    analyzed = summaries.select(*group, (F.col("status") == "analyzed").alias("_ok"))
-    marked = items.join(flags.select(*key, "is_key", "is_filler"), list(key), "left")
-    known = attach(marked, analyzed, group, key, "left", hot_rows)
+    analyzed = gates.select(*group, (F.col("status") == "analyzed").alias("_ok"))
+    known = attach(flags.select(*group, *key, "is_key", "is_filler"), analyzed, group, key, "left", hot_rows, measure)
     ok = F.coalesce("_ok", F.lit(False))
-    return known.withColumn("is_key", F.coalesce(ok & F.col("is_key"), F.lit(False))).withColumn(
-        "is_filler", F.coalesce(ok & F.col("is_filler"), F.lit(False))
-    ).drop("_ok")
+    return known.select(*group, *key, (ok & F.col("is_key")).alias("is_key"), (ok & F.col("is_filler")).alias("is_filler"))

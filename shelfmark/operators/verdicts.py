@@ -8,99 +8,73 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.constants import FALLBACK_SCORE, MAX_TAGS, SCORE_LABELS, VOCABULARY_SIZE
+from shelfmark.constants import FALLBACK_SCORE, MAX_TAGS, SCORE_LABELS, SPACE_CLASS, VOCABULARY_SIZE
 from shelfmark.functions.text import strip
 from shelfmark.schemas import JSON_VERDICT
 
-INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
-NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# White space inside a line; lines end at a line feed only (the (?d) flag).
+_S = "[" + SPACE_CLASS.replace(r"\n", "") + "]"
+_NOT_S = f"[^{SPACE_CLASS}]"
+_SCORE = rf"(?dm)^{_S}*ai_score:{_S}*([+-]?[0-9]+(?:_[0-9]+)*){_S}*(?::.*)?$"
+_REASON = rf"(?dm)^{_S}*(?:ai_)?reason:(.*)$"
+_FACTORS = rf"(?dm)^{_S}*ai_factors:(.*)$"
+_FACTOR = rf"{_NOT_S}*={_NOT_S}*"
+_NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_GOOD_FACTOR = rf"(?<!{_NOT_S})((?:(?!=){_NOT_S})*)=({_NUMBER})(?!{_NOT_S})"
 
 
-def _last(array: Column) -> Column:
-    return F.try_element_at(array, F.lit(-1))
-
-
-def _lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), strip)
+def _all(text: Column, pattern: str, part: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(part))
 
 
-def _starting(lines: Column, *prefixes: str) -> Column:
-    def fits(line: Column) -> Column:
-        test = F.startswith(line, F.lit(prefixes[0]))
-        for prefix in prefixes[1:]:
-            test = test | F.startswith(line, F.lit(prefix))
-        return test
-
-    return F.filter(lines, fits)
-
-
-def _after_colon(line: Column) -> Column:
-    return strip(F.regexp_replace(line, r"(?s)^[^:]*:", ""))
+def _last(array: Column) -> Column:
+    return F.try_element_at(array, F.lit(-1))
 
 
-def clamp_score(text: Column) -> Column:
-    """A strict integer clamped to 1..9, null when the text is none."""
-    digits = F.regexp_replace(text, "_", "")
+def clamp_score(digits: Column) -> Column:
+    """A written integer clamped to 1..9; null stays null."""
+    digits = F.replace(digits, F.lit("_"), F.lit(""))
     far = F.when(F.startswith(digits, F.lit("-")), F.lit(1)).otherwise(F.lit(9))
     near = F.greatest(F.lit(1), F.least(F.lit(9), digits.try_cast("bigint"))).cast("int")
-    return F.when(text.rlike(INTEGER), F.when(F.length(digits) > 18, far).otherwise(near))
-
-
-def line_score(text: Column) -> Column:
-    """Score of the last line that holds a proper integer, else the fallback."""
-    values = F.transform(
-        _starting(_lines(text), "ai_score:"), lambda x: clamp_score(strip(F.split_part(x, F.lit(":"), F.lit(2))))
-    )
-    return F.coalesce(_last(F.filter(values, lambda v: v.isNotNull())), F.lit(FALLBACK_SCORE))
-
-
-def line_reason(text: Column) -> Column:
-    """Reason of the last reason line, empty without one."""
-    reasons = _starting(_lines(text), "ai_reason:", "reason:")
-    return F.coalesce(_after_colon(_last(reasons)), F.lit(""))
-
-
-def _factor_parts(text: Column) -> Column:
-    lists = F.transform(
-        _starting(_lines(text), "ai_factors:"),
-        lambda x: F.split(strip(F.replace(x, F.lit("ai_factors:"), F.lit(""))), r"\s+"),
-    )
-    return F.filter(F.flatten(lists), lambda p: F.contains(p, F.lit("=")))
-
-
-def _factor_entries(parts: Column) -> Column:
-    def entry(p: Column) -> Column:
-        pieces = F.split(p, "=")
-        value = F.get(pieces, F.lit(1))
-        number = F.when((F.size(pieces) == 2) & value.rlike(NUMBER), value.try_cast("double"))
-        return F.struct(F.get(pieces, F.lit(0)).alias("k"), number.alias("v"))
-
-    return F.transform(parts, entry)
-
-
-def line_factors(text: Column) -> Column:
-    """map(name → value) over all factor lines; a malformed factor is dropped, a later one wins."""
-    entries = F.filter(_factor_entries(_factor_parts(text)), lambda e: e["v"].isNotNull())
-    names = F.array_distinct(F.transform(entries, lambda e: e["k"]))
-    values = F.transform(names, lambda n: _last(F.filter(entries, lambda e: e["k"] == n))["v"])
-    return F.map_from_arrays(names, values)
-
-
-def factors_ok(text: Column) -> Column:
-    return ~F.exists(_factor_entries(_factor_parts(text)), lambda e: e["v"].isNull())
+    return F.when(digits.isNotNull(), F.when(F.length(digits) > 18, far).otherwise(near))
 
 
 def parse_lines(df: DataFrame, text: str = "response", error: str = "error") -> DataFrame:
-    """Typed columns of a line-form verdict; an error becomes the fallback score with its message."""
+    """Typed columns of a line-form verdict; an error becomes the fallback score with its message.
+
+    The last line with a proper integer gives the score, the last reason line the reason. Factors
+    add up over their lines; a malformed one is dropped and clears ``parse_ok``, a later one wins.
+    Each pattern runs once per row, in a column of its own.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
+    found = df.withColumns(
+        {
+            "_score": _last(_all(t, _SCORE, 1)),
+            "_reason": _last(_all(t, _REASON, 1)),
+            "_listed": F.replace(F.array_join(_all(t, _FACTORS, 1), " "), F.lit("ai_factors:"), F.lit("")),
+        }
+    )
+    split = found.withColumns(
+        {
+            "_n": _all(F.col("_listed"), _GOOD_FACTOR, 1),
+            "_v": _all(F.col("_listed"), _GOOD_FACTOR, 2).cast("array<double>"),
+            "_parts": F.size(_all(F.col("_listed"), _FACTOR, 0)),
+        }
+    ).withColumn("_unique", F.array_distinct("_n"))
+    latest = F.transform("_unique", lambda n: F.get(F.col("_v"), F.size("_n") - F.array_position(F.reverse("_n"), n)))
+    factors = F.when(F.size("_unique") == F.size("_n"), F.map_from_arrays("_n", "_v")).otherwise(
+        F.map_from_arrays(F.col("_unique"), latest)
+    )
     failed = F.col(error).isNotNull()
     none = F.create_map().cast("map<string,double>")
-    return (
-        df.withColumn("ai_score", F.when(failed, F.lit(FALLBACK_SCORE)).otherwise(line_score(t)).cast("int"))
-        .withColumn("ai_reason", F.when(failed, F.col(error)).otherwise(line_reason(t)))
-        .withColumn("ai_factors", F.when(failed, none).otherwise(line_factors(t)))
-        .withColumn("parse_ok", ~failed & factors_ok(t))
-    )
+    return split.withColumns(
+        {
+            "ai_score": F.when(failed, FALLBACK_SCORE).otherwise(F.coalesce(clamp_score(F.col("_score")), F.lit(FALLBACK_SCORE))),
+            "ai_reason": F.when(failed, F.col(error)).otherwise(F.coalesce(strip("_reason"), F.lit(""))),
+            "ai_factors": F.when(failed, none).otherwise(factors),
+            "parse_ok": ~failed & (F.size("_n") == F.col("_parts")),
+        }
+    ).drop("_score", "_reason", "_listed", "_n", "_v", "_parts", "_unique")
 
 
 def parse_tags(text: Column) -> Column:
@@ -120,10 +94,8 @@ def parse_json_verdict(markdown: Column) -> Column:
 
 
 def score_label(score: Column) -> Column:
-    label = F.lit(None).cast("string")
-    for value, text in SCORE_LABELS.items():
-        label = F.when(score == value, text).otherwise(label)
-    return label
+    labels = F.create_map(*[F.lit(x) for pair in SCORE_LABELS.items() for x in pair])
+    return F.try_element_at(labels, score)
 
 
 def rubric_value(factors: Column, config: dict) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.operators.curation import curate, shard_summary
+from shelfmark.operators.curation import curate, item_features, shard_summary
 from shelfmark.plans import bindings as B
 from shelfmark.plans.relational import TARGET_MB
 from shelfmark.plans.sequences import CONTEXT, FLAGGED, PRINT, SUMMARIES
@@ -18,7 +18,8 @@ def _curated(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     )
     responses = B.verdict_texts(spark, sf_dir).select("item_id", "response", "error")
     no_stop = ~F.endswith(F.rtrim("text"), F.lit("."))
-    return curate(B.items(spark, sf_dir), responses, labels, no_stop, CONFIG, TARGET_MB, **options)
+    features = item_features(B.items(spark, sf_dir), no_stop, F.col("lang"))
+    return curate(features, responses, labels, CONFIG, TARGET_MB, **options)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,25 +170,29 @@ def folder_id(spark, sf_dir):
     return rows.select("collection_id", F.coalesce(stored, T.id_from_folder("folder")).alias("resolved_id"))
 
 
+def _sized(spark, sf_dir) -> DataFrame:
+    return B.items(spark, sf_dir).select("item_id", "bytes")
+
+
 def shard_size(spark, sf_dir):
     return packing.shard_size(B.items(spark, sf_dir), TARGET_MB)
 
 
 def shard_assign(spark, sf_dir):
-    return packing.assign_shards(B.items(spark, sf_dir), TARGET_MB)
+    return packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)
 
 
 def shard_manifest(spark, sf_dir):
-    return packing.shard_manifest(packing.assign_shards(B.items(spark, sf_dir), TARGET_MB))
+    return packing.shard_manifest(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB))
 
 
 def smoke_shard(spark, sf_dir):
-    return packing.smoke_shard(packing.assign_shards(B.items(spark, sf_dir), TARGET_MB)).select("item_id", "position")
+    return packing.smoke_shard(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).select("item_id", "position")
 
 
 def write_shards_back(spark, sf_dir):
     """Write the packed rows in shards and read the written table back."""
-    assigned = packing.assign_shards(B.items(spark, sf_dir), TARGET_MB).drop("bytes")
+    assigned = packing.assign_shards(_sized(spark, sf_dir), TARGET_MB).drop("bytes")
     path = new_folder(spark, "shards")
     write_shards(_packed(spark, sf_dir).join(assigned, "item_id"), path)
     return spark.read.parquet(path).select(F.col("shard").cast("bigint").alias("shard"), "position", "item_id", "file_name", "title")

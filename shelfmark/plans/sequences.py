@@ -108,9 +108,9 @@ def seq_text(spark, sf_dir):
 
 
 def context(spark, sf_dir) -> DataFrame:
-    marked = flags(spark, sf_dir)
-    items = B.items(spark, sf_dir).select("collection_id", "item_id")
-    return sequence.item_context(items, marked, sequence.sequence_summary(marked, GROUP), GROUP, KEY)
+    narrow = B.items(spark, sf_dir).select("collection_id", "item_id", F.col("lang").alias("hash"))
+    gates = sequence.sequence_gates(narrow, GROUP)
+    return sequence.item_context(flags(spark, sf_dir), gates, GROUP, KEY, measure=narrow)
 
 
 def item_context(spark, sf_dir):

@@ -51,17 +51,22 @@ def attach(
     spread_on: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    measure: DataFrame | None = None,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``dim`` (at most one row per key) without a hot key ending in one task.
 
     Rows of a hot key are spread over salts by ``spread_on``; only that key's single ``dim`` row
     is repeated, once per salt. AQE still turns the join into a broadcast when ``dim`` is
-    measured to be below the session's broadcast threshold.
+    measured to be below the session's broadcast threshold. ``measure`` is a cheaper frame with at
+    least the same rows per key, for when ``rows`` is costly to compute; ``biggest`` is its largest
+    group where the caller knows it already.
     """
     keys = list(keys)
-    if largest_group(rows, keys) <= hot_rows:
+    measure = rows if measure is None else measure
+    if (largest_group(measure, keys) if biggest is None else biggest) <= hot_rows:
         return rows.join(dim, keys, how)
-    hot = hot_keys(rows, keys, hot_rows)
+    hot = hot_keys(measure, keys, hot_rows)
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
@@ -80,6 +85,7 @@ def ordered_index(
     order: Sequence[Column],
     name: str = "idx",
     span: int = SPAN,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position of every row inside its group.
 
@@ -87,7 +93,7 @@ def ordered_index(
     range-sorted, written, and the positions put together from per-partition counts, so no task
     ever holds a group.
     """
-    if group and largest_group(df, group) <= span:
+    if group and (largest_group(df, group) if biggest is None else biggest) <= span:
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(window) - 1).cast("bigint"))
     return _split_index(df, list(group), order, name)
