@@ -136,10 +136,10 @@ def todo_items(items: DataFrame, verdicts: DataFrame, key: Sequence[str]) -> Dat
 
 
 def lookup(collections: DataFrame, name: str) -> DataFrame:
-    """The named collection, or one row with ``found`` false."""
-    wanted = collections.sparkSession.range(1).select(F.lit(name).alias("name"))
-    hit = collections.filter(F.col("name") == name).withColumn("found", F.lit(True))
-    return wanted.join(hit, "name", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    """The named collection (the lowest id of several), or one row with ``found`` false."""
+    fields = [c for c in collections.columns if c != "name"]
+    hit = collections.filter(F.col("name") == name).agg(F.min(F.struct(*fields)).alias("_hit"))
+    return hit.select(F.lit(name).alias("name"), "_hit.*", F.col("_hit").isNotNull().alias("found"))
 
 
 def seeded_order(key: Column, seed: str) -> Column:
