@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from shelfmark.constants import HISTOGRAM_EPSILON, LETTERS
 
 
+#: Bytes of a text counted at a time.
+BLOCK_BYTES = 1 << 24
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
@@ -52,22 +56,21 @@ def letter_counts(df: DataFrame, text: str, name: str = "hist") -> DataFrame:
         ascii_bytes = np.array([ord(c) for c in LETTERS if ord(c) < 128])
         lead, trail = LETTERS[-1].encode()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                lowered = pc.utf8_lower(part.column(text).cast(pa.large_string()))
-                lowered = pc.fill_null(lowered, "")
-                n = len(lowered)
-                ends = np.frombuffer(lowered.buffers()[1], np.int64)[lowered.offset : lowered.offset + n + 1]
-                body = lowered.buffers()[2]
-                data = np.frombuffer(body, np.uint8)[ends[0] : ends[-1]] if body else np.empty(0, np.uint8)
-                row = np.repeat(np.arange(n), np.diff(ends))
-                counts = np.bincount(row * 256 + data, minlength=n * 256).reshape(n, 256)[:, ascii_bytes]
-                accented = np.flatnonzero((data[:-1] == lead) & (data[1:] == trail))
-                last = np.bincount(row[accented], minlength=n).reshape(n, 1)
-                flat = pa.array(np.hstack([counts, last]).astype(np.int64).ravel())
-                offsets = pa.array(np.arange(n + 1) * len(LETTERS), pa.int32(), mask=np.append(
-                    part.column(text).is_null().to_numpy(zero_copy_only=False), False))
-                hist = pa.ListArray.from_arrays(offsets, flat)
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [hist], names=[*keep, name])
+            lowered = pc.fill_null(pc.utf8_lower(batch.column(text).cast(pa.large_string())), "")
+            n = len(lowered)
+            counts = np.zeros((n, len(LETTERS)), np.int64)
+            ends = np.frombuffer(lowered.buffers()[1], np.int64)[lowered.offset : lowered.offset + n + 1]
+            body = lowered.buffers()[2]
+            data = np.frombuffer(body, np.uint8) if body else np.empty(0, np.uint8)
+            for row in range(n):
+                for start in range(ends[row], ends[row + 1], BLOCK_BYTES):
+                    # One byte of overlap keeps a letter of two bytes whole.
+                    block = data[start : min(start + BLOCK_BYTES + 1, ends[row + 1])]
+                    counts[row, :-1] += np.bincount(block[:BLOCK_BYTES], minlength=256)[ascii_bytes]
+                    counts[row, -1] += np.count_nonzero((block[:-1] == lead) & (block[1:] == trail))
+            missing = batch.column(text).is_null().to_numpy(zero_copy_only=False)
+            offsets = pa.array(np.arange(n + 1) * len(LETTERS), pa.int32(), mask=np.append(missing, False))
+            hist = pa.ListArray.from_arrays(offsets, pa.array(counts.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [hist], names=[*keep, name])
 
     return df.mapInArrow(count, f"{schema}, `{name}` array<bigint>")

@@ -14,6 +14,8 @@ from shelfmark.functions.text import (
     name_from_title,
     url_extension,
 )
+from shelfmark.scale import attach
+from shelfmark.storage import stage
 
 ITEM_SUFFIX = r"\.(jpg|jpeg|png|webp)$"
 
@@ -100,25 +102,25 @@ def listing_ids(
     """Ids linked from listing pages, each at its first place.
 
     ``listings`` has listing_id, page_no and whatever ``links`` reads. A listing ends before its
-    first page without links or first missing page. Page-level rows stay in the map side: both
-    aggregates combine partially, so a listing of any length is no single task's burden.
+    first page without links. The pages are read once, into the first place of every id and of every
+    listing's bare pages; an id first seen after the end is never seen before it.
     """
-    pages = listings.filter(F.col("page_no") <= max_pages).select("listing_id", "page_no", links.alias("_links"))
-    bare = F.when(F.coalesce(F.size("_links"), F.lit(0)) <= 0, F.col("page_no"))
-    stops = pages.groupBy("listing_id").agg(F.min(bare).alias("_stop"))
-    from shelfmark.scale import attach
-
-    read = attach(pages, stops, ["listing_id"], ["page_no"]).filter(
-        F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))
-    )
-    linked = read.select("listing_id", "page_no", F.posexplode("_links").alias("pos", "_href")).select(
-        "listing_id",
-        F.regexp_extract("_href", pattern, 1).try_cast("bigint").alias("collection_id"),
-        F.struct("page_no", "pos").alias("_at"),
+    hrefs = F.transform(F.coalesce(links, F.array()), lambda x: F.regexp_extract(x, pattern, 1).try_cast("bigint"))
+    places = F.transform(hrefs, lambda x, i: F.struct(x.alias("collection_id"), i.alias("pos")))
+    bare = F.array(F.struct(F.lit(None).cast("bigint").alias("collection_id"), F.lit(0).alias("pos")))
+    found = F.when(F.size(places) == 0, bare).otherwise(F.filter(places, lambda p: p["collection_id"].isNotNull()))
+    first = stage(
+        listings.filter(F.col("page_no") <= max_pages)
+        .select("listing_id", "page_no", F.explode(found).alias("p"))
+        .groupBy("listing_id", "p.collection_id")
+        .agg(F.min(F.struct("page_no", "p.pos")).alias("at"))
+        .select("listing_id", "collection_id", "at.page_no", "at.pos"),
+        "listing",
     )
+    ends = first.filter(F.col("collection_id").isNull()).select("listing_id", F.col("page_no").alias("_end"))
+    ids = first.filter(F.col("collection_id").isNotNull())
     return (
-        linked.filter(F.col("collection_id").isNotNull())
-        .groupBy("listing_id", "collection_id")
-        .agg(F.min("_at").alias("_at"))
-        .select("listing_id", "collection_id", F.col("_at.page_no").alias("page_no"), F.col("_at.pos").alias("pos"))
+        attach(ids, ends, ["listing_id"], ["collection_id"])
+        .filter(F.col("_end").isNull() | (F.col("page_no") < F.col("_end")))
+        .drop("_end")
     )

@@ -164,11 +164,12 @@ def sequence_status(
 def sequence_gates(
     features: DataFrame,
     group: Sequence[str],
+    feature: str = "hist",
     min_items: int = MIN_SEQUENCE_ITEMS,
     min_features: int = MIN_SEQUENCE_FEATURES,
 ) -> DataFrame:
     """Status of every collection from its counts alone, without looking at the sequence."""
-    counted = features.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.count("hash").alias("_f"))
+    counted = features.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.count(feature).alias("_f"))
     return counted.select(*group, sequence_status(F.col("_n"), F.col("_f"), min_items, min_features).alias("status"))
 
 

@@ -109,7 +109,7 @@ def seq_text(spark, sf_dir):
 
 def context(spark, sf_dir) -> DataFrame:
     narrow = B.items(spark, sf_dir).select("collection_id", "item_id", F.col("lang").alias("hash"))
-    gates = sequence.sequence_gates(narrow, GROUP)
+    gates = sequence.sequence_gates(narrow, GROUP, "hash")
     return sequence.item_context(flags(spark, sf_dir), gates, GROUP, KEY, measure=narrow)
 
 

@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.operators.labels import keep_aggregates
 from shelfmark.storage import new_folder
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """Keep stream state in RocksDB instead of on the heap while a query starts and runs."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+
+
 def read_table_stream(spark: SparkSession, folder: str, file_glob: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if files_per_trigger:
@@ -26,30 +40,27 @@ def run_label_state(edits: DataFrame, key: Sequence[str], target: str, checkpoin
     The fold is the batch one, so a late edit with a lower sequence number loses. A batch that is
     run again replaces its own folder.
     """
-    spark = edits.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     state = edits.groupBy(*key).agg(*keep_aggregates())
 
     def write(changed: DataFrame, batch: int) -> None:
-        changed.withColumn("batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(
-            f"{target}/part_{batch}"
+        changed.write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+    with _state_on_disk(edits.sparkSession):
+        query = (
+            state.writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(write)
+            .start()
         )
-
-    query = (
-        state.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(write)
-        .start()
-    )
-    query.awaitTermination()
+        query.awaitTermination()
 
 
 def read_label_state(spark: SparkSession, target: str, schema, key: Sequence[str]) -> DataFrame:
     """Current state: the row of each key's latest batch."""
-    log = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(target)
-    fields = [c for c in log.columns if c not in key]
-    return log.groupBy(*key).agg(F.max_by(F.struct(*fields), "batch").alias("s")).select(*key, "s.*").drop("batch")
+    log = spark.read.schema(schema).parquet(target)
+    fields = [c for c in log.columns if c not in (*key, "batch")]
+    return log.groupBy(*key).agg(F.max_by(F.struct(*fields), "batch").alias("s")).select(*key, "s.*")
 
 
 def stream_label_state(edits: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -74,10 +85,10 @@ def run_todo(items: DataFrame, verdicts: DataFrame, key: Sequence[str], target:
 
     def write(batch_items: DataFrame, batch: int) -> None:
         new = batch_items.select(*key).dropDuplicates(key).join(done, key, "left_anti")
-        earlier = [f"{target}/part_{b}" for b in range(batch)]
-        if earlier:
-            new = new.join(spark.read.schema(schema).parquet(*earlier), key, "left_anti")
-        new.write.mode("overwrite").parquet(f"{target}/part_{batch}")
+        if batch > 0:
+            earlier = read_todo(spark, target, schema).filter(F.col("batch") < batch).select(*key)
+            new = new.join(earlier, key, "left_anti")
+        new.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
     query = (
         items.writeStream.option("checkpointLocation", checkpoint)
@@ -88,10 +99,15 @@ def run_todo(items: DataFrame, verdicts: DataFrame, key: Sequence[str], target:
     query.awaitTermination()
 
 
+def read_todo(spark: SparkSession, target: str, schema) -> DataFrame:
+    """Everything emitted so far, with its batch number."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
+
+
 def stream_todo(items: DataFrame, verdicts: DataFrame, key: Sequence[str]) -> DataFrame:
     """Run the item stream over everything available and return the work list."""
     spark = items.sparkSession
     target, checkpoint = new_folder(spark, "todo"), new_folder(spark, "todo-checkpoint")
     run_todo(items, verdicts, key, target, checkpoint)
     schema = items.select(*key).schema
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(target)
+    return read_todo(spark, target, schema).select(*key)

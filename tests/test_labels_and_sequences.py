@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import cluster, labels, quality, relational, sequence
-from shelfmark.streaming.labels import read_label_state, read_table_stream, run_label_state, run_todo
+from shelfmark.streaming.labels import read_label_state, read_table_stream, read_todo, run_label_state, run_todo
 
 EDIT = "k int, item string, seq int, score_set boolean, score int, tags array<string>, notes string, images string"
 
@@ -70,7 +70,7 @@ def test_todo_stream_emits_each_item_once(spark, tmp_path):
     for ids in ([1, 2, 3], [3, 4, 4]):
         spark.createDataFrame([(i,) for i in ids], "id int").coalesce(1).write.mode("append").parquet(source)
         run_todo(read_table_stream(spark, source, "*.parquet", schema), verdicts, ["id"], target, checkpoint)
-    got = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(target)
+    got = read_todo(spark, target, schema)
     assert sorted(r.id for r in got.collect()) == [2, 3, 4]
 
 
