@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.constants import CLUSTER_THRESHOLD, MIN_CLUSTER_ITEMS
+from shelfmark.constants import CLUSTER_THRESHOLD, EXPORT_MEMBERS, MIN_CLUSTER_ITEMS
 from shelfmark.functions.vectors import unit
 from shelfmark.scale import HOT_ROWS, attach, largest_group, ordered_index
 from shelfmark.storage import stage
@@ -191,6 +191,15 @@ def with_main(members: DataFrame, group: str, item: str, hot_rows: int = HOT_ROW
     )
 
 
+def first_members(members: DataFrame, group: str, item: str, count: int = EXPORT_MEMBERS) -> DataFrame:
+    """First items of each group for its exported result; cut to ``count`` before the shuffle."""
+    window = Window.partitionBy(group).orderBy("idx")
+    head = members.select(group, item, "idx", F.row_number().over(window).alias("_r")).filter(F.col("_r") <= count)
+    return head.groupBy(group).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col(item).alias("item")))), lambda x: x["item"]).alias("members")
+    )
+
+
 def cluster_outliers(members: DataFrame, group: str, item: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Items with any embedding outside their group's main cluster."""
     return with_main(members, group, item, hot_rows).filter(~F.col("in_main")).select(group, item).distinct()

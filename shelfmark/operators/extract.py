@@ -96,13 +96,20 @@ def media_urls(pages: DataFrame, *passes: Column) -> DataFrame:
     )
 
 
+def _missing_pages(listings: DataFrame) -> DataFrame:
+    """Page numbers a walk from 1 would find absent: the one after each run of pages."""
+    present = listings.select("listing_id", F.col("page_no").cast("bigint").alias("page_no"))
+    wanted = present.select("listing_id", F.explode(F.array(F.lit(1).cast("bigint"), F.col("page_no") + 1)).alias("page_no"))
+    return wanted.distinct().join(present, ["listing_id", "page_no"], "left_anti")
+
+
 def listing_ids(
     listings: DataFrame, links: Column, pattern: str = r"/album/(\d+)", max_pages: int = LISTING_PAGE_CAP
 ) -> DataFrame:
     """Ids linked from listing pages, each at its first place.
 
     ``listings`` has listing_id, page_no and whatever ``links`` reads. A listing ends before its
-    first page without links. The pages are read once, into the first place of every id and of every
+    first page without links or that is missing. The pages are read once, into the first place of every id and of every
     listing's bare pages; an id first seen after the end is never seen before it.
     """
     hrefs = F.transform(F.coalesce(links, F.array()), lambda x: F.regexp_extract(x, pattern, 1).try_cast("bigint"))
@@ -117,7 +124,8 @@ def listing_ids(
         .select("listing_id", "collection_id", "at.page_no", "at.pos"),
         "listing",
     )
-    ends = first.filter(F.col("collection_id").isNull()).select("listing_id", F.col("page_no").alias("_end"))
+    bare_pages = first.filter(F.col("collection_id").isNull()).select("listing_id", "page_no")
+    ends = bare_pages.unionByName(_missing_pages(listings)).groupBy("listing_id").agg(F.min("page_no").alias("_end"))
     ids = first.filter(F.col("collection_id").isNotNull())
     return (
         attach(ids, ends, ["listing_id"], ["collection_id"])

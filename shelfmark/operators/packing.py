@@ -51,6 +51,14 @@ def shard_manifest(assigned: DataFrame) -> DataFrame:
     )
 
 
+def name_shards(assigned: DataFrame, split: str = "train") -> DataFrame:
+    """Add the final file name of each row's shard."""
+    total = assigned.agg(F.max("shard") + 1)
+    return assigned.withColumn(
+        "file", F.format_string(f"{split}-%05d-of-%05d.parquet", F.col("shard"), total.scalar())
+    )
+
+
 def smoke_shard(assigned: DataFrame) -> DataFrame:
     return assigned.filter(F.col("shard") == 0)
 

@@ -52,6 +52,11 @@ def cluster_outliers(spark, sf_dir):
     return cluster.cluster_outliers(members(spark, sf_dir), GROUP, ITEM)
 
 
+def cluster_members(spark, sf_dir):
+    head = cluster.first_members(members(spark, sf_dir), GROUP, ITEM)
+    return head.select(GROUP, F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+
+
 def cluster_summary(spark, sf_dir):
     """Labels with vectors, and nations as collections that may have none or too few items."""
     found = members(spark, sf_dir).withColumn("score", F.expr("(item_id * 37 % 101) / 100.0D"))
@@ -92,6 +97,7 @@ QUERIES = {
     "main_cluster": main_cluster,
     "cluster_outliers": cluster_outliers,
     "cluster_summary": cluster_summary,
+    "cluster_members": cluster_members,
     "quarantine_counts": quarantine_counts,
     "quarantine_items": quarantine_items,
     "clean_items": clean_items,
@@ -134,6 +140,8 @@ ORACLE = {
     + """SELECT collection_id, main_leader, main_size, count(*) AS cluster_count, CAST(sum(n) AS BIGINT) AS embedding_count
          FROM sizes JOIN main USING (collection_id) GROUP BY ALL""",
     "cluster_outliers": _members + "SELECT DISTINCT collection_id, item_id FROM flagged WHERE NOT in_main",
+    "cluster_members": """SELECT CAST(label AS BIGINT) AS collection_id, array_to_string(list(vec_id ORDER BY vec_id)[1:10], ',') AS members
+        FROM embeddings GROUP BY label""",
     "cluster_summary": _members
     + """SELECT collection_id, status, status = 'analyzed' AND n > 0 AS has_main,
            CASE WHEN status = 'analyzed' THEN n END AS embedding_count, CASE WHEN status = 'analyzed' THEN cluster_count END AS cluster_count,

@@ -192,10 +192,10 @@ def smoke_shard(spark, sf_dir):
 
 def write_shards_back(spark, sf_dir):
     """Write the packed rows in shards and read the written table back."""
-    assigned = packing.assign_shards(_sized(spark, sf_dir), TARGET_MB).drop("bytes")
+    assigned = packing.name_shards(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).drop("bytes", "shard")
     path = new_folder(spark, "shards")
     write_shards(_packed(spark, sf_dir).join(assigned, "item_id"), path)
-    return spark.read.parquet(path).select(F.col("shard").cast("bigint").alias("shard"), "position", "item_id", "file_name", "title")
+    return spark.read.parquet(path).select("file", "position", "item_id", "file_name", "title")
 
 
 def sidecar_rows(spark, sf_dir):
@@ -381,7 +381,8 @@ ORACLE = {
          count(*) AS rows, round(CAST(sum(bytes) AS BIGINT) / 1048576.0, 6) AS mb FROM assigned GROUP BY shard""",
     "smoke_shard": _shard_sql + "SELECT item_id, position FROM assigned WHERE shard = 0",
     "write_shards": B.cte(*_BASE, _PACKED, _SHUFFLED, _SIZE, _ASSIGNED)
-    + "SELECT shard, position, item_id, file_name, title FROM packed JOIN assigned USING (item_id)",
+    + """SELECT printf('train-%05d-of-%05d.parquet', shard, (SELECT max(shard) + 1 FROM assigned)) AS file, position, item_id, file_name, title
+         FROM packed JOIN assigned USING (item_id)""",
     "sidecar_rows": _packed_sql + "SELECT * EXCLUDE (image) FROM packed",
     "unpack_collections": _packed_sql
     + f"""SELECT album_id, any_value(title) AS title, any_value(model_name) AS model_name, any_value(tags) AS tags,

@@ -2,25 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfmark.schemas import PACKED
 
 
+#: Payload bytes handed on at a time while files are loaded.
+LOAD_BYTES = 64 << 20
+
+
 def read_packed(spark: SparkSession, root: str, split: str = "train", rows: int | None = None) -> DataFrame:
-    df = spark.read.schema(PACKED).parquet(f"{root.rstrip('/')}/{split}-*.parquet")
+    """Shards of one split, as folders of part files or as single files."""
+    df = spark.read.schema(PACKED).parquet(f"{root.rstrip('/')}/*{split}-*.parquet")
     return df if rows is None else df.limit(rows)
 
 
-def write_shards(df: DataFrame, path: str, shard: str = "shard", position: str = "position") -> None:
-    """Write one folder of Parquet per shard, replacing the target.
+def load_images(df: DataFrame, path: str = "image") -> DataFrame:
+    """Replace a path by the file's bytes and path, read where the row already is.
+
+    Call it after the rows lie in their shards: payloads then go from storage to the shard file
+    without crossing a shuffle. Unreadable files give null bytes.
+    """
+    image = "image struct<bytes: binary, path: string>"
+    others = [f for f in df.schema if f.name != path]
+    schema = ", ".join([image, *[f"`{f.name}` {f.dataType.simpleString()}" for f in others]])
+
+    def load(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def read(uri: str | None) -> bytes | None:
+            try:
+                system, name = fs.FileSystem.from_uri(uri)
+                with system.open_input_stream(name) as f:
+                    return f.read()
+            except (OSError, TypeError, ValueError):
+                return None
+
+        for batch in batches:
+            paths = batch.column(path).to_pylist()
+            start, size, loaded = 0, 0, []
+            for at, uri in enumerate(paths):
+                loaded.append(read(uri))
+                size += len(loaded[-1] or b"")
+                if size >= LOAD_BYTES or at == len(paths) - 1:
+                    part = batch.slice(start, len(loaded))
+                    payload = pa.StructArray.from_arrays(
+                        [pa.array(loaded, pa.binary()), pa.array(paths[start : at + 1], pa.string())], ["bytes", "path"]
+                    )
+                    columns = [payload, *[part.column(f.name) for f in others]]
+                    yield pa.RecordBatch.from_arrays(columns, names=["image", *[f.name for f in others]])
+                    start, size, loaded = at + 1, 0, []
+
+    return df.mapInArrow(load, schema)
+
+
+def write_shards(
+    df: DataFrame, path: str, shard: str = "file", position: str = "position", payload: str | None = None
+) -> None:
+    """Write one folder of Parquet per shard, named like the shard's file, replacing the target.
 
     A shard has a fixed number of rows, so partitioning by it cannot skew, and one task writes a
-    shard in shuffle order. The commit protocol makes the write atomic.
+    shard in shuffle order. ``payload`` names a path column whose files are loaded by that task. The
+    commit protocol makes the write atomic.
     """
-    ordered = df.repartition(shard).sortWithinPartitions(shard, position)
-    ordered.write.mode("overwrite").partitionBy(shard).parquet(path)
+    placed = df.repartition(shard).sortWithinPartitions(shard, position)
+    ready = load_images(placed, payload) if payload else placed
+    ready.write.mode("overwrite").partitionBy(shard).parquet(path)
 
 
 def write_sidecar(df: DataFrame, path: str, payload: str = "image") -> None:
@@ -36,7 +86,3 @@ def write_documents(df: DataFrame, path: str, *folders: str) -> None:
 def write_quarantine(df: DataFrame, path: str) -> None:
     """Copies of quarantined items by category; the source is never changed."""
     df.write.mode("overwrite").partitionBy("category").parquet(path)
-
-
-def shard_name(index: str, total: str, split: str = "train"):
-    return F.format_string(f"{split}-%05d-of-%05d.parquet", F.col(index), F.col(total))

@@ -104,3 +104,9 @@ def test_listing_stops_at_first_bare_page(spark, cap, expected):
     df = spark.createDataFrame(rows, "listing_id int, page_no int, links array<string>")
     got = extract.listing_ids(df, F.col("links"), max_pages=cap).orderBy("page_no", "pos").collect()
     assert [r.collection_id for r in got] == expected
+
+
+def test_listing_stops_at_a_missing_page(spark):
+    rows = [(1, 1, ["/album/1"]), (1, 3, ["/album/3"]), (2, 2, ["/album/2"])]
+    df = spark.createDataFrame(rows, "listing_id int, page_no int, links array<string>")
+    assert [r.collection_id for r in extract.listing_ids(df, F.col("links")).collect()] == [1]

@@ -7,12 +7,12 @@ import os
 import struct
 import zlib
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.constants import BROWSE_EXTENSIONS
 from shelfmark.functions import media
+from shelfmark.operators import packing
 from shelfmark.sources import config, creators, files, packed
 
 
@@ -113,20 +113,37 @@ def test_scan_labels(spark, tmp_path):
     assert items["001"].ai_factors == {"a": 0.5} and items["002"].score == 2 and items["002"].ai_score is None
 
 
-def test_packed_round_trip(spark, tmp_path):
-    rows = spark.range(10).selectExpr(
-        "named_struct('bytes', cast('x' AS binary), 'path', concat(id, '.jpg')) AS image", "concat(id, '.jpg') AS file_name", "id AS position", "id div 4 AS shard"
+def test_packed_round_trip(spark, tree, tmp_path):
+    scanned = files.scan_items(spark, str(tree), BROWSE_EXTENSIONS)
+    items = scanned.select(
+        F.col("path").alias("image"), "file_name", F.concat("folder", "stem").alias("item_id"), "bytes"
     )
-    packed.write_shards(rows, str(tmp_path / "out"))
-    packed.write_shards(rows, str(tmp_path / "out"))  # replaces, does not append
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
-    assert sorted(d for d in os.listdir(tmp_path / "out") if d.startswith("shard")) == ["shard=0", "shard=1", "shard=2"]
+    assigned = packing.name_shards(packing.assign_shards(items.select("item_id", "bytes"), 0.006))
+    rows = items.drop("bytes").join(assigned.select("item_id", "position", "file"), "item_id").withColumn("album_id", F.lit(7).cast("bigint"))
+    out = str(tmp_path / "out")
+    for _ in range(2):  # the second write replaces the first
+        packed.write_shards(rows, out, payload="image")
+    names = sorted(d for d in os.listdir(out) if d.startswith("file"))
+    assert names == [f"file=train-{i:05d}-of-{len(names):05d}.parquet" for i in range(len(names))] and len(names) > 1
+    read = packed.read_packed(spark, out).collect()
+    assert sorted(r.file_name for r in read) == sorted(r.file_name for r in scanned.collect())
+    for r in read:
+        with open(r.image.path.removeprefix("file:"), "rb") as f:
+            assert bytes(r.image.bytes) == f.read()
+    assert packed.read_packed(spark, out, rows=2).count() == 2
     packed.write_sidecar(rows, str(tmp_path / "meta"))
-    assert set(spark.read.json(str(tmp_path / "meta")).columns) == {"file_name", "position", "shard"}
-    (tmp_path / "set").mkdir()
-    pd.DataFrame({"file_name": ["a.jpg"], "album_id": [1]}).to_parquet(tmp_path / "set" / "train-00000-of-00001.parquet")
-    read = packed.read_packed(spark, str(tmp_path / "set"), rows=5)
-    assert [(r.file_name, r.album_id, r.title) for r in read.collect()] == [("a.jpg", 1, None)]
+    assert set(spark.read.json(str(tmp_path / "meta")).columns) == {"file_name", "position", "file", "item_id", "album_id"}
+
+
+def test_missing_payload_is_null(spark):
+    df = spark.createDataFrame([("file:/no/such/file.png", 1), (None, 2)], "image string, k int")
+    assert [(r.image.bytes, r.k) for r in packed.load_images(df).collect()] == [(None, 1), (None, 2)]
+
+
+def test_quarantine_sink(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1, "broken"), (1, 2, "duplicate")], "collection_id int, item int, category string")
+    packed.write_quarantine(rows, str(tmp_path / "q"))
+    assert spark.read.parquet(str(tmp_path / "q")).filter("category = 'broken'").count() == 1
 
 
 def test_creator_cache(spark, tmp_path):
