@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from shelfmark.constants import HISTOGRAM_EPSILON, LETTERS
 
 
-#: Bytes of a text counted at a time.
-BLOCK_BYTES = 1 << 24
+#: Bytes counted at a time.
+BLOCK_BYTES = 1 << 20
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -62,15 +62,25 @@ def letter_counts(df: DataFrame, text: str, name: str = "hist") -> DataFrame:
             ends = np.frombuffer(lowered.buffers()[1], np.int64)[lowered.offset : lowered.offset + n + 1]
             body = lowered.buffers()[2]
             data = np.frombuffer(body, np.uint8) if body else np.empty(0, np.uint8)
-            for row in range(n):
-                for start in range(ends[row], ends[row + 1], BLOCK_BYTES):
-                    # One byte of overlap keeps a letter of two bytes whole.
-                    block = data[start : min(start + BLOCK_BYTES + 1, ends[row + 1])]
-                    counts[row, :-1] += np.bincount(block[:BLOCK_BYTES], minlength=256)[ascii_bytes]
-                    counts[row, -1] += np.count_nonzero((block[:-1] == lead) & (block[1:] == trail))
+            start = 0
+            while start < n:
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + BLOCK_BYTES, "right")) - 1)
+                if stop > start + 1:  # several short texts at once
+                    block = data[ends[start] : ends[stop]]
+                    row = np.repeat(np.arange(stop - start), np.diff(ends[start : stop + 1]))
+                    tally = np.bincount(row * 256 + block, minlength=(stop - start) * 256)
+                    counts[start:stop, :-1] = tally.reshape(-1, 256)[:, ascii_bytes]
+                    accented = row[:-1][(block[:-1] == lead) & (block[1:] == trail)]
+                    counts[start:stop, -1] = np.bincount(accented, minlength=stop - start)
+                else:  # one text, in blocks; a byte of overlap keeps a letter of two bytes whole
+                    for at in range(ends[start], ends[stop], BLOCK_BYTES):
+                        block = data[at : min(at + BLOCK_BYTES + 1, ends[stop])]
+                        counts[start, :-1] += np.bincount(block[:BLOCK_BYTES], minlength=256)[ascii_bytes]
+                        counts[start, -1] += np.count_nonzero((block[:-1] == lead) & (block[1:] == trail))
+                start = stop
             missing = batch.column(text).is_null().to_numpy(zero_copy_only=False)
-            offsets = pa.array(np.arange(n + 1) * len(LETTERS), pa.int32(), mask=np.append(missing, False))
-            hist = pa.ListArray.from_arrays(offsets, pa.array(counts.ravel()))
+            offsets = pa.array(np.arange(n + 1) * len(LETTERS), pa.int32())
+            hist = pa.ListArray.from_arrays(offsets, pa.array(counts.ravel()), mask=pa.array(missing))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [hist], names=[*keep, name])
 
     return df.mapInArrow(count, f"{schema}, `{name}` array<bigint>")

@@ -14,6 +14,7 @@ from shelfmark.operators.sequence import fingerprint
 from shelfmark.plans import bindings as B
 from shelfmark.plans.sequences import PRINT
 from shelfmark.scale import attach
+from shelfmark.storage import stage
 
 THRESHOLD = 0.2
 GROUP, ITEM = "collection_id", "item_id"
@@ -68,12 +69,15 @@ def cluster_summary(spark, sf_dir):
 
 def _quarantined(spark, sf_dir) -> DataFrame:
     """Documents without a final stop count as broken; vectors share the documents' ids."""
-    items = B.items(spark, sf_dir)
-    keyed = items.select(GROUP, ITEM, fingerprint(F.col("text")).alias("fingerprint"))
-    broken = items.filter(~F.endswith(F.rtrim("text"), F.lit("."))).select(GROUP, ITEM)
+    no_stop = ~F.endswith(F.rtrim("text"), F.lit("."))
+    keyed = stage(
+        B.items(spark, sf_dir).select(GROUP, ITEM, fingerprint(F.col("text")).alias("fingerprint"), no_stop.alias("broken")),
+        "checked",
+    )
+    broken = keyed.filter("broken").select(GROUP, ITEM)
     copies = quality.duplicates(keyed, "fingerprint", ITEM).select(GROUP, ITEM)
     outside = cluster.cluster_outliers(members(spark, sf_dir), GROUP, ITEM).select(ITEM)
-    non_main = items.select(GROUP, ITEM).join(outside, ITEM, "left_semi")
+    non_main = keyed.select(GROUP, ITEM).join(outside, ITEM, "left_semi")
     return quality.quarantine(broken, copies, non_main, [GROUP, ITEM])
 
 

@@ -11,7 +11,7 @@ from shelfmark.operators import packing, relational
 from shelfmark.plans import bindings as B
 from shelfmark.sources import files
 from shelfmark.sources.packed import write_documents, write_shards, write_sidecar
-from shelfmark.storage import new_folder
+from shelfmark.storage import new_folder, stage
 
 TARGET_MB = 1.0
 
@@ -171,7 +171,8 @@ def folder_id(spark, sf_dir):
 
 
 def _sized(spark, sf_dir) -> DataFrame:
-    return B.items(spark, sf_dir).select("item_id", "bytes")
+    """Sizes are read off the texts, so they are written once and not computed at every use."""
+    return stage(B.items(spark, sf_dir).select("item_id", "bytes"), "sizes")
 
 
 def shard_size(spark, sf_dir):

@@ -10,7 +10,7 @@ from shelfmark.functions.vectors import letter_counts, normalised
 from shelfmark.operators import quality, sequence
 from shelfmark.plans import bindings as B
 from shelfmark.sources.packed import write_documents
-from shelfmark.storage import new_folder
+from shelfmark.storage import new_folder, stage
 
 GROUP = ["collection_id"]
 KEY = ["item_id"]
@@ -118,7 +118,9 @@ def item_context(spark, sf_dir):
 
 
 def duplicates(spark, sf_dir):
-    prints = B.items(spark, sf_dir).select("item_id", sequence.fingerprint(F.col("text")).alias("fingerprint"))
+    prints = stage(
+        B.items(spark, sf_dir).select("item_id", sequence.fingerprint(F.col("text")).alias("fingerprint")), "prints"
+    )
     return quality.duplicates(prints, "fingerprint", "item_id")
 
 

@@ -137,3 +137,14 @@ def test_results_do_not_depend_on_partitioning(spark, sf_dir, partitions):
         assert {n: rows(catalog.QUERIES[n](spark, sf_dir)) for n in names} == expected
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_letter_counts_in_blocks(spark, monkeypatch):
+    from shelfmark.constants import LETTERS
+    from shelfmark.functions import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 7)
+    texts = ["", "é", "aÉéz" * 9, "x", None, "ab cé", "ÀÉÎ é", "abc" * 20, "é" * 15, "tail"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").repartition(2)
+    got = {r.i: r.hist for r in vectors.letter_counts(df, "text").collect()}
+    assert got == {i: None if t is None else [t.lower().count(c) for c in LETTERS] for i, t in enumerate(texts)}
