@@ -28,6 +28,10 @@ SCORE_LABELS = {
     9: "极好",
 }
 
+# Addresses of creators and collections in links.
+CREATOR_LINK = r"/girl/(\d+)"
+COLLECTION_LINK = r"/album/(\d+)"
+
 # Limits and thresholds.
 FALLBACK_SCORE = 5
 MAX_TAGS = 5

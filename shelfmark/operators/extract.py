@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.constants import DOM_URL_CAP, LISTING_PAGE_CAP, PATTERN_URL_CAP
+from shelfmark.constants import COLLECTION_LINK, CREATOR_LINK, DOM_URL_CAP, LISTING_PAGE_CAP, PATTERN_URL_CAP
 from shelfmark.functions.text import (
     clean_url,
     decode_entities,
@@ -53,7 +53,7 @@ def page_tags(pages: DataFrame, region: Column) -> DataFrame:
     return pages.select("page_id", F.posexplode(link_texts(region)).alias("pos", "tag"))
 
 
-def page_creator(link_href: Column, link_text: Column, title: Column, pattern: str = r"/girl/(\d+)") -> tuple[Column, Column]:
+def page_creator(link_href: Column, link_text: Column, title: Column, pattern: str = CREATOR_LINK) -> tuple[Column, Column]:
     """(creator id, creator name); the link's text counts only when its address has an id."""
     creator_id = F.regexp_extract(link_href, pattern, 1).try_cast("bigint")
     name = F.when(creator_id.isNotNull() & (link_text != ""), link_text)
@@ -104,7 +104,7 @@ def _missing_pages(listings: DataFrame) -> DataFrame:
 
 
 def listing_ids(
-    listings: DataFrame, links: Column, pattern: str = r"/album/(\d+)", max_pages: int = LISTING_PAGE_CAP
+    listings: DataFrame, links: Column, pattern: str = COLLECTION_LINK, max_pages: int = LISTING_PAGE_CAP
 ) -> DataFrame:
     """Ids linked from listing pages, each at its first place.
 

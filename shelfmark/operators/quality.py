@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.constants import CATEGORIES
+
+
+#: Categories of the registry that have a detector, in order of precedence.
+DETECTED = sorted(set(CATEGORIES) & {"broken", "duplicate", "non_main"})
+
 
 def truncated_html(html: Column) -> Column:
     return ~F.contains(F.lower(html), F.lit("</html>"))
@@ -27,11 +33,11 @@ def duplicates(items: DataFrame, print_column: str, item: str) -> DataFrame:
 def quarantine(broken: DataFrame, duplicate: DataFrame, non_main: DataFrame, key: list[str]) -> DataFrame:
     """One row per quarantined item; the first matching category in this order counts."""
     ranked = (
-        broken.select(*key, F.lit(0).alias("_rank"))
-        .unionByName(duplicate.select(*key, F.lit(1).alias("_rank")))
-        .unionByName(non_main.select(*key, F.lit(2).alias("_rank")))
+        broken.select(*key, F.lit(DETECTED.index("broken")).alias("_rank"))
+        .unionByName(duplicate.select(*key, F.lit(DETECTED.index("duplicate")).alias("_rank")))
+        .unionByName(non_main.select(*key, F.lit(DETECTED.index("non_main")).alias("_rank")))
     )
-    names = F.array(F.lit("broken"), F.lit("duplicate"), F.lit("non_main"))
+    names = F.array(*[F.lit(c) for c in DETECTED])
     return ranked.groupBy(*key).agg(F.min("_rank").alias("_rank")).select(
         *key, F.get(names, F.col("_rank")).alias("category")
     )

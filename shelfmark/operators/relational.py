@@ -174,8 +174,8 @@ def items_sorted(items: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def collections_zh(collections: DataFrame) -> DataFrame:
-    """Collections in Chinese-locale order of their names."""
-    return collections.orderBy(F.collate("name", "zh"), "collection_id")
+    """Place of every collection in the Chinese-locale order of their names."""
+    return ordered_index(collections, [], [F.collate("name", "zh"), F.col("collection_id")], "position")
 
 
 def offset_page(df: DataFrame, order: Sequence[str], offset: int, rows: int = 5) -> DataFrame:

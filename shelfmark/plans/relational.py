@@ -130,7 +130,7 @@ def items_sorted(spark, sf_dir):
 
 def collections_zh(spark, sf_dir):
     named = B.collections(spark, sf_dir).withColumn("name", F.translate(F.substring("name", 4, 20), "0123456789", "零一二三四五六七八九"))
-    return relational.collections_zh(named).select("collection_id", "name")
+    return relational.collections_zh(named.select("collection_id", "name"))
 
 
 def shuffle_order(spark, sf_dir):
@@ -360,6 +360,9 @@ ORACLE = {
          FROM items LEFT JOIN conversations ON conv_id = item_id GROUP BY item_id""",
     "items_sorted": B.cte(B.ITEMS)
     + "SELECT collection_id, file_name, item_id, row_number() OVER (PARTITION BY collection_id ORDER BY file_name, item_id) - 1 AS position FROM items",
+    "collections_zh": B.cte(*_BASE)
+    + """SELECT collection_id, name, row_number() OVER (ORDER BY name COLLATE zh, collection_id) - 1 AS position
+         FROM (SELECT collection_id, translate(substr(name, 4), '0123456789', '零一二三四五六七八九') AS name FROM collections)""",
     "shuffle_order": B.cte(B.ITEMS, _SHUFFLED) + "SELECT item_id, shuffle_key, position FROM shuffled",
     "sample_per_group": B.cte(B.ITEMS)
     + f"""SELECT collection_id, item_id, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER

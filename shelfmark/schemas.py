@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Field names and types of the stored documents and the packed dataset.
 COLLECTION_METADATA = (
     "album_id string, title string, model_name string, tags array<string>, girl_id bigint, "
     "image_count bigint, completed boolean"
@@ -18,23 +19,6 @@ LABEL_DOCUMENT = (
     f"images map<string, {ITEM_LABEL}>"
 )
 
-PACKED_COLUMNS = (
-    "image",
-    "file_name",
-    "title",
-    "model_name",
-    "tags",
-    "album_id",
-    "text_en",
-    "text_cn",
-    "album_score",
-    "album_reason",
-    "ai_score",
-    "ai_reason",
-    "has_face",
-    "has_fullbody",
-)
-
 PACKED = (
     "image struct<bytes: binary, path: string>, file_name string, title string, model_name string, "
     "tags array<string>, album_id bigint, text_en string, text_cn string, album_score tinyint, "

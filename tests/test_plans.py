@@ -4,20 +4,11 @@ from __future__ import annotations
 
 import re
 
-import pytest
+from oracle import plan_of
 
 from shelfmark.plans import catalog
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
-def test_no_cross_join(spark, sf_dir, name):
-    plan = plan_of(catalog.QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
 
 
 def scanned(plan: str) -> set[str]:
