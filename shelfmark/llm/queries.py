@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.common import read
 from shelfmark.llm.exact_dedup import exact_dedup
+from shelfmark.llm.mixing import mix_documents
+
+
+def op4_slot_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(read(spark, sf_dir, "documents")).drop("d", "h")
 
 
 def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +18,7 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
 }
 
