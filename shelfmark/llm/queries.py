@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm.common import read
+from shelfmark.llm.decontaminate import decontaminate
 from shelfmark.llm.exact_dedup import exact_dedup
 from shelfmark.llm.mixing import mix_documents
 
@@ -17,9 +18,14 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_rare_shingle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
+    "op8_rare_shingle": op8_rare_shingle,
 }
 
 ORACLE = {
@@ -28,4 +34,30 @@ ORACLE = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_rare_shingle": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+                lambda w: w <> '') AS w FROM documents),
+        b AS (
+            SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+                lambda w: w <> '') AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS k, list_slice(w, i, i + least(len(w), 13) - 1) AS win
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        lens AS (SELECT DISTINCT k FROM bw),
+        dw AS (
+            SELECT doc_id, k, i, list_slice(w, i, i + k - 1) AS win
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, lens WHERE len(w) >= k)),
+        hit AS (SELECT doc_id, item_id, i, dw.k FROM dw JOIN bw USING (k, win)),
+        pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY 1),
+        it AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS l
+               FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(l, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+    """,
 }
