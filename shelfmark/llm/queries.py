@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfmark.llm.common import read
 from shelfmark.llm.decontaminate import decontaminate
 from shelfmark.llm.exact_dedup import exact_dedup
+from shelfmark.llm.jaccard import jaccard_join
 from shelfmark.llm.mixing import mix_documents
 
 
+def op1_grouped_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read(spark, sf_dir, "documents"))
+
+
 def op4_slot_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read(spark, sf_dir, "documents")).drop("d", "h")
 
@@ -23,6 +28,7 @@ def op8_rare_shingle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_grouped_prefix": op1_grouped_prefix,
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
     "op8_rare_shingle": op8_rare_shingle,
