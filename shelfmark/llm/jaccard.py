@@ -37,11 +37,12 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import doc_key, give_back, id_of, stage, text_hash
 from shelfmark.llm.components import components
+from shelfmark.llm.tables import tree_sum
 
 SHINGLE = 4
 PERCENT = 85
-#: Counters of the order, in blocks of BLOCK; at most FAN_IN tables are summed at once.
-SKETCH, BLOCK, FAN_IN = 1 << 20, 1 << 16, 64
+#: Counters of the order, in blocks of BLOCK.
+SKETCH, BLOCK = 1 << 20, 1 << 16
 #: Bits of the parity bitmap.
 BITS = 2048
 #: Bytes of text that are taken apart at once.
@@ -87,7 +88,7 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def count_shingles(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
-    """Documents per counter. Tables of the tasks are summed block by block, FAN_IN at a time."""
+    """Documents per counter. The tables of the tasks are summed block by block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -97,28 +98,17 @@ def count_shingles(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
             for _, texts in _chunks(batch.column(0).to_pylist()):
                 sets = shingle_hashes(texts, width)
                 total += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        blocks = [total[i : i + BLOCK].astype(np.uint32).tobytes() for i in range(0, SKETCH, BLOCK)]
+        blocks = [total[i : i + BLOCK].tobytes() for i in range(0, SKETCH, BLOCK)]
         task = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(blocks)), pa.int32()), pa.array([task] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())],
             names=["block", "part", "counts"],
         )
 
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(BLOCK, np.uint64)
-        for data in rows["counts"]:
-            total += np.frombuffer(data, np.uint32)
-        total = np.minimum(total, np.uint64(2**32 - 1)).astype(np.uint32)
-        return pd.DataFrame({"block": [key[0]], "part": [key[1]], "counts": [total.tobytes()]})
-
     schema = "block int, part int, counts binary"
     tables = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(count, schema)
-    tables = stage(tables, "shingle-counts")
-    while (tables.agg(F.max("part")).first()[0] or 0) > 0:
-        merged = tables.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
-        tables = stage(merged.groupBy("block", "part").applyInPandas(add, schema), "shingle-counts")
-    rows = tables.orderBy("block").collect()  # SKETCH counters, whatever the input
-    return np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows]) if rows else np.zeros(SKETCH, np.uint32)
+    rows = tree_sum(tables, ["block"], "shingle-counts").orderBy("block").collect()  # SKETCH counters, whatever the input
+    return np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows]) if rows else np.zeros(SKETCH, np.int64)
 
 
 def _as_signed(values: np.ndarray) -> np.ndarray:

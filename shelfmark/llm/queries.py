@@ -8,6 +8,7 @@ from shelfmark.llm.common import read
 from shelfmark.llm.decontaminate import decontaminate
 from shelfmark.llm.exact_dedup import exact_dedup
 from shelfmark.llm.jaccard import jaccard_join
+from shelfmark.llm.language import language_table
 from shelfmark.llm.mixing import mix_documents
 
 
@@ -23,6 +24,10 @@ def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_table(read(spark, sf_dir, "documents"))
+
+
 def op8_rare_shingle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -31,6 +36,7 @@ QUERIES = {
     "op1_grouped_prefix": op1_grouped_prefix,
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
+    "op6_mixture": op6_mixture,
     "op8_rare_shingle": op8_rare_shingle,
 }
 
