@@ -10,6 +10,7 @@ from shelfmark.llm.exact_dedup import exact_dedup
 from shelfmark.llm.jaccard import jaccard_join
 from shelfmark.llm.language import language_table
 from shelfmark.llm.mixing import mix_documents
+from shelfmark.llm.toxicity import score_toxicity
 
 
 def op1_grouped_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +33,17 @@ def op8_rare_shingle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op9_subword_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_grouped_prefix": op1_grouped_prefix,
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
     "op6_mixture": op6_mixture,
     "op8_rare_shingle": op8_rare_shingle,
+    "op9_subword_bag": op9_subword_bag,
 }
 
 ORACLE = {
