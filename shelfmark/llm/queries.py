@@ -10,6 +10,7 @@ from shelfmark.llm.exact_dedup import exact_dedup
 from shelfmark.llm.jaccard import jaccard_join
 from shelfmark.llm.language import language_table
 from shelfmark.llm.mixing import mix_documents
+from shelfmark.llm.secrets import find_secrets
 from shelfmark.llm.toxicity import score_toxicity
 
 
@@ -29,6 +30,10 @@ def op6_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_table(read(spark, sf_dir, "documents"))
 
 
+def op7_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(read(spark, sf_dir, "documents"))
+
+
 def op8_rare_shingle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -42,6 +47,7 @@ QUERIES = {
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
     "op6_mixture": op6_mixture,
+    "op7_field": op7_field,
     "op8_rare_shingle": op8_rare_shingle,
     "op9_subword_bag": op9_subword_bag,
 }
