@@ -12,12 +12,17 @@ from shelfmark.llm.language import language_table
 from shelfmark.llm.mixing import mix_documents
 from shelfmark.llm.secrets import find_secrets
 from shelfmark.llm.toxicity import score_toxicity
+from shelfmark.llm.warc import archive_round_trip
 
 
 def op1_grouped_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read(spark, sf_dir, "documents"))
 
 
+def op2_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read(spark, sf_dir, "pages"))
+
+
 def op4_slot_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read(spark, sf_dir, "documents")).drop("d", "h")
 
@@ -44,6 +49,7 @@ def op9_subword_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_grouped_prefix": op1_grouped_prefix,
+    "op2_chunk_table": op2_chunk_table,
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
     "op6_mixture": op6_mixture,
