@@ -10,6 +10,7 @@ from shelfmark.llm.exact_dedup import exact_dedup
 from shelfmark.llm.jaccard import jaccard_join
 from shelfmark.llm.language import language_table
 from shelfmark.llm.mixing import mix_documents
+from shelfmark.llm.scoring import score_texts
 from shelfmark.llm.secrets import find_secrets
 from shelfmark.llm.toxicity import score_toxicity
 from shelfmark.llm.warc import archive_round_trip
@@ -23,6 +24,10 @@ def op2_chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(read(spark, sf_dir, "pages"))
 
 
+def op3_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
 def op4_slot_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(read(spark, sf_dir, "documents")).drop("d", "h")
 
@@ -50,6 +55,7 @@ def op9_subword_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_grouped_prefix": op1_grouped_prefix,
     "op2_chunk_table": op2_chunk_table,
+    "op3_attention": op3_attention,
     "op4_slot_schedule": op4_slot_schedule,
     "op5_block_naming": op5_block_naming,
     "op6_mixture": op6_mixture,
