@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.llm.common import read
 from shelfmark.llm.decontaminate import decontaminate
 from shelfmark.llm.exact_dedup import exact_dedup
 from shelfmark.llm.jaccard import jaccard_join
 from shelfmark.llm.language import language_table
+from shelfmark.llm.line_dedup import dedup_lines
 from shelfmark.llm.mixing import mix_documents
 from shelfmark.llm.scoring import score_texts
 from shelfmark.llm.secrets import find_secrets
@@ -52,6 +54,12 @@ def op9_subword_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_deletion_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that remain are given by their digest."""
+    cut = dedup_lines(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_grouped_prefix": op1_grouped_prefix,
     "op2_chunk_table": op2_chunk_table,
@@ -62,6 +70,7 @@ QUERIES = {
     "op7_field": op7_field,
     "op8_rare_shingle": op8_rare_shingle,
     "op9_subword_bag": op9_subword_bag,
+    "op10_deletion_keys": op10_deletion_keys,
 }
 
 ORACLE = {
@@ -96,4 +105,26 @@ ORACLE = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
     """,
+    "op10_deletion_keys": r"""
+        WITH l AS (
+            SELECT doc_id, i, s[i] AS line, len(s) AS n_lines
+            FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+        u AS (SELECT line, min((doc_id, i)) AS first, length(line) AS n FROM l WHERE length(line) >= 20 GROUP BY line),
+        pairs AS (
+            SELECT a.line AS a, a.n AS n, b.line AS b, b.n AS m FROM u a JOIN u b ON b.n BETWEEN a.n - 1 AND a.n + 1
+                AND b.first < a.first AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)
+                    OR right(a.line, least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) // 2))),
+        near AS (
+            SELECT DISTINCT a AS line FROM pairs WHERE CASE
+                WHEN n = m THEN len(list_filter(range(1, n + 1), lambda p: substr(a, p, 1) <> substr(b, p, 1))) = 1
+                WHEN n > m THEN len(list_filter(range(0, n), lambda p: left(a, p) || substr(a, p + 2) = b)) > 0
+                ELSE len(list_filter(range(0, m), lambda p: left(b, p) || substr(b, p + 2) = a)) > 0 END),
+        k AS (
+            SELECT doc_id, i, l.line, n_lines, u.line IS NOT NULL AND (near.line IS NOT NULL OR (doc_id, i) <> u.first) AS gone
+            FROM l LEFT JOIN u USING (line) LEFT JOIN near USING (line))
+        SELECT doc_id, any_value(n_lines) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS text_sha256
+        FROM k GROUP BY doc_id
+    """,
 }
