@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import ascii_lower, doc_key, id_of, stage, text_hash
+from shelfmark.llm.common import ascii_lower, doc_key, give_back, id_of, stage, text_hash
 
 #: Everything in ASCII that is neither a letter nor a digit parts words; other characters belong to them.
 PARTS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -139,8 +139,8 @@ def hits(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     return hit_words(found).join(held.agg(F.array_sort(F.collect_set("item")).alias("items")), ["d", "h"])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+def _judged(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
+    """(d, h, n_words, n_hit, items, contaminated) of every row of ``docs``."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     every = docs.select(
         doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"),
@@ -149,10 +149,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     )
     marked = every.join(hits(docs, items, id_col=id_col, text_col=text_col, **options), ["d", "h"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
-    listed = F.coalesce("items", F.array().cast("array<string>"))
     return marked.select(
-        id_of(F.col("d")).alias("doc_id"), "n_words", n_hit.alias("n_hit"),
-        F.size(listed).cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256"),
+        "d", "h", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return _judged(docs, items, id_col, text_col, **options).select(
+        id_of(F.col("d")).alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Rows of ``docs`` that are not contaminated."""
+    judged = _judged(docs, items, id_col, text_col, **options)
+    clean = judged.filter(~F.col("contaminated")).select("d", "h").distinct()
+    return give_back(docs, clean, id_col, text_col)

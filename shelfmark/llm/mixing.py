@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import WORD, doc_key, id_of, stage, text_hash
+from shelfmark.llm.common import WORD, doc_key, give_back, id_of, stage, text_hash
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -185,3 +185,19 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "d", "h", id_of(F.col("d")).alias("doc_id"), "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "first_slot",
     )
+
+
+def keep_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """Rows of ``docs`` that the mix takes words of, with size, source_size, target, taken and first_slot.
+
+    Of columns that ``docs`` has already, those of the mix win. Rows that repeat an id, a text and a
+    source count as one here, with the words taken of all of them.
+    """
+    own = ["size", "source_size", "target", "taken", "first_slot"]
+    mixed = mix_documents(docs, id_col, text_col, source_col, **options).filter("taken > 0")
+    found = mixed.groupBy("d", "h").agg(
+        F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"),
+        F.sum("taken").alias("taken"), F.min("first_slot").alias("first_slot"),
+    )
+    rows = docs.drop(*[c for c in own if c not in (id_col, text_col, source_col)]).dropDuplicates([id_col, text_col])
+    return give_back(rows, found, id_col, text_col)

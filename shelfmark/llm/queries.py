@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfmark.llm.common import read
 from shelfmark.llm.decontaminate import decontaminate
 from shelfmark.llm.exact_dedup import exact_dedup
@@ -71,6 +72,7 @@ QUERIES = {
     "op8_rare_shingle": op8_rare_shingle,
     "op9_subword_bag": op9_subword_bag,
     "op10_deletion_keys": op10_deletion_keys,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
