@@ -32,19 +32,15 @@ SCORE_LABELS = {
 CREATOR_LINK = r"/girl/(\d+)"
 COLLECTION_LINK = r"/album/(\d+)"
 
-# Limits and thresholds.
+# Where a name ends that stands in a title, after a bracket or at its start.
+NAME_END_AFTER_BRACKET = ("[-_]", "[A-Za-z]")
+NAME_END_AT_START = ("[-_]", "[A-Za-z0-9]")
+
+# Thresholds.
 FALLBACK_SCORE = 5
-MAX_TAGS = 5
-VOCABULARY_SIZE = 32
-EXPORT_MEMBERS = 10
-DOM_URL_CAP = 100
-PATTERN_URL_CAP = 200
-LISTING_PAGE_CAP = 999
-SEARCH_PAGE_CAP = 5
 TITLE_LENGTH = 50
 SAMPLE_COUNT = 8
 ROW_OVERHEAD_BYTES = 2000
-SIZE_SAMPLE_ROWS = 50
 SHARD_MB = 200
 CLUSTER_THRESHOLD = 0.5
 MIN_CLUSTER_ITEMS = 3
@@ -59,41 +55,29 @@ HISTOGRAM_EPSILON = 1e-7
 # Quarantine categories.
 CATEGORIES = ("non_main", "broken", "watermark", "blur", "duplicate")
 
-# Letters counted by the text histogram.
+# Letters counted by the text histogram.
 LETTERS = "abcdefghijklmnopqrstuvwxyzé"
 
-# White space as Python's str.strip() sees it (ASCII, NEL, NBSP and Unicode spaces).
+# White space as Python's str.strip() sees it (ASCII, NEL, NBSP and Unicode spaces).
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The same white space as a regular-expression class.
+# The same white space as a regular-expression class.
 SPACE_CLASS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
-# HTML entities decoded in titles and link texts; the ampersand comes last.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", "\xa0"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-
-# Description of a sequence by type; {n} items, {k} key items.
+# Description of a sequence by type; {n} items, {k} key items.
 SEQUENCE_TEXT = {
-    "stepwise": ("A sequence of {n} items that changes step by step, with {k} key items.", "共{n}个条目，逐步变化，{k}个关键条目。"),
-    "segmented": ("A sequence of {n} items in {k} distinct segments.", "共{n}个条目，分为{k}个片段。"),
-    "continuous": ("A sequence of {n} items that keeps changing, with {k} key items.", "共{n}个条目，持续变化，{k}个关键条目。"),
-    "minimal": ("A sequence of {n} items with {k} changes.", "共{n}个条目，{k}次变化。"),
-    "random": ("A collection of {n} mixed items.", "共{n}个混合条目。"),
+    "stepwise": ("type=stepwise; items={n}; key_items={k}", "类型=渐变；条目={n}；关键={k}"),
+    "segmented": ("type=segmented; items={n}; segments={k}", "类型=分段；条目={n}；分段={k}"),
+    "continuous": ("type=continuous; items={n}; key_items={k}", "类型=流动；条目={n}；关键={k}"),
+    "minimal": ("type=minimal; items={n}; changes={k}", "类型=静态；条目={n}；变化={k}"),
+    "random": ("type=random; items={n}", "类型=无序；条目={n}"),
 }
-DEFAULT_SEQUENCE_TEXT = ("A sequence with {n} items.", "共{n}个条目。")
+DEFAULT_SEQUENCE_TEXT = ("items={n}", "条目={n}")
 
-# Fallback rubric, used when no configuration file is given.
+# Fallback rubric, used when no configuration file is given.
 DEFAULT_RUBRIC = {
     "factors": {
         "clarity": {"weight": 0.30, "sub_factors": {"focus": 0.6, "noise": 0.4}},

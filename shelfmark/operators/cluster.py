@@ -2,7 +2,8 @@
 
 Rows of a group are taken in order; a row joins the earliest leader at least ``threshold`` similar
 to it, else it becomes a leader. Only row-to-leader similarities are ever computed, and no task
-holds more than ``span`` rows of a group plus ``batch`` leaders.
+holds more than ``span`` rows of a group plus ``batch`` leaders. An item may have any number of
+vectors, each a row of its own; null vectors take no part, and a null group is a group.
 """
 
 from __future__ import annotations
@@ -12,23 +13,45 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.constants import CLUSTER_THRESHOLD, EXPORT_MEMBERS, MIN_CLUSTER_ITEMS
+from shelfmark.constants import CLUSTER_THRESHOLD, MIN_CLUSTER_ITEMS
 from shelfmark.functions.vectors import unit
-from shelfmark.scale import HOT_ROWS, attach, largest_group, ordered_index
+from shelfmark.scale import HOT_ROWS, attach, largest_group, null_safe_join, ordered_index
 from shelfmark.storage import stage
 
-BATCH = 4096
+BATCH = 16_384
 CHUNK = 50_000
 _BLOCK = 1024
+#: Products this near the threshold are computed again by the one kernel that decides.
+_NEAR = 1e-9
 
 
 def _matrix(column):
     import numpy as np
 
+    import pyarrow.compute as pc
+
     flat = column.combine_chunks()
+    sizes = pc.unique(pc.list_value_length(flat)).to_pylist()
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(sizes)}")
     return np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1)
 
 
+def _dot(x, y):
+    """Row-wise products; a row's result does not depend on the rows beside it."""
+    return (x * y).sum(axis=-1)
+
+
+def _fits(likeness, x, seeds, threshold: float):
+    """Where ``likeness``, products of ``x`` by ``seeds``, reaches the threshold by the exact kernel."""
+    import numpy as np
+
+    fits = likeness >= threshold
+    for i, j in zip(*np.nonzero(np.abs(likeness - threshold) < _NEAR)):
+        fits[i, j] = _dot(x[i], seeds[j]) >= threshold
+    return fits
+
+
 def _with_leader(table, leader, sim):
     import pyarrow as pa
 
@@ -55,9 +78,10 @@ def _decide_batch(threshold: float):
             if leader[i] >= 0:
                 continue
             leader[i], sim[i] = idx[i], 1.0
-            likeness = x[i + 1 :] @ x[i]
-            hit = np.flatnonzero((likeness >= threshold) & (leader[i + 1 :] < 0))
-            leader[i + 1 + hit], sim[i + 1 + hit] = idx[i], likeness[hit]
+            rest = x[i + 1 :]
+            fits = _fits((rest @ x[i])[:, None], rest, x[i : i + 1], threshold)[:, 0]
+            hit = i + 1 + np.flatnonzero(fits & (leader[i + 1 :] < 0))
+            leader[hit], sim[hit] = idx[i], _dot(x[hit], x[i])
         return _with_leader(table, leader, sim)
 
     return decide
@@ -77,12 +101,12 @@ def _match_leaders(threshold: float):
             seeds, seed_idx = _matrix(leaders.column("vec")), leaders.column("idx").to_numpy()
             x = _matrix(rows.column("vec"))
             for start in range(0, n, _BLOCK):
-                likeness = x[start : start + _BLOCK] @ seeds.T
-                fits = likeness >= threshold
+                part = x[start : start + _BLOCK]
+                fits = _fits(part @ seeds.T, part, seeds, threshold)
                 first = fits.argmax(axis=1)
                 at = np.flatnonzero(fits[np.arange(len(first)), first])
                 found[start + at] = seed_idx[first[at]]
-                sim[start + at] = likeness[at, first[at]]
+                sim[start + at] = _dot(part[at], seeds[first[at]])
         return _with_leader(rows, found, sim)
 
     return match
@@ -99,7 +123,10 @@ def leader_clusters(
     chunk: int = CHUNK,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Cluster of every row: group, item, idx, leader (the leader's idx), leader_sim.
+    """Cluster of every row with a vector: group, item, idx, leader (the leader's idx), leader_sim.
+
+    Rows that ``order`` leaves tied are taken by their vectors, so ``order`` need not tell the vectors of
+    an item apart. Vectors of different lengths are an error.
 
     Groups of up to ``batch`` rows are decided in one step. For larger ones the first ``batch``
     undecided rows of every group are decided together, all later rows are matched against the new
@@ -107,11 +134,13 @@ def leader_clusters(
     a lost executor costs no more than the round's own tasks. The result is written, too: whatever
     is read off the clusters looks at it more than once.
     """
+    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())
+    rows = rows.filter(whole)
     keyed = rows.select(
         F.col(group).alias("_g"), F.col(item).alias("item"), unit(vector).alias("vec"),
-        *[o.alias(f"_o{i}") for i, o in enumerate(order)],
+        *[o.alias(f"_o{i}") for i, o in enumerate([*order, F.xxhash64(vector)])],
     )
-    order_names = [f"_o{i}" for i in range(len(order))]
+    order_names = [f"_o{i}" for i in range(len(order) + 1)]
     by_order = [F.col(o) for o in order_names]
     group_type = keyed.schema["_g"].dataType.simpleString()
     item_type = keyed.schema["item"].dataType.simpleString()
@@ -124,8 +153,10 @@ def leader_clusters(
         decided = placed.groupBy("_g").applyInArrow(_decide_batch(threshold), decided_schema)
         return stage(_named(decided, group, item), "clusters")
 
-    index = ordered_index(keyed.drop("vec"), ["_g"], by_order, span=chunk, biggest=biggest).select("_g", "item", "idx")
-    undecided = stage(keyed.select("_g", "item", "vec").join(index, ["_g", "item"]).select(*columns), "cluster")
+    # Every vector gets a key of its own, written once, by which its position finds it again.
+    keyed = stage(keyed.withColumn("_v", F.monotonically_increasing_id()), "vectors")
+    index = ordered_index(keyed.select("_g", "_v", *order_names), ["_g"], by_order, span=chunk, biggest=biggest)
+    undecided = stage(keyed.join(index.select("_v", "idx"), "_v").select(*columns), "cluster")
     parts = []
     while True:
         # Slices of the index hold at most ``batch`` rows; take as many as together stay within it.
@@ -145,11 +176,13 @@ def leader_clusters(
         bounded = attach(undecided, cut, ["_g"], ["idx"], "inner", hot_rows)
         head = bounded.filter(F.col("idx") < F.col("_end")).select(*columns)
         decided = stage(head.groupBy("_g").applyInArrow(_decide_batch(threshold), decided_schema), "cluster")
+        if decided.isEmpty():
+            raise RuntimeError("a round decided nothing, but rows remain")
         parts.append(decided)
 
         place = F.floor(F.col("idx") / chunk).alias("_chunk")
         rest = bounded.filter(F.col("idx") >= F.col("_end")).select(*columns, place)
-        leaders = decided.filter(F.col("leader") == F.col("idx")).select(*columns).join(cut, "_g")
+        leaders = null_safe_join(decided.filter(F.col("leader") == F.col("idx")).select(*columns), cut, ["_g"])
         chunks = F.sequence(F.floor(F.col("_end") / chunk), F.floor((F.col("_last") + 1) * batch / chunk))
         copies = leaders.repartition("_g", "idx").select(*columns, F.explode(chunks).alias("_chunk"))
         matched = stage(
@@ -191,13 +224,12 @@ def with_main(members: DataFrame, group: str, item: str, hot_rows: int = HOT_ROW
     )
 
 
-def first_members(members: DataFrame, group: str, item: str, count: int = EXPORT_MEMBERS) -> DataFrame:
-    """First items of each group for its exported result; cut to ``count`` before the shuffle."""
-    window = Window.partitionBy(group).orderBy("idx")
-    head = members.select(group, item, "idx", F.row_number().over(window).alias("_r")).filter(F.col("_r") <= count)
-    return head.groupBy(group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col(item).alias("item")))), lambda x: x["item"]).alias("members")
-    )
+def listed_members(rows: DataFrame, group: str, item: str, order: Sequence[Column], count: int | None = None) -> DataFrame:
+    """Items of each group for its exported result, one row each with its place; ``count`` may cut the list."""
+    placed = ordered_index(rows.select(group, item, *[o.alias(f"_o{i}") for i, o in enumerate(order)]), [group],
+                           [F.col(f"_o{i}") for i in range(len(order))], "place")
+    listed = placed.select(group, item, "place")
+    return listed if count is None else listed.filter(F.col("place") < count)
 
 
 def cluster_outliers(members: DataFrame, group: str, item: str, hot_rows: int = HOT_ROWS) -> DataFrame:

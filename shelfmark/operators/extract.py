@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.constants import COLLECTION_LINK, CREATOR_LINK, DOM_URL_CAP, LISTING_PAGE_CAP, PATTERN_URL_CAP
+from shelfmark.constants import COLLECTION_LINK, CREATOR_LINK
 from shelfmark.functions.text import (
     clean_url,
     decode_entities,
@@ -20,10 +20,45 @@ from shelfmark.storage import stage
 ITEM_SUFFIX = r"\.(jpg|jpeg|png|webp)$"
 
 
+def _opening(name: str) -> str:
+    """Pattern of an opening tag that carries a class."""
+    word = rf"(?<![\w-]){name}(?![\w-])"
+    return rf"""<(\w+)\b[^>]*?\bclass\s*=\s*(?:"[^"]*{word}[^"]*"|'[^']*{word}[^']*'|{name}(?=[\s>]))[^>]*>"""
+
+
+def _inner(from_tag: Column) -> Column:
+    """Inner HTML of the element at the start of the text, up to the closing tag on its level."""
+    element = F.regexp_extract(from_tag, r"(?is)^<(\w+)", 1)
+    rest = F.regexp_replace(from_tag, r"(?is)^<[^>]*>", "")
+    # Cut before every opening and closing tag of the same element, and walk down and up.
+    parts = F.split(rest, F.concat(F.lit(r"(?i)(?=</?"), element, F.lit(r"\b)")))
+    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
+
+    def step(state: Column, part: Column) -> Column:
+        change = (
+            F.when(F.startswith(part, F.lit("</")), -1)
+            .when(F.startswith(F.lower(part), F.concat(F.lit("<"), F.lower(element))) & ~part.rlike(r"(?s)^<[^>]*/>"), 1)
+            .otherwise(0)
+        )
+        depth = F.when(state["depth"] > 0, state["depth"] + change).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(state["text"], part)).otherwise(state["text"]).alias("text"))
+
+    return F.aggregate(parts, start, step)["text"]
+
+
+def class_regions(html: Column, name: str) -> Column:
+    """Inner HTML of every element carrying a class, nested ones within their parents, too."""
+    parts = F.split(html, rf"(?is)(?={_opening(name)})")
+    opened = F.regexp_count(html, F.lit(rf"(?is){_opening(name)}"))
+    # A page that begins with such a tag has no part before it.
+    skip = F.size(parts) - opened
+    tails = F.transform(F.sequence(F.lit(1), opened), lambda i: F.array_join(F.slice(parts, skip + i, F.size(parts)), ""))
+    return F.when(opened > 0, F.transform(tails, _inner)).otherwise(F.array().cast("array<string>"))
+
+
 def class_region(html: Column, name: str) -> Column:
-    """Inner HTML of the first element carrying a class, up to its first closing tag."""
-    pattern = rf"""(?is)<(\w+)\b[^>]*\bclass\s*=\s*["'][^"']*(?<![\w-]){name}(?![\w-])[^"']*["'][^>]*>(.*?)</\1\s*>"""
-    return F.regexp_extract(html, pattern, 2)
+    """Inner HTML of the first element carrying a class, empty without one."""
+    return F.coalesce(F.get(class_regions(html, name), F.lit(0)), F.lit(""))
 
 
 def tag_region(html: Column, tag: str) -> Column:
@@ -31,8 +66,9 @@ def tag_region(html: Column, tag: str) -> Column:
 
 
 def attribute(element: Column, name: str) -> Column:
-    """Value of an attribute inside an opening tag, empty when absent."""
-    return decode_entities(F.regexp_extract(element, rf"""(?is)(?<![\w-]){name}\s*=\s*["']([^"']*)["']""", 1))
+    """Value of an attribute inside an opening tag, in either quotes or none; empty when absent."""
+    pattern = rf"""(?is)(?<![\w-]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return decode_entities(F.concat(*[F.regexp_extract(element, pattern, i) for i in (1, 2, 3)]))
 
 
 def page_title(html: Column, page_id: Column) -> Column:
@@ -60,11 +96,10 @@ def page_creator(link_href: Column, link_text: Column, title: Column, pattern: s
     return creator_id, F.coalesce(name, name_from_title(title), F.lit(""))
 
 
-def dom_urls(region: Column, tag: str = "img", attributes: tuple[str, ...] = ("src", "data-src")) -> Column:
-    """First ``DOM_URL_CAP`` absolute addresses of a region's elements, query dropped.
-
-    The cap is part of the extraction rule, not a limit on its cost.
-    """
+def dom_urls(
+    region: Column, tag: str = "img", attributes: tuple[str, ...] = ("src", "data-src"), most: int | None = None
+) -> Column:
+    """Absolute addresses of a region's elements, query dropped; ``most`` may limit their number."""
     elements = F.regexp_extract_all(region, F.lit(rf"(?is)<{tag}\b[^>]*>"), 0)
 
     def address(element: Column) -> Column:
@@ -72,22 +107,25 @@ def dom_urls(region: Column, tag: str = "img", attributes: tuple[str, ...] = ("s
         return F.coalesce(*[F.when(f != "", f) for f in found], F.lit(""))
 
     absolute = F.filter(F.transform(elements, address), lambda u: F.contains(u, F.lit("://")))
-    return F.slice(F.transform(absolute, clean_url), 1, DOM_URL_CAP)
-
+    urls = F.transform(absolute, clean_url)
+    return urls if most is None else F.slice(urls, 1, most)
 
-def pattern_urls(html: Column, pattern: str) -> Column:
-    """Addresses among the first ``PATTERN_URL_CAP`` raw matches that end in an item suffix.
 
-    The query is dropped before the suffix is tested.
-    """
-    matches = F.slice(F.regexp_extract_all(html, F.lit(pattern), 0), 1, PATTERN_URL_CAP)
+def pattern_urls(html: Column, pattern: str, most: int | None = None) -> Column:
+    """Raw matches that end in an item suffix once the query is dropped; ``most`` may limit the matches."""
+    matches = F.regexp_extract_all(html, F.lit(pattern), 0)
+    matches = matches if most is None else F.slice(matches, 1, most)
     return F.filter(F.transform(matches, clean_url), lambda u: u.rlike(ITEM_SUFFIX))
 
 
-def media_urls(pages: DataFrame, *passes: Column) -> DataFrame:
-    """Addresses of all passes in order, each once, with dense 1-based positions and file names."""
+def media_urls(pages: DataFrame, *passes: Column, region: Column | None = None) -> DataFrame:
+    """Addresses of all passes in order, each once, with dense 1-based positions and file names.
+
+    With ``region``, a page whose region is empty has no addresses at all, raw ones included.
+    """
     urls = F.array_distinct(F.concat(*passes))
-    found = pages.select("page_id", F.posexplode(urls).alias("_p", "url"))
+    rows = pages if region is None else pages.filter(region != "")
+    found = rows.select("page_id", F.posexplode(urls).alias("_p", "url"))
     return found.select(
         "page_id",
         (F.col("_p") + 1).alias("position"),
@@ -104,7 +142,7 @@ def _missing_pages(listings: DataFrame) -> DataFrame:
 
 
 def listing_ids(
-    listings: DataFrame, links: Column, pattern: str = COLLECTION_LINK, max_pages: int = LISTING_PAGE_CAP
+    listings: DataFrame, links: Column, pattern: str = COLLECTION_LINK, max_pages: int | None = None
 ) -> DataFrame:
     """Ids linked from listing pages, each at its first place.
 
@@ -117,7 +155,7 @@ def listing_ids(
     bare = F.array(F.struct(F.lit(None).cast("bigint").alias("collection_id"), F.lit(0).alias("pos")))
     found = F.when(F.size(places) == 0, bare).otherwise(F.filter(places, lambda p: p["collection_id"].isNotNull()))
     first = stage(
-        listings.filter(F.col("page_no") <= max_pages)
+        (listings if max_pages is None else listings.filter(F.col("page_no") <= max_pages))
         .select("listing_id", "page_no", F.explode(found).alias("p"))
         .groupBy("listing_id", "p.collection_id")
         .agg(F.min(F.struct("page_no", "p.pos")).alias("at"))

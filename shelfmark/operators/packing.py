@@ -5,25 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.constants import ROW_OVERHEAD_BYTES, SHARD_MB, SIZE_SAMPLE_ROWS
+from shelfmark.constants import ROW_OVERHEAD_BYTES, SHARD_MB
 from shelfmark.functions.text import blank_to_null, folder_name, stem_of
 from shelfmark.operators.relational import seeded_order
 from shelfmark.scale import HOT_ROWS, SPAN, attach, largest_group, ordered_index
 
 
-def shard_size(items: DataFrame, target_mb: float = SHARD_MB, seed: str = "42") -> DataFrame:
-    """Rows per shard from the mean size of the first rows of the shuffle (a top-k, not a sort)."""
-    sample = (
-        items.select("item_id", "bytes", seeded_order(F.col("item_id"), seed).alias("_key"))
-        .orderBy("_key", "item_id")
-        .limit(SIZE_SAMPLE_ROWS)
-    )
-    mean = F.avg("bytes")
-    rows = F.floor(F.lit(float(target_mb * 1024 * 1024)) / (mean + ROW_OVERHEAD_BYTES))
-    return sample.agg(
-        F.count(F.lit(1)).alias("sampled"),
-        F.sum("bytes").alias("sampled_bytes"),
-        F.greatest(rows, F.lit(1)).cast("bigint").alias("rows_per_shard"),
+def shard_size(items: DataFrame, target_mb: float = SHARD_MB) -> DataFrame:
+    """Rows per shard from the mean size of all rows; one aggregate that combines map-side."""
+    rows = F.floor(F.lit(float(target_mb * 1024 * 1024)) / (F.avg("bytes") + ROW_OVERHEAD_BYTES))
+    return items.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("bytes").alias("bytes"),
+        F.coalesce(F.greatest(rows, F.lit(1)), F.lit(1)).cast("bigint").alias("rows_per_shard"),
     )
 
 
@@ -31,7 +25,7 @@ def assign_shards(
     items: DataFrame, target_mb: float = SHARD_MB, seed: str = "42", span: int = SPAN
 ) -> DataFrame:
     """Add the position in the shuffle and the shard number; pass narrow rows with their ``bytes``."""
-    size = shard_size(items, target_mb, seed).select("rows_per_shard")
+    size = shard_size(items, target_mb).select("rows_per_shard")
     keyed = items.withColumn("_key", seeded_order(F.col("item_id"), seed))
     placed = ordered_index(keyed, [], [F.col("_key"), F.col("item_id")], "position", span)
     return placed.withColumn("shard", F.floor(F.col("position") / size.scalar()).cast("bigint")).drop("_key")

@@ -13,12 +13,16 @@ DETECTED = sorted(set(CATEGORIES) & {"broken", "duplicate", "non_main"})
 
 
 def truncated_html(html: Column) -> Column:
-    return ~F.contains(F.lower(html), F.lit("</html>"))
+    """A page without its closing tag; no page at all counts, too."""
+    return ~F.coalesce(F.contains(F.lower(html), F.lit("</html>")), F.lit(False))
 
 
 def first_copies(items: DataFrame, print_column: str, item: str) -> DataFrame:
-    """First item of every fingerprint and the number of its copies; combines map-side."""
-    return items.groupBy(print_column).agg(F.min(item).alias(item), F.count(F.lit(1)).alias("copies"))
+    """First item of every fingerprint and the number of its copies; combines map-side.
+
+    A null fingerprint belongs to a missing payload, which is broken and no copy of others.
+    """
+    return items.filter(F.col(print_column).isNotNull()).groupBy(print_column).agg(F.min(item).alias(item), F.count(F.lit(1)).alias("copies"))
 
 
 def duplicates(items: DataFrame, print_column: str, item: str) -> DataFrame:
@@ -27,7 +31,7 @@ def duplicates(items: DataFrame, print_column: str, item: str) -> DataFrame:
     The anti join is on the unique item key, so a fingerprint with very many copies is no hot key.
     """
     kept = first_copies(items, print_column, item).select(item)
-    return items.join(kept, item, "left_anti")
+    return items.filter(F.col(print_column).isNotNull()).join(kept, item, "left_anti")
 
 
 def quarantine(broken: DataFrame, duplicate: DataFrame, non_main: DataFrame, key: list[str]) -> DataFrame:

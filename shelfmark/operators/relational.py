@@ -136,10 +136,12 @@ def todo_items(items: DataFrame, verdicts: DataFrame, key: Sequence[str]) -> Dat
 
 
 def lookup(collections: DataFrame, name: str) -> DataFrame:
-    """The named collection (the lowest id of several), or one row with ``found`` false."""
-    fields = [c for c in collections.columns if c != "name"]
-    hit = collections.filter(F.col("name") == name).agg(F.min(F.struct(*fields)).alias("_hit"))
-    return hit.select(F.lit(name).alias("name"), "_hit.*", F.col("_hit").isNotNull().alias("found"))
+    """All collections of that name, or one row with ``found`` false."""
+    hits = collections.filter(F.col("name") == name).withColumn("found", F.lit(True))
+    missing = hits.agg(F.count(F.lit(1)).alias("_n")).filter("_n = 0").select(
+        F.lit(name).alias("name"), F.lit(False).alias("found")
+    )
+    return hits.unionByName(missing, allowMissingColumns=True)
 
 
 def seeded_order(key: Column, seed: str) -> Column:

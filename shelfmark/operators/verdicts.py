@@ -8,10 +8,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.constants import FALLBACK_SCORE, MAX_TAGS, SCORE_LABELS, SPACE_CLASS, VOCABULARY_SIZE
+from shelfmark.constants import FALLBACK_SCORE, SCORE_LABELS, SPACE_CLASS
 from shelfmark.functions.text import strip
+from shelfmark.scale import ordered_index
 from shelfmark.schemas import JSON_VERDICT
 
+# The prefixes of the lines a model answers with.
 # White space inside a line; lines end at a line feed only (the (?d) flag).
 _S = "[" + SPACE_CLASS.replace(r"\n", "") + "]"
 _NOT_S = f"[^{SPACE_CLASS}]"
@@ -77,9 +79,10 @@ def parse_lines(df: DataFrame, text: str = "response", error: str = "error") ->
     ).drop("_score", "_reason", "_listed", "_n", "_v", "_parts", "_unique")
 
 
-def parse_tags(text: Column) -> Column:
-    """Comma list → the first tags that are not blank."""
-    return F.slice(F.filter(F.transform(F.split(text, ","), strip), lambda x: x != ""), 1, MAX_TAGS)
+def parse_tags(text: Column, most: int | None = None) -> Column:
+    """Comma list → its tags that are not blank; ``most`` may limit their number."""
+    tags = F.filter(F.transform(F.split(text, ","), strip), lambda x: x != "")
+    return tags if most is None else F.slice(tags, 1, most)
 
 
 def last_json_block(markdown: Column) -> Column:
@@ -127,25 +130,24 @@ def rubric_score(factors: Column, is_key: Column, is_filler: Column, config: dic
 
 
 def sub_scores(df: DataFrame, key: str, sub_values: Column, config: dict) -> DataFrame:
-    """One row per item and factor that has weighted sub-factors."""
+    """One row per item and factor that has weighted sub-factors: the weighted mean of those present."""
     scored = []
     for name, factor in config["factors"].items():
         subs = factor.get("sub_factors") or {}
         if subs:
-            value = F.lit(0.0)
+            total, weights = F.lit(0.0), F.lit(0.0)
             for sub, weight in subs.items():
-                value = value + F.coalesce(F.try_element_at(sub_values, F.lit(sub)), F.lit(0.0)) * float(weight)
-            scored.append(F.struct(F.lit(name).alias("factor"), value.alias("value")))
+                value = F.try_element_at(sub_values, F.lit(sub))
+                total = total + F.coalesce(value * float(weight), F.lit(0.0))
+                weights = weights + F.when(value.isNotNull(), F.lit(float(weight))).otherwise(F.lit(0.0))
+            scored.append(F.struct(F.lit(name).alias("factor"), F.when(weights > 0, total / weights).alias("value")))
     return df.select(key, F.explode(F.array(*scored)).alias("s")).select(key, "s.factor", "s.value")
 
 
-def vocabulary(tags: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """First ``size`` tags over all categories in order (a top-k) with their place."""
-    first = tags.orderBy("category_pos", "tag_pos").limit(size)
-    before = F.array_sort(F.collect_list(F.struct("category_pos", "tag_pos", "category", "tag")))
-    return first.agg(before.alias("all")).select(F.posexplode("all").alias("place", "t")).select(
-        "place", "t.category", "t.tag"
-    )
+def vocabulary(tags: DataFrame, size: int | None = None) -> DataFrame:
+    """Tags over all categories in order with their place; ``size`` may keep the first ones only."""
+    placed = ordered_index(tags, [], [F.col("category_pos"), F.col("tag_pos")], "place").select("place", "category", "tag")
+    return placed if size is None else placed.filter(F.col("place") < size)
 
 
 def score_prompt(is_key: Column, is_filler: Column, config: dict) -> Column:
@@ -155,53 +157,61 @@ def score_prompt(is_key: Column, is_filler: Column, config: dict) -> Column:
     reply = " ".join(f"{name}=<0-1>" for name in factors)
     bonus, penalty = config["modifier"]["key_frame_bonus"], config["modifier"]["filler_penalty"]
     context = (
-        F.when(is_key, f"This item starts a change. Bonus: +{bonus}")
-        .when(is_filler, f"This item repeats the one before. Penalty: {penalty}")
-        .otherwise("This item has no known place in a sequence.")
+        F.when(is_key, f"Place: first of a change (add {bonus}).")
+        .when(is_filler, f"Place: like the item before (add {penalty}).")
+        .otherwise("Place: unknown.")
     )
     return F.concat_ws(
         "\n",
-        F.lit("Rate this item from 1 to 9 by these factors:"),
+        F.lit("Factors and their weights:"),
         F.lit(rubric),
         context,
-        F.lit("Reply with these lines only:"),
+        F.lit("Give a whole number from 1 to 9 and each factor between 0 and 1, in this form:"),
         F.lit("ai_score: <1-9>"),
         F.lit(f"ai_factors: {reply}"),
     )
 
 
-def tag_prompt(config: dict) -> str:
-    """Prompt that asks for up to five tags of the vocabulary."""
-    tags = [t for values in config["tag_categories"].values() for t in values][:VOCABULARY_SIZE]
-    return f"Choose up to {MAX_TAGS} fitting tags from this list, separated by commas:\n{', '.join(tags)}"
+def tag_prompt(config: dict, most: int | None = None) -> str:
+    """Prompt that asks for tags of the vocabulary."""
+    tags = [t for values in config["tag_categories"].values() for t in values]
+    number = "All fitting tags" if most is None else f"The {most} best tags"
+    return f"{number} of these, as one line with commas:\n{', '.join(tags)}"
 
 
-def offline_scorer() -> Callable[[str], str]:
+def offline_scorer() -> Callable[[pd.Series], pd.Series]:
     """Deterministic stand-in for a model: the score follows the prompt's length."""
 
-    def score(prompt: str) -> str:
-        return f"ai_score: {1 + len(prompt) % 9}\nai_factors: clarity={len(prompt) % 100 / 100.0}\nai_reason: offline"
+    def score(prompts: pd.Series) -> pd.Series:
+        return prompts.map(
+            lambda p: f"ai_score: {1 + len(p) % 9}\nai_factors: clarity={len(p) % 100 / 100.0}\nai_reason: offline"
+        )
 
     return score
 
 
+def _answers(scorer: Callable[[pd.Series], pd.Series], prompts: pd.Series) -> tuple[list, list]:
+    """Answers and errors of a batch; one that fails is halved until its bad rows stand alone."""
+    try:
+        return list(scorer(prompts)), [None] * len(prompts)
+    except Exception as e:  # the message is the row's result
+        if len(prompts) == 1:
+            return [None], [str(e)]
+        half = len(prompts) // 2
+        parts = [_answers(scorer, prompts.iloc[:half]), _answers(scorer, prompts.iloc[half:])]
+        return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]
+
+
 def score_stage(
-    df: DataFrame, key: str, prompt: str, make_scorer: Callable[[], Callable[[str], str]] = offline_scorer
+    df: DataFrame, key: str, prompt: str, make_scorer: Callable[[], Callable[[pd.Series], pd.Series]] = offline_scorer
 ) -> DataFrame:
-    """One scorer call per row; ``make_scorer`` runs once per task. A failed call becomes data."""
+    """Prompts scored by batches; ``make_scorer`` runs once per task. A failure becomes its row's data."""
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for batch in batches:
-            answers, errors = [], []
-            for text in batch[prompt]:
-                try:
-                    answers.append(scorer(text))
-                    errors.append(None)
-                except Exception as e:  # the message is the row's result
-                    answers.append(None)
-                    errors.append(str(e))
+            answers, errors = _answers(scorer, batch[prompt]) if len(batch) else ([], [])
             yield pd.DataFrame({key: batch[key], "response": answers, "error": errors})
 
     return df.select(key, prompt).mapInPandas(run, f"`{key}` {key_type}, response string, error string")

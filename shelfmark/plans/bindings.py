@@ -38,7 +38,7 @@ ITEMS = """items AS (
 def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per collection; names, creators and expected counts have gaps by rule."""
     docs = items(spark, sf_dir)
-    title = F.substring(F.translate("text", "\n", " "), 1, 60)
+    title = F.substring_index("text", "\n", 1)
     grouped = docs.groupBy("collection_id").agg(
         F.min_by(title, "item_id").alias("title"),
         F.array_sort(F.collect_set("lang")).alias("tags"),
@@ -60,7 +60,7 @@ COLLECTIONS = """collections AS (
          CASE WHEN collection_id % 3 = 0 THEN '' WHEN collection_id % 3 = 2 THEN 'Creator ' || collection_id END AS creator_name,
          CASE WHEN collection_id % 5 <> 0 THEN collection_id * 7 % 100 END AS creator_id,
          n + collection_id % 3 AS expected_count
-  FROM (SELECT collection_id, arg_min(substr(replace(text, chr(10), ' '), 1, 60), item_id) AS title,
+  FROM (SELECT collection_id, arg_min(split_part(text, chr(10), 1), item_id) AS title,
                list_sort(list_distinct(list(lang))) AS tags, count(*) AS n
         FROM items GROUP BY collection_id))"""
 
@@ -187,10 +187,11 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors grouped by label, with a made-up detection score."""
+    """Vectors grouped by label, two to an item, with a made-up detection score."""
     return table(spark, sf_dir, "embeddings").select(
         F.col("label").cast("bigint").alias("collection_id"),
-        F.col("vec_id").alias("item_id"),
+        F.expr("vec_id div 2").alias("item_id"),
+        "vec_id",
         "embedding",
         F.expr("(vec_id * 37 % 101) / 100.0D").alias("score"),
     )

@@ -22,7 +22,7 @@ GROUP, ITEM = "collection_id", "item_id"
 
 def members(spark, sf_dir) -> DataFrame:
     return cluster.leader_clusters(
-        B.embeddings(spark, sf_dir), GROUP, ITEM, [F.col(ITEM)], "embedding", THRESHOLD
+        B.embeddings(spark, sf_dir), GROUP, ITEM, [F.col("vec_id")], "embedding", THRESHOLD
     )
 
 
@@ -40,9 +40,9 @@ def similar_pairs(spark, sf_dir):
 def pairwise_similarity(spark, sf_dir):
     """Similarity of every row to the first row of its group: one pair per row."""
     rows = B.embeddings(spark, sf_dir)
-    first = rows.groupBy(GROUP).agg(F.min_by("embedding", ITEM).alias("reference"), F.min(ITEM).alias("reference_item"))
-    paired = attach(rows, first, [GROUP], [ITEM], "inner")
-    return paired.select(GROUP, ITEM, "reference_item", F.round(cosine("embedding", "reference"), 6).alias("similarity"))
+    first = rows.groupBy(GROUP).agg(F.min_by("embedding", "vec_id").alias("reference"), F.min("vec_id").alias("reference_vec"))
+    paired = attach(rows, first, [GROUP], ["vec_id"], "inner")
+    return paired.select(GROUP, "vec_id", "reference_vec", F.round(cosine("embedding", "reference"), 6).alias("similarity"))
 
 
 def main_cluster(spark, sf_dir):
@@ -54,17 +54,24 @@ def cluster_outliers(spark, sf_dir):
 
 
 def cluster_members(spark, sf_dir):
-    head = cluster.first_members(members(spark, sf_dir), GROUP, ITEM)
-    return head.select(GROUP, F.array_join(F.col("members").cast("array<string>"), ",").alias("members"))
+    return cluster.listed_members(B.embeddings(spark, sf_dir), GROUP, ITEM, [F.col("vec_id")])
 
 
 def cluster_summary(spark, sf_dir):
-    """Labels with vectors, and nations as collections that may have none or too few items."""
-    found = members(spark, sf_dir).withColumn("score", F.expr("(item_id * 37 % 101) / 100.0D"))
-    nations = B.table(spark, sf_dir, "nation").selectExpr(
-        "cast(n_nationkey AS bigint) AS collection_id", "cast(n_nationkey % 6 + 1 AS bigint) AS item_count"
-    )
-    return cluster.cluster_summary(nations, found, GROUP, ITEM, "score")
+    """All labels with vectors, one of which keeps a single vector, and nations that have none.
+
+    Counts of items are made up, so that some collections have too few.
+    """
+    rows = B.embeddings(spark, sf_dir)
+    single = rows.filter(F.col(GROUP) == 3).orderBy("vec_id").limit(1)
+    rows = rows.filter(F.col(GROUP) != 3).unionByName(single)
+    found = cluster.leader_clusters(rows, GROUP, ITEM, [F.col("vec_id")], "embedding", THRESHOLD)
+    found = found.withColumn("score", F.expr("(item_id * 37 % 101) / 100.0D"))
+    labels = B.embeddings(spark, sf_dir).select(GROUP).unionByName(
+        B.table(spark, sf_dir, "nation").select((F.col("n_nationkey").cast("bigint") + 100).alias(GROUP))
+    ).distinct()
+    groups = labels.withColumn("item_count", F.when(F.col(GROUP) == 3, 3).otherwise(F.col(GROUP) % 6 + 1).cast("bigint"))
+    return cluster.cluster_summary(groups, found, GROUP, ITEM, "score")
 
 
 def _quarantined(spark, sf_dir) -> DataFrame:
@@ -108,7 +115,7 @@ QUERIES = {
 }
 
 _MEMBERS = f"""ordered AS (
-  SELECT CAST(label AS BIGINT) AS collection_id, vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS e,
+  SELECT CAST(label AS BIGINT) AS collection_id, vec_id // 2 AS item_id, CAST(embedding AS DOUBLE[]) AS e,
          row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS idx FROM embeddings),
 walk(collection_id, item_id, idx, leader, sim, seeds) AS (
   SELECT collection_id, item_id, idx, idx, CAST(1 AS DOUBLE), [{{'i': idx, 'e': e}}] FROM ordered WHERE idx = 0
@@ -131,22 +138,24 @@ _QUARANTINED = f"""ranked AS (
 quarantined AS (
   SELECT collection_id, item_id, ['broken', 'duplicate', 'non_main'][min(r) + 1] AS category FROM ranked GROUP BY collection_id, item_id)"""
 _members = B.cte(_MEMBERS, recursive=True)
+# The summary's third label keeps one vector.
+_single = _members.replace("FROM embeddings)", "FROM embeddings WHERE label <> 3 OR vec_id = (SELECT min(vec_id) FROM embeddings WHERE label = 3))")
 _quarantine = B.cte(B.ITEMS, _MEMBERS, _QUARANTINED, recursive=True)
 
 ORACLE = {
     "leader_clusters": _members + "SELECT collection_id, item_id, idx, leader FROM members",
     "similar_pairs": _members
     + "SELECT collection_id, leader AS leader_idx, item_id, round(sim, 6) AS similarity FROM members WHERE idx <> leader",
-    "pairwise_similarity": """WITH v AS (SELECT CAST(label AS BIGINT) AS collection_id, vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-        f AS (SELECT collection_id, arg_min(e, item_id) AS e0, min(item_id) AS reference_item FROM v GROUP BY collection_id)
-        SELECT collection_id, item_id, reference_item, round(list_cosine_similarity(e, e0), 6) AS similarity FROM v JOIN f USING (collection_id)""",
+    "pairwise_similarity": """WITH v AS (SELECT CAST(label AS BIGINT) AS collection_id, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        f AS (SELECT collection_id, arg_min(e, vec_id) AS e0, min(vec_id) AS reference_vec FROM v GROUP BY collection_id)
+        SELECT collection_id, vec_id, reference_vec, round(list_cosine_similarity(e, e0), 6) AS similarity FROM v JOIN f USING (collection_id)""",
     "main_cluster": _members
     + """SELECT collection_id, main_leader, main_size, count(*) AS cluster_count, CAST(sum(n) AS BIGINT) AS embedding_count
          FROM sizes JOIN main USING (collection_id) GROUP BY ALL""",
     "cluster_outliers": _members + "SELECT DISTINCT collection_id, item_id FROM flagged WHERE NOT in_main",
-    "cluster_members": """SELECT CAST(label AS BIGINT) AS collection_id, array_to_string(list(vec_id ORDER BY vec_id)[1:10], ',') AS members
-        FROM embeddings GROUP BY label""",
-    "cluster_summary": _members
+    "cluster_members": """SELECT CAST(label AS BIGINT) AS collection_id, vec_id // 2 AS item_id,
+        row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS place FROM embeddings""",
+    "cluster_summary": _single
     + """SELECT collection_id, status, status = 'analyzed' AND n > 0 AS has_main,
            CASE WHEN status = 'analyzed' THEN n END AS embedding_count, CASE WHEN status = 'analyzed' THEN cluster_count END AS cluster_count,
            CASE WHEN status = 'analyzed' THEN main_size END AS main_size, CASE WHEN status = 'analyzed' THEN outlier_count END AS outlier_count,
@@ -154,7 +163,8 @@ ORACLE = {
            CASE WHEN status = 'analyzed' THEN best_representative END AS best_representative
          FROM (SELECT c.collection_id, coalesce(f.n, 0) AS n, f.* EXCLUDE (collection_id, n),
                  CASE WHEN item_count < 3 THEN 'too_few_items' WHEN f.n IS NULL THEN 'no_embedding' ELSE 'analyzed' END AS status
-               FROM (SELECT CAST(n_nationkey AS BIGINT) AS collection_id, n_nationkey % 6 + 1 AS item_count FROM nation) c
+               FROM (SELECT collection_id, CASE WHEN collection_id = 3 THEN 3 ELSE collection_id % 6 + 1 END AS item_count FROM (
+                   SELECT CAST(label AS BIGINT) AS collection_id FROM embeddings UNION SELECT CAST(n_nationkey AS BIGINT) + 100 FROM nation)) c
                LEFT JOIN (SELECT collection_id, count(*) AS n, count(*) FILTER (leader = idx) AS cluster_count,
                    count(*) FILTER (in_main) AS main_size, count(*) FILTER (NOT in_main) AS outlier_count,
                    arg_min(item_id, idx) FILTER (in_main) AS first_representative,

@@ -37,7 +37,7 @@ QUERIES = {"flagship": flagship, "flagship_packed_only": packed_only}
 def _shards(kept: str) -> str:
     return f"""kept AS ({kept}),
 shuffled AS (SELECT *, row_number() OVER (ORDER BY md5('{B.SEED}:' || item_id), item_id) - 1 AS position FROM kept),
-size AS (SELECT CAST(greatest(floor({TARGET_MB * 1024 * 1024} / (avg(bytes) + 2000)), 1) AS BIGINT) AS rows_per_shard FROM shuffled WHERE position < 50),
+size AS (SELECT CAST(greatest(floor({TARGET_MB * 1024 * 1024} / (avg(bytes) + 2000)), 1) AS BIGINT) AS rows_per_shard FROM shuffled),
 placed AS (SELECT *, position // (SELECT rows_per_shard FROM size) AS shard FROM shuffled)"""
 
 

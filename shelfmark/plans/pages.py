@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfmark.constants import ENTITIES, SPACE_CLASS, WHITE_SPACE
+from shelfmark.constants import SPACE_CLASS, WHITE_SPACE
 from shelfmark.functions import media
 from shelfmark.functions import text as T
 from shelfmark.operators import extract, quality
@@ -40,6 +40,17 @@ def name_from_title(spark, sf_dir):
     return pages.select("page_id", T.name_from_title("title").alias("name"))
 
 
+def region_tags(spark, sf_dir):
+    """The links wrapped in nested elements of one class, and again in a second one."""
+    nav = extract.tag_region(F.col("html"), "nav")
+    wrapped = F.concat(
+        F.lit("<section class='x tags'><div><b class=tag>no</b>"), nav, F.lit("<div></div></div><br/><a>last</a></section><a>outside</a>"),
+        F.lit('<div id=2 class="tags">'), nav, F.lit("</div>"),
+    )
+    pages = B.pages(spark, sf_dir).select("page_id", wrapped.alias("html"))
+    return extract.page_tags(pages, F.array_join(extract.class_regions(F.col("html"), "tags"), ""))
+
+
 def _with_media(spark, sf_dir):
     """Pages whose links are made to point to media files, with a query part."""
     html = F.when(
@@ -103,6 +114,7 @@ QUERIES = {
     "page_title": page_title,
     "page_tags": page_tags,
     "page_creator": page_creator,
+    "region_tags": region_tags,
     "name_from_title": name_from_title,
     "page_media_urls": page_media_urls,
     "listing_ids": listing_ids,
@@ -114,8 +126,12 @@ QUERIES = {
 }
 
 
+# The references that the pages hold; the ampersand comes last.
+_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+
+
 def _decoded(sql: str) -> str:
-    for entity, char in ENTITIES:
+    for entity, char in _REFERENCES:
         sql = f"replace({sql}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return sql
 
@@ -147,6 +163,9 @@ _EXT = f"CASE WHEN contains(lower({_URL_SQL}), '.png') THEN '.png' WHEN contains
 ORACLE = {
     "page_title": B.cte(_TITLES) + "SELECT page_id, title FROM titles",
     "page_tags": B.cte(_LINKS, _TAGS) + "SELECT page_id, CAST(pos AS INTEGER) AS pos, tag FROM tags",
+    "region_tags": B.cte(_LINKS)
+    + """SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY min(p)) - 1 AS INTEGER) AS pos, tag FROM (
+           SELECT page_id, p, tag FROM links UNION ALL SELECT page_id, 1000000, 'last' FROM pages) WHERE tag <> '' GROUP BY page_id, tag""",
     "page_creator": B.cte(_TITLES, _LINKS, _TAGS)
     + f"""SELECT page_id, id AS creator_id, coalesce(CASE WHEN id IS NOT NULL THEN nullif(tag, '') END, {_NAME}, '') AS creator_name
           FROM (SELECT page_id, try_cast(regexp_extract(url, '/en/(\\d+)', 1) AS BIGINT) AS id, tag,
@@ -161,9 +180,9 @@ ORACLE = {
             'href="https://img.example.com/\\1.' || CASE WHEN page_id % 2 = 0 THEN 'jpg' ELSE 'txt' END || '?w=1"', 'g') AS html FROM pages),
         dom AS (SELECT page_id, u.x, u.p FROM shown, LATERAL (SELECT unnest(a) AS x, unnest(range(1, len(a) + 1)) AS p FROM (
             SELECT list_filter(regexp_extract_all(regexp_extract(html, '(?is)<nav[^>]*>(.*?)</nav>', 1), 'href="([^"]*)"', 1),
-                               lambda x: contains(x, '://')) AS a)) u WHERE u.p <= 100),
-        raw AS (SELECT page_id, u.x, u.p + 1000 AS p FROM shown, LATERAL (SELECT unnest(a) AS x, unnest(range(1, len(a) + 1)) AS p FROM (
-            SELECT regexp_extract_all(html, 'https://img\\.example\\.com/[^"'']+') AS a)) u WHERE u.p <= 200),
+                               lambda x: contains(x, '://')) AS a)) u),
+        raw AS (SELECT page_id, u.x, u.p + 1000000000 AS p FROM shown, LATERAL (SELECT unnest(a) AS x, unnest(range(1, len(a) + 1)) AS p FROM (
+            SELECT regexp_extract_all(html, 'https://img\\.example\\.com/[^"'']+') AS a)) u),
         cleaned AS (
             SELECT page_id, p, replace(replace(replace(split_part(x, '?', 1), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS url FROM dom
             UNION ALL SELECT page_id, p, split_part(x, '?', 1) FROM raw WHERE regexp_matches(split_part(x, '?', 1), '\\.(jpg|jpeg|png|webp)$')),
@@ -178,7 +197,7 @@ ORACLE = {
         linked AS (SELECT l.listing_id, page_no, u.p, try_cast(regexp_extract(u.x, '/(\\d+)', 1) AS BIGINT) AS collection_id
             FROM listed l LEFT JOIN stops s ON s.listing_id = l.listing_id,
             LATERAL (SELECT unnest(links) AS x, unnest(range(0, len(links))) AS p) u
-            WHERE page_no <= 999 AND (stop IS NULL OR page_no < stop))
+            WHERE stop IS NULL OR page_no < stop)
         SELECT listing_id, collection_id, page_no, CAST(p AS INTEGER) AS pos FROM linked WHERE collection_id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY listing_id, collection_id ORDER BY page_no, p) = 1""",
     "url_clean": "SELECT page_id, split_part(url, '?', 1) AS url FROM pages",

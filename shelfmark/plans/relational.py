@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.constants import CONTENT_TYPES
 from shelfmark.functions import text as T
 from shelfmark.operators import packing, relational
 from shelfmark.plans import bindings as B
 from shelfmark.sources import files
-from shelfmark.sources.packed import write_documents, write_shards, write_sidecar
+from shelfmark.schemas import LABEL_DOCUMENT, PACKED
+from shelfmark.sources.packed import read_packed, write_documents, write_label_documents, write_shards, write_sidecar
 from shelfmark.storage import new_folder, stage
 
 TARGET_MB = 1.0
@@ -129,7 +131,7 @@ def items_sorted(spark, sf_dir):
 
 
 def collections_zh(spark, sf_dir):
-    named = B.collections(spark, sf_dir).withColumn("name", F.translate(F.substring("name", 4, 20), "0123456789", "零一二三四五六七八九"))
+    named = B.collections(spark, sf_dir).withColumn("name", F.translate(F.expr("substring(name, 4)"), "0123456789", "零一二三四五六七八九"))
     return relational.collections_zh(named.select("collection_id", "name"))
 
 
@@ -154,7 +156,7 @@ def content_type(spark, sf_dir):
 
 
 def name_decode(spark, sf_dir):
-    pages = B.pages(spark, sf_dir).selectExpr("page_id", "concat('/data/downloads/', page_id, '/', substring(url_encode(url), 1, 4000), '+x%20y') AS path")
+    pages = B.pages(spark, sf_dir).selectExpr("page_id", "concat('/data/downloads/', page_id, '/', url_encode(url), '+x%20y') AS path")
     relative = T.relative_path("path", "/data/downloads")
     return pages.select("page_id", T.percent_decode(relative).alias("name"))
 
@@ -191,12 +193,29 @@ def smoke_shard(spark, sf_dir):
     return packing.smoke_shard(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).select("item_id", "position")
 
 
+def _written(spark, sf_dir, payload: bool = False) -> DataFrame:
+    """The packed rows written in shards, in the documented columns and their order, and read back."""
+    assigned = packing.name_shards(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).drop("bytes")
+    assigned = stage(assigned.select("item_id", "position", "file", "shard"), "assigned")
+    shards = (assigned.agg(F.max("shard")).first()[0] or 0) + 1
+    rows = _packed(spark, sf_dir).join(assigned.drop("shard"), "item_id")
+    image = F.struct(F.lit(None).cast("binary").alias("bytes"), F.col("image").alias("path"))
+    if payload:  # here the payload is a column of a table; load_images reads it from files
+        texts = B.items(spark, sf_dir).select("item_id", F.encode("text", "utf-8").alias("payload"))
+        rows = rows.join(texts, "item_id")
+        image = F.struct(F.col("payload").alias("bytes"), F.col("image").alias("path"))
+    path, columns = new_folder(spark, "shards"), StructType.fromDDL(PACKED).fieldNames()
+    # Rows of a collection differ in their title, so that it matters which one is first.
+    rows = rows.withColumn("title", F.concat_ws(" #", "title", (F.col("item_id") % 3).cast("string")))
+    write_shards(rows.withColumn("image", image).select(*columns, "file", "position"), path, shards=shards)
+    return read_packed(spark, path)
+
+
 def write_shards_back(spark, sf_dir):
-    """Write the packed rows in shards and read the written table back."""
-    assigned = packing.name_shards(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).drop("bytes", "shard")
-    path = new_folder(spark, "shards")
-    write_shards(_packed(spark, sf_dir).join(assigned, "item_id"), path)
-    return spark.read.parquet(path).select("file", "position", "item_id", "file_name", "title")
+    """Write the packed rows with their payload, read the set back and look at the payload of every row."""
+    return _written(spark, sf_dir, payload=True).select(
+        "album_id", "file_name", "title", F.md5("image.bytes").alias("payload_md5"), F.octet_length("image.bytes").cast("bigint").alias("bytes")
+    )
 
 
 def sidecar_rows(spark, sf_dir):
@@ -208,17 +227,34 @@ def sidecar_rows(spark, sf_dir):
     return _tags_joined(spark.read.schema(schema).json(path))
 
 
-def _positioned(spark, sf_dir) -> DataFrame:
+def _read_back(spark, sf_dir) -> DataFrame:
+    """The written set with each row's id and place; its narrow columns are staged, as they are used often."""
+    item = F.regexp_extract("file_name", r"^(\d+)", 1).cast("bigint")
+    back = _written(spark, sf_dir).select("album_id", "file_name", "title", "model_name", "tags", item.alias("item_id"))
     order = relational.shuffle_order(B.items(spark, sf_dir)).select("item_id", "position")
-    return _packed(spark, sf_dir).join(order, "item_id")
+    return stage(back.join(order, "item_id"), "read-back")
 
 
 def unpack_collections(spark, sf_dir):
-    return _tags_joined(packing.unpack_collections(_positioned(spark, sf_dir)))
+    return _tags_joined(packing.unpack_collections(_read_back(spark, sf_dir)))
 
 
 def unpack_items(spark, sf_dir):
-    return packing.unpack_items(_positioned(spark, sf_dir))
+    return packing.unpack_items(_read_back(spark, sf_dir))
+
+
+def label_documents(spark, sf_dir):
+    """Write one folder of label documents per collection, and read the items out of them."""
+    items = B.items(spark, sf_dir).select(
+        "collection_id", "stem", (F.col("item_id") % 9 + 1).cast("byte").alias("score"), F.col("lang").alias("notes")
+    )
+    own = B.collection_labels(spark, sf_dir).select("collection_id", F.col("album_score").alias("albumScore"))
+    path = new_folder(spark, "label-documents")
+    write_label_documents(own, items.withColumn("collection_id", F.col("collection_id").cast("string")), path)
+    lines = spark.read.schema(LABEL_DOCUMENT).option("basePath", path).json(path).filter("images is not null")
+    ids = F.regexp_extract(F.input_file_name(), r"document=(\d+)_labels", 1).cast("bigint")
+    each = lines.select(ids.alias("collection_id"), F.explode("images").alias("stem", "item"))
+    return each.select("collection_id", "stem", F.col("item.score").cast("int").alias("score"), F.col("item.notes").alias("notes"))
 
 
 def unpack_item_labels(spark, sf_dir):
@@ -226,8 +262,14 @@ def unpack_item_labels(spark, sf_dir):
 
 
 def scan_items(spark, sf_dir):
-    """The table files themselves as items of the folder they lie in."""
-    return files.scan_items(spark, sf_dir, (".parquet",)).select("folder", "file_name", "stem", "extension", "bytes")
+    """Write a line per item into the folder of its collection, and scan the folders."""
+    lines = B.items(spark, sf_dir).select(
+        F.col("collection_id").alias("c"), F.concat_ws(" ", F.col("item_id").cast("string"), F.col("bytes").cast("string")).alias("value")
+    )
+    path = new_folder(spark, "items")
+    lines.write.partitionBy("c").text(path)
+    found = files.scan_items(spark, path, (".txt",))
+    return found.groupBy("folder", "extension").agg(F.sum("bytes").alias("bytes"))
 
 
 def scan_metadata(spark, sf_dir):
@@ -297,6 +339,7 @@ QUERIES = {
     "unpack_collections": unpack_collections,
     "unpack_items": unpack_items,
     "unpack_item_labels": unpack_item_labels,
+    "label_documents": label_documents,
     "scan_items": scan_items,
     "scan_metadata": scan_metadata,
     "scan_labels": scan_labels,
@@ -318,14 +361,19 @@ _SHUFFLED = f"""shuffled AS (
          row_number() OVER (ORDER BY md5('{B.SEED}:' || item_id), item_id) - 1 AS position
   FROM items)"""
 _SIZE = f"""size AS (
-  SELECT count(*) AS sampled, CAST(sum(bytes) AS BIGINT) AS sampled_bytes,
+  SELECT count(*) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes,
          CAST(greatest(floor({TARGET_MB * 1024 * 1024} / (avg(bytes) + 2000)), 1) AS BIGINT) AS rows_per_shard
-  FROM shuffled WHERE position < 50)"""
+  FROM shuffled)"""
 _ASSIGNED = """assigned AS (
   SELECT item_id, bytes, position, position // (SELECT rows_per_shard FROM size) AS shard FROM shuffled)"""
 _MIME = " ".join(f"WHEN '{ext}' THEN '{mime}'" for ext, mime in CONTENT_TYPES.items())
 _FOLDER = "album_id || '_' || replace(substr(title, 1, 50), '/', '_')"
 
+_TITLE = "title || ' #' || item_id % 3"
+_FIRST = f"""first_rows AS (
+  SELECT album_id, count(*) AS image_count, arg_min({{'title': {_TITLE}, 'model_name': model_name, 'tags': tags}}, position) AS f
+  FROM packed JOIN (SELECT item_id, position FROM shuffled) USING (item_id) GROUP BY album_id)"""
+
 _packed_sql = B.cte(*_BASE, _PACKED)
 _labeled_sql = B.cte(*_BASE, B.ITEM_LABELS, _PACKED, _PACKED_LABELED)
 _registry_sql = B.cte(*_BASE, _REGISTRY, _INFO)
@@ -384,16 +432,22 @@ ORACLE = {
     + """SELECT shard, printf('train-%05d-of-%05d.parquet', shard, (SELECT count(DISTINCT shard) FROM assigned)) AS name,
          count(*) AS rows, round(CAST(sum(bytes) AS BIGINT) / 1048576.0, 6) AS mb FROM assigned GROUP BY shard""",
     "smoke_shard": _shard_sql + "SELECT item_id, position FROM assigned WHERE shard = 0",
-    "write_shards": B.cte(*_BASE, _PACKED, _SHUFFLED, _SIZE, _ASSIGNED)
-    + """SELECT printf('train-%05d-of-%05d.parquet', shard, (SELECT max(shard) + 1 FROM assigned)) AS file, position, item_id, file_name, title
-         FROM packed JOIN assigned USING (item_id)""",
+    "write_shards": B.cte(*_BASE, _PACKED)
+    + f"""SELECT album_id, file_name, {_TITLE} AS title, md5(text) AS payload_md5, CAST(strlen(text) AS BIGINT) AS bytes
+         FROM packed JOIN (SELECT item_id, text FROM items) USING (item_id)""",
     "sidecar_rows": _packed_sql + "SELECT * EXCLUDE (image) FROM packed",
-    "unpack_collections": _packed_sql
-    + f"""SELECT album_id, any_value(title) AS title, any_value(model_name) AS model_name, any_value(tags) AS tags,
-          count(*) AS image_count, any_value({_FOLDER}) AS folder FROM packed GROUP BY album_id""",
-    "unpack_items": _packed_sql
-    + f"""SELECT album_id, item_id, row_number() OVER (PARTITION BY album_id ORDER BY file_name, item_id) - 1 AS place,
-          {_FOLDER} || '/' || file_name AS path FROM packed""",
+    "unpack_collections": B.cte(*_BASE, _PACKED, _SHUFFLED, _FIRST)
+    + f"""SELECT album_id, f.title, f.model_name, f.tags, image_count, {_FOLDER} AS folder
+          FROM (SELECT album_id, f, f.title AS title, image_count FROM first_rows)""",
+    "unpack_items": B.cte(*_BASE, _PACKED, _SHUFFLED, _FIRST)
+    + f"""SELECT p.album_id, item_id, row_number() OVER (PARTITION BY p.album_id ORDER BY file_name, item_id) - 1 AS place,
+          {_FOLDER.replace("album_id", "p.album_id").replace("title", "f.title")} || '/' || file_name AS path
+          FROM packed p JOIN first_rows USING (album_id)""",
+    "label_documents": B.cte(B.ITEMS)
+    + "SELECT collection_id, stem, CAST(item_id % 9 + 1 AS INTEGER) AS score, lang AS notes FROM items",
+    "scan_items": B.cte(B.ITEMS)
+    + """SELECT 'c=' || collection_id AS folder, '.txt' AS extension, CAST(sum(length(item_id || ' ' || bytes) + 1) AS BIGINT) AS bytes
+         FROM items GROUP BY collection_id""",
     "unpack_item_labels": _labeled_sql
     + """SELECT album_id, item_id, label_file, document FROM (
            SELECT album_id, item_id, replace(file_name, '.txt', '_labels.json') AS label_file,

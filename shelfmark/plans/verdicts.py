@@ -44,9 +44,8 @@ def fenced_json(spark, sf_dir):
 
 def verdict_merge(spark, sf_dir):
     scores = parsed(spark, sf_dir).select("item_id", "ai_score", "ai_reason")
-    tags = B.verdict_texts(spark, sf_dir).filter("item_id % 4 <> 1").select(
-        "item_id", V.parse_tags(F.col("tag_text")).alias("ai_tags")
-    )
+    given = F.when(F.col("item_id") % 4 != 1, F.col("tag_text"))
+    tags = B.verdict_texts(spark, sf_dir).select("item_id", V.parse_tags(given).alias("ai_tags"))
     return V.merge_verdict(scores, tags, "item_id").withColumn("ai_tags", F.array_join("ai_tags", "|"))
 
 
@@ -74,8 +73,8 @@ def agreement_gate(spark, sf_dir):
     """Line verdict against JSON verdict of the same item."""
     lines = parsed(spark, sf_dir).select("item_id", (F.col("parse_ok") & (F.col("ai_score") >= 5)).alias("ok"))
     score = V.parse_json_verdict(F.col("markdown"))["score"]
-    fenced = B.verdict_texts(spark, sf_dir).filter("item_id % 9 <> 0").select(
-        "item_id", F.coalesce(score >= 5, F.lit(False)).alias("ok")
+    fenced = B.verdict_texts(spark, sf_dir).select(
+        "item_id", F.when(F.col("item_id") % 9 != 0, F.coalesce(score >= 5, F.lit(False))).alias("ok")
     )
     return V.agreement(lines, fenced, "item_id")
 
@@ -142,7 +141,7 @@ fenced AS (
          array_to_string(CAST(json_extract(j, '$.tags') AS VARCHAR[]), '|') AS tags, json_extract_string(j, '$.reasoning') AS reasoning,
          CAST(json_extract(j, '$.is_relevant') AS BOOLEAN) AS is_relevant FROM blocks)"""
 _TAGS = f"""tagged AS (
-  SELECT item_id, array_to_string(list_filter(list_transform(string_split(tag_text, ','), lambda x: trim(x, '{WHITE_SPACE}')), lambda x: x <> '')[1:5], '|') AS tags FROM verdict_texts)"""
+  SELECT item_id, array_to_string(list_filter(list_transform(string_split(tag_text, ','), lambda x: trim(x, '{WHITE_SPACE}')), lambda x: x <> ''), '|') AS tags FROM verdict_texts)"""
 
 
 def _factor(name: str) -> str:
@@ -163,7 +162,9 @@ _SUB_VALUES = {"focus": 3, "noise": 7, "exposure": 11, "balance": 13, "framing":
 
 
 def _sub(subs: dict) -> str:
-    return " + ".join(f"(item_id * {_SUB_VALUES[s]} % 100) / 100.0 * {w}" for s, w in subs.items() if s in _SUB_VALUES)
+    known = {s: w for s, w in subs.items() if s in _SUB_VALUES}
+    total = " + ".join(f"(item_id * {_SUB_VALUES[s]} % 100) / 100.0 * {w}" for s, w in known.items())
+    return f"({total}) / ({' + '.join(str(w) for w in known.values())})"
 
 
 _SUBS = " UNION ALL ".join(
@@ -193,12 +194,12 @@ ORACLE = {
          FROM parsed JOIN fenced USING (item_id)""",
     "score_label": _PARSED + f"SELECT item_id, ai_score, CASE ai_score {_LABELS} END AS label FROM parsed",
     "prompt_build": B.cte(B.ITEMS, FLAGGED, SUMMARIES, CONTEXT)
-    + f"""SELECT item_id, concat_ws(chr(10), 'Rate this item from 1 to 9 by these factors:', {_RUBRIC_LINES},
-          CASE WHEN is_key THEN 'This item starts a change. Bonus: +{_BONUS}' WHEN is_filler THEN 'This item repeats the one before. Penalty: {_PENALTY}'
-               ELSE 'This item has no known place in a sequence.' END,
-          'Reply with these lines only:', 'ai_score: <1-9>', 'ai_factors: {_REPLY}') AS prompt FROM context""",
+    + f"""SELECT item_id, concat_ws(chr(10), 'Factors and their weights:', {_RUBRIC_LINES},
+          CASE WHEN is_key THEN 'Place: first of a change (add {_BONUS}).' WHEN is_filler THEN 'Place: like the item before (add {_PENALTY}).'
+               ELSE 'Place: unknown.' END,
+          'Give a whole number from 1 to 9 and each factor between 0 and 1, in this form:', 'ai_score: <1-9>', 'ai_factors: {_REPLY}') AS prompt FROM context""",
     "score_stage": B.cte(B.ITEMS)
     + "SELECT item_id, CAST(1 + length(text) % 9 AS INTEGER) AS ai_score, 'offline' AS ai_reason, (length(text) % 100) / 100.0 AS clarity FROM items",
-    "tag_vocab": """SELECT CAST(row_number() OVER (ORDER BY p_type, p_brand) - 1 AS INTEGER) AS place, p_type AS category, p_brand AS tag
-        FROM (SELECT DISTINCT p_type, p_brand FROM part) ORDER BY p_type, p_brand LIMIT 32""",
+    "tag_vocab": """SELECT row_number() OVER (ORDER BY p_type, p_brand) - 1 AS place, p_type AS category, p_brand AS tag
+        FROM (SELECT DISTINCT p_type, p_brand FROM part)""",
 }

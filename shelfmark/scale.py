@@ -11,6 +11,7 @@ A group is only handed to one task as a whole after its size was measured to be
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ SPAN = 500_000
 HOT_ROWS = 5_000_000
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet null keys; the keys come from ``left``."""
+    renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()])
+    return left.join(right.withColumnsRenamed(renamed), on, how).drop(*renamed.values())
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Size of the biggest group; one partially aggregated pass over the keys."""
     if not keys:
@@ -65,18 +73,18 @@ def attach(
     keys = list(keys)
     measure = rows if measure is None else measure
     if (largest_group(measure, keys) if biggest is None else biggest) <= hot_rows:
-        return rows.join(dim, keys, how)
+        return null_safe_join(rows, dim, keys, how)
     hot = hot_keys(measure, keys, hot_rows)
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
+    salted = null_safe_join(rows, F.broadcast(hot), keys, "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(*spread_on), F.col("_salts")).cast("int")
         ),
     ).drop("_salts")
-    repeated = dim.join(F.broadcast(hot), keys, "left").withColumn(
+    repeated = null_safe_join(dim, F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     ).drop("_salts")
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return null_safe_join(salted, repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def ordered_index(
@@ -112,7 +120,7 @@ def _split_index(df: DataFrame, group: list[str], order: Sequence[Column], name:
     starts = parts.select(
         *group, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    keyed = numbered.join(starts, [*group, "_part"])
+    keyed = null_safe_join(numbered, starts, [*group, "_part"])
     return keyed.withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
 
 
@@ -144,7 +152,7 @@ def windowed(
     index = _split_index(
         tagged, group, [F.col(f"_o{i}") for i in range(len(order))], "idx"
     ).select(*group, *key, "idx")
-    placed = df.join(index, [*group, *key])
+    placed = null_safe_join(df, index, [*group, *key])
     chunk = F.floor(F.col("idx") / F.lit(span))
     copies = F.array(F.struct(chunk.alias("chunk"), F.lit(False).alias("halo")))
     if halo:

@@ -18,6 +18,8 @@ def build_session(app: str = "shelfmark", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+        # State of streams lies on disk, not on the heap.
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.schemas import PACKED
 
@@ -23,7 +24,8 @@ def load_images(df: DataFrame, path: str = "image") -> DataFrame:
     """Replace a path by the file's bytes and path, read where the row already is.
 
     Call it after the rows lie in their shards: payloads then go from storage to the shard file
-    without crossing a shuffle. Unreadable files give null bytes.
+    without crossing a shuffle. Bytes are null for a null path or a file that does not exist; any other
+    failure of the storage fails the task, which Spark repeats.
     """
     image = "image struct<bytes: binary, path: string>"
     others = [f for f in df.schema if f.name != path]
@@ -34,11 +36,13 @@ def load_images(df: DataFrame, path: str = "image") -> DataFrame:
         from pyarrow import fs
 
         def read(uri: str | None) -> bytes | None:
+            if uri is None:
+                return None
+            system, name = fs.FileSystem.from_uri(uri)
             try:
-                system, name = fs.FileSystem.from_uri(uri)
                 with system.open_input_stream(name) as f:
                     return f.read()
-            except (OSError, TypeError, ValueError):
+            except FileNotFoundError:
                 return None
 
         for batch in batches:
@@ -60,15 +64,21 @@ def load_images(df: DataFrame, path: str = "image") -> DataFrame:
 
 
 def write_shards(
-    df: DataFrame, path: str, shard: str = "file", position: str = "position", payload: str | None = None
+    df: DataFrame,
+    path: str,
+    shard: str = "file",
+    position: str = "position",
+    payload: str | None = None,
+    shards: int | None = None,
 ) -> None:
     """Write one folder of Parquet per shard, named like the shard's file, replacing the target.
 
     A shard has a fixed number of rows, so partitioning by it cannot skew, and one task writes a
     shard in shuffle order. ``payload`` names a path column whose files are loaded by that task. The
-    commit protocol makes the write atomic.
+    commit protocol makes the write atomic. ``shards``, their number, gives as many tasks.
     """
-    placed = df.repartition(shard).sortWithinPartitions(shard, position)
+    dealt = df.repartition(shards, shard) if shards else df.repartition(shard)
+    placed = dealt.sortWithinPartitions(shard, position)
     ready = load_images(placed, payload) if payload else placed
     ready.write.mode("overwrite").partitionBy(shard).parquet(path)
 
@@ -83,6 +93,21 @@ def write_documents(df: DataFrame, path: str, *folders: str) -> None:
     df.write.mode("overwrite").partitionBy(*folders).json(path)
 
 
+def write_label_documents(labels: DataFrame, items: DataFrame, path: str) -> None:
+    """One folder of label documents per collection: its own fields, and a document for each item.
+
+    ``labels`` has collection_id and the collection's fields, ``items`` collection_id, stem and the item's
+    fields. The item map of a document holds one item, so that no collection has to fit into a row.
+    """
+    fields = [c for c in items.columns if c not in ("collection_id", "stem")]
+    own = labels.select("collection_id", F.to_json(F.struct(*[c for c in labels.columns if c != "collection_id"])).alias("value"))
+    each = items.select(
+        "collection_id", F.to_json(F.struct(F.map_from_arrays(F.array("stem"), F.array(F.struct(*fields))).alias("images"))).alias("value")
+    )
+    named = own.unionByName(each).withColumn("document", F.concat(F.col("collection_id").cast("string"), F.lit("_labels.json")))
+    named.select("value", "document").write.mode("overwrite").partitionBy("document").text(path)
+
+
 def write_quarantine(df: DataFrame, path: str) -> None:
     """Copies of quarantined items by category; the source is never changed."""
     df.write.mode("overwrite").partitionBy("category").parquet(path)

@@ -1,32 +1,32 @@
 """Written intermediate tables in the shared folder named by ``spark.checkpoint.dir``.
 
 A written Parquet table cuts lineage, survives the loss of executors and can be read back
-column by column, so it is used wherever a result must be computed exactly once.
+column by column, so it is used wherever a result must be computed exactly once. Where the setting is
+absent, the tables lie below the warehouse, which executors share, too. ``release`` removes what a
+session has staged, once the results that read it are written.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 DIR_KEY = "spark.checkpoint.dir"
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
+
+#: Folders handed out, by application.
+_FOLDERS: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder of the session; a temporary one only for a local master."""
-    root = spark.conf.get(DIR_KEY, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{DIR_KEY} must name a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="shelfmark-")
-        spark.conf.set(DIR_KEY, root)
-    return root.rstrip("/")
+    return (spark.conf.get(DIR_KEY, None) or spark.conf.get(WAREHOUSE_KEY)).rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/shelfmark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/shelfmark/{label}-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -35,3 +35,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all folders this application was given; call it when its results are written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folders = _FOLDERS.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(folders)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,21 +11,6 @@ from pyspark.sql import types as T
 from shelfmark.operators.labels import keep_aggregates
 from shelfmark.storage import new_folder
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-@contextmanager
-def _state_on_disk(spark: SparkSession):
-    """Keep stream state in RocksDB instead of on the heap while a query starts and runs."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
-
-
 def read_table_stream(spark: SparkSession, folder: str, file_glob: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if files_per_trigger:
@@ -45,15 +29,29 @@ def run_label_state(edits: DataFrame, key: Sequence[str], target: str, checkpoin
     def write(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
-    with _state_on_disk(edits.sparkSession):
-        query = (
-            state.writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .foreachBatch(write)
-            .start()
-        )
-        query.awaitTermination()
+    _create(edits.sparkSession, target, state.schema)
+    query = (
+        state.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _create(spark: SparkSession, target: str, schema) -> None:
+    """An empty table where a stream will write, so that one without input can be read, too."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{target}/batch=-1")
+
+
+def compact_label_state(spark: SparkSession, target: str, schema, key: Sequence[str], compacted: str) -> None:
+    """Write the current state as one batch into a new folder, before all later ones.
+
+    The stream goes on with ``compacted`` as its target; its log then holds one row per key, and the
+    changes since. Readers of the old folder are not disturbed.
+    """
+    read_label_state(spark, target, schema, key).write.mode("overwrite").parquet(f"{compacted}/batch=-1")
 
 
 def read_label_state(spark: SparkSession, target: str, schema, key: Sequence[str]) -> DataFrame:
@@ -75,8 +73,8 @@ def stream_label_state(edits: DataFrame, key: Sequence[str]) -> DataFrame:
 def run_todo(items: DataFrame, verdicts: DataFrame, key: Sequence[str], target: str, checkpoint: str) -> None:
     """Emit every new item that has no scored verdict, once.
 
-    What was emitted before is read back from the target, so the stream keeps no state of its own
-    and a batch that is run again ignores and replaces its own output.
+    The stream remembers the keys it has seen in its state store, on disk, so no batch reads what earlier
+    ones wrote; a batch that is run again replaces its own output.
     """
     spark = items.sparkSession
     key = list(key)
@@ -84,14 +82,13 @@ def run_todo(items: DataFrame, verdicts: DataFrame, key: Sequence[str], target:
     schema = items.select(*key).schema
 
     def write(batch_items: DataFrame, batch: int) -> None:
-        new = batch_items.select(*key).dropDuplicates(key).join(done, key, "left_anti")
-        if batch > 0:
-            earlier = read_todo(spark, target, schema).filter(F.col("batch") < batch).select(*key)
-            new = new.join(earlier, key, "left_anti")
+        new = batch_items.join(done, key, "left_anti")
         new.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
+    _create(spark, target, schema)
+    unseen = items.select(*key).dropDuplicates(key)
     query = (
-        items.writeStream.option("checkpointLocation", checkpoint)
+        unseen.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()

@@ -85,11 +85,60 @@ def test_page(spark):
     ]
 
 
-def test_dom_cap_and_numbering_past_999(spark):
-    many = "".join(f'<img src="https://i.example.com/{i}.jpg">' for i in range(150))
+def test_no_cap_and_numbering_past_999(spark):
+    many = "".join(f'<img src="https://i.example.com/{i}.jpg">' for i in range(1005))
     df = spark.createDataFrame([(1, f'<div class="photo-area">{many}</div>')], "page_id bigint, html string")
     dom = extract.dom_urls(extract.class_region(F.col("html"), "photo-area"))
-    assert extract.media_urls(df, dom).count() == 100
+    found = extract.media_urls(df, dom)
+    assert found.count() == 1005 and found.agg(F.max("file_name")).first()[0] == "999.jpg"
+    assert "1005.jpg" in {r.file_name for r in found.collect()}
+    few = extract.dom_urls(extract.class_region(F.col("html"), "photo-area"), most=3)
+    assert extract.media_urls(df, few).count() == 3
+
+
+NESTED = [
+    ("<div class=photo-area><div><img 1></div><img 2></div><img 3>", ["<div><img 1></div><img 2>"]),
+    ("<p class='a photo-area'>x<p2>y</p2></p><P CLASS=\"photo-area\">z</P>", ["x<p2>y</p2>", "z"]),
+    ("<div class='photo-area'><div/><div class='photo-area'>in</div>out</div>", ["<div/><div class='photo-area'>in</div>out", "in"]),
+    ("<div class='photo-area'>open <div>still", ["open <div>still"]),
+    ("<div class='no-photo-area photo-areas'>x</div>", []),
+    ("", []),
+    (None, []),
+]
+
+
+def test_regions(spark):
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(NESTED)], "i int, html string").orderBy("i")
+    found = df.select(extract.class_regions(F.col("html"), "photo-area"), extract.class_region(F.col("html"), "photo-area")).collect()
+    assert [r[0] for r in found] == [wanted for _, wanted in NESTED]
+    assert [r[1] for r in found] == [(wanted or [""])[0] for _, wanted in NESTED]
+
+
+def test_no_region_no_addresses(spark):
+    page = '<div class="photo-area"><img src="https://i.example.com/1.jpg"></div>'
+    df = spark.createDataFrame([(1, page), (2, '"https://i.example.com/2.jpg"')], "page_id bigint, html string")
+    raw = extract.pattern_urls(F.col("html"), r"""https://i\.example\.com/[^"']+""")
+    region = extract.class_region(F.col("html"), "photo-area")
+    assert [r.page_id for r in extract.media_urls(df, raw, region=region).collect()] == [1]
+
+
+@pytest.mark.parametrize(
+    "element,value",
+    [("<a href=\"/it's/1\">", "/it's/1"), ("<a href='/a\"b'>", '/a"b'), ("<a x=1 HREF = /bare?q=1 y>", "/bare?q=1"), ("<a data-href='x'>", ""), ("<a href>", "")],
+)
+def test_attributes(spark, element, value):
+    df = spark.createDataFrame([(element,)], "e string")
+    assert df.select(extract.attribute(F.col("e"), "href")).first()[0] == value
+
+
+def test_character_references(spark):
+    cases = {
+        "&eacute;&#8217;&#x27;&#X1F600;": "é’'😀", "&amp;lt;": "&lt;", "&lt;b&gt; &unknown; & &#0; &#xD800; &#99999999;": "<b> &unknown; & &#0; &#xD800; &#99999999;",
+        "no": "no", "": "", "&amp;": "&", "a&nbsp;b&apos;": "a\xa0b'",
+    }
+    df = spark.createDataFrame([(k,) for k in [*cases, None]], "t string")
+    got = {r[0]: r[1] for r in df.select("t", T.decode_entities(F.col("t"))).collect()}
+    assert got == {**cases, None: None}
 
 
 def test_creator_name_needs_an_id(spark):

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfmark import storage
 from shelfmark.operators import cluster, packing, relational, sequence
 from shelfmark.plans import bindings as B
 from shelfmark.scale import attach, hot_keys, largest_group, ordered_index, windowed
@@ -148,3 +152,42 @@ def test_letter_counts_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").repartition(2)
     got = {r.i: r.hist for r in vectors.letter_counts(df, "text").collect()}
     assert got == {i: None if t is None else [t.lower().count(c) for c in LETTERS] for i, t in enumerate(texts)}
+
+
+def test_null_groups_keep_their_rows(spark):
+    rows = spark.createDataFrame([(None if i % 4 == 0 else i % 2, i) for i in range(100)], "g int, k int")
+    for span in (10, 1000):
+        found = {(r.g, r.k): r.idx for r in ordered_index(rows, ["g"], [F.col("k")], "idx", span).collect()}
+        assert len(found) == 100
+        assert sorted(v for (g, _), v in found.items() if g is None) == list(range(25))
+        looked = windowed(rows, ["g"], [F.col("k")], ["k"], 1, lambda d, w: d.withColumn("before", F.lag("k").over(w)), span)
+        assert {(r.g, r.k, r.before) for r in looked.collect()} == {
+            (None if k % 4 == 0 else k % 2, k, None if k < 4 and k != 3 else k - (4 if k % 2 == 0 else 2))
+            for k in range(100)
+        }
+
+
+def test_clusters_of_several_null_and_uneven_vectors(spark):
+    rng = random.Random(1)
+    data = []
+    for i in range(120):
+        group = None if i % 3 == 0 else i % 2
+        vector = None if i % 11 == 0 else [1.0, None, 2.0] if i % 13 == 0 else [rng.gauss(0, 1) for _ in range(3)]
+        data.append((group, i // 2, i, vector))
+    rows = spark.createDataFrame(data, "g int, item int, v int, vec array<double>")
+    whole = sum(v is not None and None not in v for *_, v in data)
+    results = []
+    for batch, chunk in ((7, 10), (1000, 1000)):
+        found = cluster.leader_clusters(rows, "g", "item", [F.col("v")], "vec", 0.7, batch, chunk)
+        results.append(sorted(map(tuple, found.drop("leader_sim").collect()), key=repr))
+    assert results[0] == results[1] and len(results[0]) == whole
+    uneven = spark.createDataFrame([(1, 1, 1, [1.0, 2.0]), (1, 2, 2, [1.0])], rows.schema)
+    with pytest.raises(Exception, match="different lengths"):
+        cluster.leader_clusters(uneven, "g", "item", [F.col("v")], "vec").count()
+
+
+def test_staged_folders_go(spark):
+    before = storage.new_folder(spark, "probe")
+    spark.range(3).write.parquet(before)
+    assert storage.stage(spark.range(5), "probe").count() == 5
+    assert storage.release(spark) >= 2 and not os.path.exists(before)
