@@ -14,7 +14,9 @@ from shelfmark.operators.sequence import fingerprint
 from shelfmark.plans import bindings as B
 from shelfmark.plans.sequences import PRINT
 from shelfmark.scale import attach
-from shelfmark.storage import stage
+from shelfmark.sources import packed
+from shelfmark.sources.packed import write_documents
+from shelfmark.storage import new_folder, stage
 
 THRESHOLD = 0.2
 GROUP, ITEM = "collection_id", "item_id"
@@ -74,6 +76,14 @@ def cluster_summary(spark, sf_dir):
     return cluster.cluster_summary(groups, found, GROUP, ITEM, "score")
 
 
+def export_clusters(spark, sf_dir):
+    """Write one result document per collection and read the documents back."""
+    done = cluster_summary(spark, sf_dir)
+    path = new_folder(spark, "clusters")
+    write_documents(done, path, GROUP)
+    return spark.read.schema(done.schema).json(path).select(done.columns)
+
+
 def _quarantined(spark, sf_dir) -> DataFrame:
     """Documents without a final stop count as broken; vectors share the documents' ids."""
     no_stop = ~F.endswith(F.rtrim("text"), F.lit("."))
@@ -96,6 +106,14 @@ def quarantine_items(spark, sf_dir):
     return _quarantined(spark, sf_dir)
 
 
+def write_quarantine(spark, sf_dir):
+    """Write the quarantined items by category, payload included, and look at what lies there."""
+    texts = B.items(spark, sf_dir).select(ITEM, "text")
+    path = new_folder(spark, "quarantine")
+    packed.write_quarantine(_quarantined(spark, sf_dir).join(texts, ITEM), path)
+    return spark.read.parquet(path).select("category", ITEM, F.md5("text").alias("payload_md5"))
+
+
 def clean_items(spark, sf_dir):
     items = B.items(spark, sf_dir).select(GROUP, ITEM)
     return quality.clean(items, _quarantined(spark, sf_dir), ITEM)
@@ -111,6 +129,8 @@ QUERIES = {
     "cluster_members": cluster_members,
     "quarantine_counts": quarantine_counts,
     "quarantine_items": quarantine_items,
+    "write_quarantine": write_quarantine,
+    "export_clusters": export_clusters,
     "clean_items": clean_items,
 }
 
@@ -172,6 +192,10 @@ ORACLE = {
                  FROM flagged GROUP BY collection_id) f USING (collection_id))""",
     "quarantine_counts": _quarantine + "SELECT category, collection_id, count(*) AS items FROM quarantined GROUP BY ALL",
     "quarantine_items": _quarantine + "SELECT * FROM quarantined",
+    "write_quarantine": _quarantine
+    + "SELECT category, item_id, md5(text) AS payload_md5 FROM quarantined JOIN (SELECT item_id, text FROM items) USING (item_id)",
     "clean_items": _quarantine
     + "SELECT collection_id, item_id FROM items WHERE item_id NOT IN (SELECT item_id FROM quarantined)",
 }
+# The exported documents say what the summary says.
+ORACLE["export_clusters"] = ORACLE["cluster_summary"]

@@ -100,12 +100,21 @@ def broken_items(spark, sf_dir):
     return B.pages(spark, sf_dir).filter(quality.truncated_html(F.col("html"))).select("page_id")
 
 
+def broken_bytes(spark, sf_dir):
+    """Texts in the shell of an image: every fourth has no known magic, every third no end marker."""
+    content = F.expr("""concat(unhex(CASE WHEN item_id % 4 = 0 THEN '00' ELSE '474946383961' END), encode(text, 'UTF-8'),
+        unhex(CASE WHEN item_id % 3 = 0 THEN '' ELSE '3B' END))""")
+    return B.items(spark, sf_dir).filter(media.is_broken(content)).select("item_id")
+
+
 def header_probe(spark, sf_dir):
-    """PNG headers made of an item's length and id; every seventh item has other bytes."""
-    content = F.expr("""CASE WHEN item_id % 7 = 0 THEN encode(text, 'UTF-8') ELSE
+    """PNG and JPEG headers made of an item's length and id; every seventh item has other bytes."""
+    content = F.expr("""CASE WHEN item_id % 7 = 0 THEN encode(text, 'UTF-8')
+        WHEN item_id % 7 = 1 THEN concat(unhex('FFD8FFE000060102'), unhex('0304FFC0001108'), unhex(lpad(hex(item_id % 65536), 4, '0')),
+               unhex(lpad(hex(bytes % 65536), 4, '0')), unhex('03'), encode(text, 'UTF-8'), unhex('FFD9')) ELSE
         concat(unhex('89504E470D0A1A0A0000000D49484452'), unhex(lpad(hex(bytes), 8, '0')),
                unhex(lpad(hex(item_id), 8, '0')), unhex('0802000000')) END""")
-    return B.items(spark, sf_dir).select("item_id", media.header_size(content, with_jpeg=False).alias("s")).select(
+    return B.items(spark, sf_dir).select("item_id", media.header_size(content).alias("s")).select(
         "item_id", "s.width", "s.height"
     )
 
@@ -123,6 +132,7 @@ QUERIES = {
     "item_name": item_name,
     "broken_items": broken_items,
     "header_probe": header_probe,
+    "broken_bytes": broken_bytes,
 }
 
 
@@ -205,6 +215,8 @@ ORACLE = {
     "item_name": f"SELECT page_id, printf('%03d', page_id * 11) || {_EXT} AS file_name FROM pages",
     "broken_items": "SELECT page_id FROM pages WHERE NOT contains(lower(html), '</html>')",
     "header_probe": B.cte(B.ITEMS)
-    + """SELECT item_id, CASE WHEN item_id % 7 = 0 THEN 0 ELSE bytes END AS width,
-         CASE WHEN item_id % 7 = 0 THEN 0 ELSE item_id END AS height FROM items""",
+    + """SELECT item_id, CASE item_id % 7 WHEN 0 THEN 0 WHEN 1 THEN bytes % 65536 ELSE bytes END AS width,
+         CASE item_id % 7 WHEN 0 THEN 0 WHEN 1 THEN item_id % 65536 ELSE item_id END AS height FROM items""",
+    "broken_bytes": B.cte(B.ITEMS)
+    + "SELECT item_id FROM items WHERE item_id % 4 = 0 OR (item_id % 3 = 0 AND right(text, 1) <> ';')",
 }
