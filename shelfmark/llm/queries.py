@@ -129,4 +129,33 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS text_sha256
         FROM k GROUP BY doc_id
     """,
+    "op2_chunk_table": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+        b AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS keep,
+                array_to_string(list_transform(range(1, 41), lambda k: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111',
+                    '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', substr(hex, k, 1))]), '') AS bits
+              FROM p)
+        SELECT page_id, strlen(body) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+                   16 * CAST(substr(bits, 5 * i + 1, 1) AS INTEGER) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INTEGER)
+                   + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INTEGER) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INTEGER)
+                   + CAST(substr(bits, 5 * i + 5, 1) AS INTEGER) AS INTEGER), 1)), '') AS payload_digest,
+               CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> keep THEN keep END AS refers_to
+        FROM b
+    """,
+    "op1_grouped_prefix": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 3) AS g
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+        sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(node, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT b, root FROM reach JOIN sides ON a = node)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node) LEFT JOIN sizes USING (doc_id)
+    """,
 }
