@@ -49,8 +49,9 @@ def sequence_flags(
     feature gives no change and leaves the positions alone. Cosine does not depend on scale, so raw
     counts serve as histogram, and the similarity of integers is exact.
     """
-    ready = items.withColumn("_h", F.col("hist").cast("array<double>")).withColumn(
-        "_norm", F.sqrt(dot(F.col("_h"), F.col("_h")))
+    # Of the histogram, one copy goes through the shuffle.
+    ready = items.withColumn("_h", F.col("hist").cast("array<double>")).drop("hist").withColumns(
+        {"_norm": F.sqrt(dot(F.col("_h"), F.col("_h"))), "has_feature": F.col("_h").isNotNull()}
     )
 
     def build(df: DataFrame, w: WindowSpec) -> DataFrame:
@@ -68,8 +69,7 @@ def sequence_flags(
             .withColumn("sustained", first | F.coalesce(F.col("recent_sim") < sustained, F.lit(False)))
             .withColumn("is_key", F.col("abrupt") | F.col("hash_change") | F.col("sustained"))
             .withColumn("is_filler", ~F.col("is_key"))
-            .withColumn("has_feature", F.col("hist").isNotNull())
-            .drop("_h", "_h0", "_norm", "_norm0", "hist")
+            .drop("_h", "_h0", "_norm", "_norm0")
         )
 
     return windowed(ready, group, order, key, lookback, build, span, narrow)
