@@ -5,7 +5,7 @@ occurrence goes on. Two lines within one edit have the same first half or the sa
 none of whose halves occurs in another line are done (halves are counted, combined map-side). The
 others emit all variants with one character deleted, as hashed keys:
 
-* equal variants at the same place of lines of equal length: a substitution,
+* equal variants with the same place: a substitution,
 * a variant that equals a whole line: an insertion or deletion.
 
 A key needs its earliest line only, not its pairs: whoever shares a key with an earlier line has a
@@ -62,45 +62,40 @@ def distinct_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int)
 
 
 def candidates(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k1, k2, first, line) of the lines that share a half with another one, written."""
+    """(k1, k2, no, line) of the lines that share a half with another one, numbered in order, written."""
     halves = distinct.select("k1", "k2", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
     own = stage(halves.join(stage(shared, "shared-halves"), "half").select("k1", "k2", "first").distinct(), "candidate-lines")
     at = own.select("k1", "k2", "first", "first.*")
     texts = lines_of(docs, id_col, text_col).join(at, ["d", "h", "i"]).select("k1", "k2", "first", "line")
-    return stage(texts.dropDuplicates(["k1", "k2"]), "candidate-texts")
+    numbered = texts.dropDuplicates(["k1", "k2"]).orderBy("first").withColumn("no", F.monotonically_increasing_id())
+    return stage(numbered.select("k1", "k2", "no", "line"), "candidate-texts")
 
 
 def _variants(texts: DataFrame) -> DataFrame:
-    """(key, swap, whole, first): a row per deletion and use, and one for the whole line."""
-    at = texts.withColumn("p", F.explode(F.sequence(F.lit(0), F.length("line"))))
-    whole = F.col("p") == F.length("line")
+    """(key, p, no): a row per deletion at place ``p``, and one for the whole line, at the place after its last."""
+    at = texts.select("no", "line", F.explode(F.sequence(F.lit(0), F.length("line"))).alias("p"))
     cut = F.concat(F.substring("line", F.lit(1), F.col("p")), F.substring("line", F.col("p") + 2, F.length("line")))
-    rest = F.when(whole, F.col("line")).otherwise(cut)
-    made = at.select("k1", "k2", "first", "p", F.length("line").alias("n"), whole.alias("whole"), rest.alias("rest"))
-    swaps = made.filter(~F.col("whole")).select(
-        F.xxhash64(F.lit("swap"), "n", "p", "rest").alias("key"), F.lit(True).alias("swap"), F.lit(False).alias("whole"), "first"
-    )
-    return swaps.unionByName(
-        made.select(F.xxhash64(F.lit("gap"), "rest").alias("key"), F.lit(False).alias("swap"), "whole", "first")
-    )
+    whole = F.col("p") == F.length("line")
+    # A whole line of n characters and a cut one of n + 1 share their key; -1 tells the former apart.
+    return at.select(F.xxhash64(cut).alias("key"), F.when(whole, -1).otherwise(F.col("p")).alias("p"), "no")
 
 
 def near_lines(texts: DataFrame) -> DataFrame:
     """(k1, k2) of the lines that have an earlier line within one edit, written."""
     variants = _variants(texts)
-    keys = variants.groupBy("key").agg(
-        F.min(F.when(F.col("whole"), F.col("first"))).alias("whole_first"),
-        F.min(F.when(~F.col("whole"), F.col("first"))).alias("cut_first"),
-        F.count(F.lit(1)).alias("n"),
+    keys = variants.groupBy("key").agg(F.min("no").alias("least"), F.max("no").alias("most"))
+    met = stage(variants.join(stage(keys.filter("least < most").select("key"), "variant-keys"), "key"), "met-variants")
+    # Cut at one place: a substitution. A whole line and a cut one: an insertion or deletion.
+    swaps = met.filter("p >= 0").groupBy("key", "p").agg(F.min("no").alias("witness"))
+    gaps = met.groupBy("key").agg(
+        F.min(F.when(F.col("p") < 0, F.col("no"))).alias("whole"), F.min(F.when(F.col("p") >= 0, F.col("no"))).alias("cut")
     )
-    keys = stage(keys.filter("n > 1").drop("n"), "variant-keys")
-    met = variants.join(keys, "key")
-    witness = F.when(F.col("swap") | F.col("whole"), F.col("cut_first")).otherwise(F.col("whole_first"))
-    found = met.select("first", witness.alias("witness")).filter(F.col("witness") < F.col("first")).distinct()
-    left = texts.select("first", "k1", "k2", "line")
-    right = texts.select(F.col("first").alias("witness"), F.col("line").alias("earlier"))
-    pairs = stage(found, "witnesses").join(left, "first").join(right, "witness")
+    by_place = met.join(stage(swaps, "swaps"), ["key", "p"]).select("no", "witness")
+    by_key = met.join(stage(gaps, "gaps"), "key").select("no", F.when(F.col("p") < 0, F.col("cut")).otherwise(F.col("whole")).alias("witness"))
+    found = by_place.unionByName(by_key).filter(F.col("witness") < F.col("no")).distinct()
+    right = texts.select(F.col("no").alias("witness"), F.col("line").alias("earlier"))
+    pairs = stage(found, "witnesses").join(texts, "no").join(right, "witness")
     near = pairs.filter(F.levenshtein("line", "earlier", 1).between(0, 1))
     return stage(near.select("k1", "k2").distinct(), "near-lines")
 
