@@ -43,8 +43,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Counters of the order, in blocks of BLOCK.
 SKETCH, BLOCK = 1 << 20, 1 << 16
-#: Bits of the parity bitmap.
-BITS = 2048
+#: Bits of the parity bitmap, and of the one that tells which texts are wanted.
+BITS, WANTED_BITS = 2048, 1 << 23
 #: Bytes of text that are taken apart at once.
 CHUNK = 1 << 21
 
@@ -157,23 +157,43 @@ def prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
     return stage(rows.mapInArrow(describe, schema), "prefixes")
 
 
+def _wanted_bits(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with the hashes of the wanted texts: WANTED_BITS / 64 numbers at most."""
+    at = F.pmod("h", F.lit(WANTED_BITS))
+    words = wanted.groupBy(F.shiftright(at, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(h, {WANTED_BITS}) % 64 as int))")).alias("bits")
+    )
+    found = words.toPandas()
+    bits = np.zeros(WANTED_BITS // 64, np.int64)
+    bits[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bits
+
+
 def _whole_sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(sid, shingles) of the sets in ``wanted`` (sid, d, h), from the texts."""
+    """(sid, shingles) of the sets in ``wanted`` (sid, d, h), from the texts.
+
+    Texts that are surely not wanted stop at a bitmap, before anything is read or sent.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_wanted_bits(wanted))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in _chunks(batch.column(1).to_pylist()):
+            at = batch.column(1).to_numpy() % WANTED_BITS
+            near = (bits.value[at >> 6] >> (at & 63)) & 1
+            batch = batch.filter(pa.array(near.astype(bool)))
+            for start, texts in _chunks(batch.column(2).to_pylist()):
                 sets = [_as_signed(s) for s in shingle_hashes(texts, width)]
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(np.concatenate(sets), pa.int64())
                 )
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), lists], names=["sid", "shingles"])
+                here = batch.slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays([here.column(0), here.column(1), lists], names=["d", "h", "shingles"])
 
     rows = docs.select(
         doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"), docs[text_col].cast("string").alias("text")
     )
-    texts = rows.join(wanted, ["d", "h"]).select("sid", "text")
-    return texts.mapInArrow(read, "sid long, shingles array<long>").dropDuplicates(["sid"])
+    found = rows.mapInArrow(read, "d long, h long, shingles array<long>").join(wanted, ["d", "h"])
+    return found.select("sid", "shingles").dropDuplicates(["sid"])
 
 
 def _needed(n: str, m: str, percent: int) -> Column:
@@ -217,20 +237,21 @@ def near_duplicates(
     # Equal sets become one, named by the smallest document that has it.
     first = F.min(F.struct("d", "h", "prefix", "bits")).alias("doc")
     sets = filled.groupBy("f1", "f2", "n").agg(first).select(
-        F.monotonically_increasing_id().alias("sid"), "f1", "f2", "n", "doc.*"
+        F.monotonically_increasing_id().alias("sid"), "f1", "f2", "n", "doc.*", F.xxhash64("n", "doc.prefix").alias("p")
     )
     sets = stage(sets, "sets")
     # Sets of one size and prefix become one group, named by its smallest set.
-    keyed = sets.withColumn("p", F.xxhash64("n", "prefix"))
-    groups = stage(keyed.groupBy("n", "p").agg(F.min("sid").alias("gid"), F.count(F.lit(1)).alias("members")), "groups")
-    members = stage(keyed.select("sid", "n", "p").join(groups.filter("members > 1"), ["n", "p"]).select("gid", "sid", "n"), "members")
-    heads = groups.select(F.col("gid").alias("sid")).join(sets, "sid")
-    postings = heads.select("sid", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    # Shingles that one group alone has in its prefix end here.
-    counts = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("lists"), F.min("n").alias("least"))
+    groups = sets.groupBy("n", "p").agg(F.min("sid").alias("gid"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    members = sets.select("sid", "n", "p").join(stage(groups.select("n", "p", "gid"), "groups"), ["n", "p"])
+    members = stage(members.select("gid", "sid", "n"), "members")
+    # Shingles that one set alone has in its prefix end here; the others stand for their groups.
+    every = sets.select("sid", "n", F.posexplode("prefix").alias("pos", "shingle"))
+    counts = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("lists"), F.min("n").alias("least"))
     common = stage(counts.filter("lists > 1").select("shingle", "least"), "common-shingles")
     fits = F.col("n") - F.col("pos") >= _needed("n", "least", percent)
-    postings = stage(postings.join(common, "shingle").filter(fits).select("shingle", "sid", "n", "pos"), "postings")
+    postings = every.join(common, "shingle").filter(fits).join(members.select("sid", "gid"), "sid", "left")
+    postings = postings.select("shingle", F.coalesce("gid", "sid").alias("sid"), "n", "pos").dropDuplicates(["shingle", "sid"])
+    postings = stage(postings, "postings")
 
     # Pivots: everyone in a list, or in a group, with one of them.
     pivots = stage(
