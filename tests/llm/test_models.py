@@ -241,3 +241,30 @@ def test_the_model_is_a_probability_and_learns():
         assert value(" ".join(words)) == pytest.approx(value(" ".join(words)), rel=1e-4)
     finally:
         scoring.BLOCKS = old
+
+
+def test_the_model_is_learned_from_all_training_rows(spark):
+    """Three parts, each of its own words: counts and weights come from all of them, whatever the number of rows."""
+    coder = scoring.subwords(scoring.TOKENIZER)
+    data = [(i, "apple river stone " * 3) for i in range(900)] + [(i, "quartz lemon violet " * 3) for i in range(900, 1800)]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(3, "doc_id")
+    counts, blocks = scoring.count_subwords(frame.select("text"), scoring.TOKENIZER)
+    stream, sizes = scoring.id_streams(scoring.Piece([t.encode() for _, t in data]), coder)
+    assert counts.tolist() == np.bincount(stream, minlength=coder.size + 2).tolist()
+    assert blocks == int((-(-sizes // scoring.STEP)).sum())
+    shared = spark.sparkContext.broadcast((counts, scoring.Model(counts, coder.opens).p))
+    seen = scoring.averaged(frame.select("text"), shared, scoring.TOKENIZER, 1, 64, 0.01)
+    half = scoring.averaged(frame.filter("doc_id < 900").select("text"), shared, scoring.TOKENIZER, 1, 64, 0.01)
+    row = scoring.Model(counts, coder.opens).row[coder([b"quartz"])[0][0]]
+    assert np.abs(seen["s"][row] - half["s"][row]).max() > 0.01
+    assert half["s"][row] == pytest.approx(shared.value[1]["s"][row], abs=1e-5)
+
+
+def test_more_texts_than_a_sample_are_learned(spark):
+    """A word of 1 row in 2 has its probability even where a sample of 512 rows would hold none of it."""
+    data = [(i, "apple river stone") for i in range(3000)]
+    by_hash = spark.createDataFrame(data, "doc_id long, text string").selectExpr("doc_id", "xxhash64(3, cast(doc_id as string)) h")
+    late = {r["doc_id"] for r in by_hash.orderBy("h").tail(1500)}
+    data = [(i, "quartz lemon violet" if i in late else t) for i, t in data]
+    rows = scoring.score_texts(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert min(r["score"] for r in rows if r["doc_id"] in late) > -3
