@@ -231,7 +231,10 @@ def verify(
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """One row per row of ``docs``: (d, h, n, component); ``component`` is the smallest linked id key."""
+    """One row per row of ``docs``: (d, h, n, root, component).
+
+    ``component`` is the smallest linked id key, ``root`` the component itself; null where n = 0.
+    """
     described = prefixes(docs, id_col, text_col, width, percent)
     filled = described.filter("n > 0")
     # Equal sets become one, named by the smallest document that has it.
@@ -301,9 +304,9 @@ def near_duplicates(
     rooted = sets.join(final.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     rooted = stage(rooted.select("f1", "f2", "n", "d", "root"), "rooted-sets")
     smallest = stage(rooted.groupBy("root").agg(F.min("d").alias("component")), "smallest")
-    by_set = stage(rooted.join(smallest, "root").select("f1", "f2", "n", "component"), "set-components")
+    by_set = stage(rooted.join(smallest, "root").select("f1", "f2", "n", "root", "component"), "set-components")
     found = described.select("d", "h", "n", "f1", "f2").join(by_set, ["f1", "f2", "n"], "left")
-    return found.select("d", "h", "n", F.coalesce("component", "d").alias("component"))
+    return found.select("d", "h", "n", "root", F.coalesce("component", "d").alias("component"))
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -314,11 +317,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Rows of ``docs`` without near duplicates: of a component, the smallest id stays."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    # An id that occurs with several linked texts keeps one of them.
-    first = stage(found.filter("d = component").groupBy("component").agg(F.min("h").alias("h")), "kept-texts")
-    linked = found.filter("n > 0").select("d", "h").distinct()
-    kept = linked.join(first.select(F.col("component").alias("d"), "h"), ["d", "h"], "left_semi")
+    """Rows of ``docs`` without near duplicates: of a component, the smallest (id, text hash) stays.
+
+    Unlinked texts that share an id, or have none, are components of their own, and so all stay.
+    """
+    found = stage(near_duplicates(docs, id_col, text_col, **options).select("d", "h", "n", "root"), "near-duplicates")
+    first = found.filter("n > 0").groupBy("root").agg(F.min(F.struct("d", "h")).alias("kept"))
     empty = found.filter("n = 0").select("d", "h").distinct()
-    return give_back(docs, kept.unionByName(empty), id_col, text_col)
+    return give_back(docs, first.select("kept.d", "kept.h").unionByName(empty), id_col, text_col)

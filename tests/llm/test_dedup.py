@@ -112,6 +112,29 @@ def test_one_document_of_a_component_stays(spark):
     assert kept == {i for (i, _), (n, component) in wanted.items() if i == component or n == 0}
 
 
+def test_unlinked_texts_of_one_id_all_stay(spark):
+    """Null ids, and one id on several texts: only links make a component, and empty texts are none."""
+    rng = random.Random(8)
+    text = lambda: corpora.words(rng, 60, 10**6)
+    group, other = text(), text()
+    data = [(None, group), (None, text()), (None, text()), (None, "no id"), (None, ""), (None, None)]
+    data += [(7, text()), (7, text()), (7, ""), (7, other), (9, other + " more"), (8, group), (11, group + " more"), (12, group)]
+    data += [(7, " "), (None, data[1][1])]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    kept = Counter((r[0], r[1]) for r in jaccard.keep_one(frame).collect())
+    sets = [set(zip(*[(t or "").lower().split()[k:] for k in range(4)])) or {tuple((t or "").split())} - {()} for _, t in data]
+    linked = lambda a, b: bool(a and b) and 100 * len(a & b) >= 85 * len(a | b)
+    component = list(range(len(data)))
+    for _ in data:
+        component = [min(component[j] for j in range(len(data)) if j == i or linked(sets[i], sets[j])) for i in range(len(data))]
+    wanted = Counter()
+    for i, row in enumerate(data):
+        least = min(data[j][0] if data[j][0] is not None else -(2**63) for j in range(len(data)) if component[j] == component[i])
+        if not sets[i] or (row[0] if row[0] is not None else -(2**63)) == least:
+            wanted[row] += 1
+    assert kept == wanted
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)]
     found = components(spark.createDataFrame(edges, "a long, b long"))
