@@ -3,8 +3,8 @@
 The patterns give the base spans. The field tags the tokens (words without white space) of each line as
 outside, begin or inside a secret, from the token's shape and hashed text, those of its neighbours, and
 features of the whole text, and is decoded by Viterbi, all lines of a piece in step. It is trained in
-numpy on at most ``SAMPLE_ROWS`` texts and ``SAMPLE_BYTES`` of them, in the order of a seeded hash, whose
-labels are the base spans. Tagged tokens that touch no base span become spans of kind ``crf``, trimmed to
+numpy on ``SAMPLE_ROWS`` texts in the order of a seeded hash, whose labels are the base spans; where they
+have more than ``SAMPLE_BYTES`` characters together, the longest ones give seeded windows over their text. Tagged tokens that touch no base span become spans of kind ``crf``, trimmed to
 the characters that secrets are made of.
 
 Texts are read whole, by pieces of whole lines of bounded size (a line of more than ``LINE`` tokens is
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import bounded_sample, doc_key, text_hash
+
 # The base patterns, with the group to measure and its least length.
 PATTERNS = (
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
@@ -299,19 +301,19 @@ def _added(text: str, tagged: list[tuple[int, int]], base: list[tuple[int, int,
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     at = F.xxhash64(F.lit(7), docs[id_col].cast("string"))
-    sample = docs.select(
-        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), at.alias("at"), F.lit(0).alias("one")
+    texts = docs.select(
+        doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"),
+        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), at.alias("at"),
     )
+    keys = texts.select("at", "d", "h", F.length("text").alias("n"))
+    sample = bounded_sample(keys, texts.drop("at"), SAMPLE_ROWS, SAMPLE_BYTES).select("at", "text", F.lit(0).alias("one"))
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["at", "text"])
-        rows = rows[rows["text"].str.len().cumsum() <= SAMPLE_BYTES]
         weights, moves = train(rows["text"].tolist())
         return pd.DataFrame({"weights": [weights.tobytes()], "moves": [moves.tobytes()]})
 
-    chosen = docs.select(at.alias("at")).orderBy("at").limit(SAMPLE_ROWS).agg(F.max("at")).first()[0]
-    limited = sample.filter(F.col("at") <= F.lit(chosen)) if chosen is not None else sample.limit(0)
-    model = limited.groupBy("one").applyInPandas(fit, "weights binary, moves binary").collect()  # one model
+    model = sample.groupBy("one").applyInPandas(fit, "weights binary, moves binary").collect()  # one model
     weights = np.frombuffer(model[0]["weights"], np.float32).reshape(FEATURES, 3) if model else np.zeros((FEATURES, 3), np.float32)
     moves = np.frombuffer(model[0]["moves"], np.float32).reshape(4, 3) if model else np.zeros((4, 3), np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((weights, moves))

@@ -5,8 +5,8 @@ embeddings that are averaged and go through a linear layer. A document is a soft
 each of its words being the toxic one, so one toxic word among thousands is not averaged away.
 Embeddings, layer and bias are learned together in numpy. Misspellings share most of their n-grams.
 
-Learning takes at most ``SAMPLE_ROWS`` labelled rows and ``SAMPLE_BYTES`` of text, in the order of a
-seeded hash, in one task. For scoring, layer times embedding is one number per bucket, so that a text
+Learning takes ``SAMPLE_ROWS`` labelled documents in the order of a seeded hash, in one task; where they
+have more than ``SAMPLE_BYTES`` characters together, the longest ones give seeded windows over their text. For scoring, layer times embedding is one number per bucket, so that a text
 is a few passes over its bytes in pieces of bounded size. Nothing else crosses the network.
 
 Defined results: null and empty texts get the score of a document without words, the share of toxic
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import bounded_sample, text_hash
 from shelfmark.llm.language import remainder
 
 BUCKETS = 1 << 18
@@ -137,14 +138,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     marks = labels.filter(labels[label_col].isNotNull() & (remainder(labels[id_col], folds) != 0))
     marks = marks.groupBy(labels[id_col].cast("bigint").alias("d")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     texts = docs.filter(remainder(docs[id_col], folds) != 0).select(
-        docs[id_col].cast("bigint").alias("d"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
+        docs[id_col].cast("bigint").alias("d"), text_hash(docs[text_col]).alias("h"),
+        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     )
-    chosen = marks.orderBy(F.xxhash64(F.lit(9), "d"), "d").limit(SAMPLE_ROWS)  # bounds the broadcast and the task
-    sample = texts.join(F.broadcast(chosen), "d")
+    keys = texts.select("d", "h", F.length("text").alias("n")).join(marks, "d")
+    keys = keys.select(F.xxhash64(F.lit(9), "d").alias("at"), "d", "h", "n", "y")
+    sample = bounded_sample(keys, texts, SAMPLE_ROWS, SAMPLE_BYTES).select("d", "text", "y")
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(at=pd.util.hash_array(rows["d"].to_numpy())).sort_values(["at", "d", "text"])
-        rows = rows[rows["text"].str.len().cumsum() <= SAMPLE_BYTES]
         y = (rows["y"].to_numpy() > 0).astype(np.int64)
         rate = float(y.mean()) if len(y) else 0.0
         weights, bias = np.zeros(BUCKETS, np.float32), 0.0

@@ -13,7 +13,7 @@ import corpora
 import numpy as np
 import pytest
 
-from shelfmark.llm import language, scoring, secrets, toxicity
+from shelfmark.llm import common, language, scoring, secrets, toxicity
 
 
 def crc(i, by):
@@ -268,3 +268,42 @@ def test_more_texts_than_a_sample_are_learned(spark):
     data = [(i, "quartz lemon violet" if i in late else t) for i, t in data]
     rows = scoring.score_texts(spark.createDataFrame(data, "doc_id long, text string")).collect()
     assert min(r["score"] for r in rows if r["doc_id"] in late) > -3
+
+
+def first_in_order(spark, seed, kind):
+    ids = spark.range(1, 400).selectExpr("id", f"xxhash64({seed}, cast(id as {kind})) h").orderBy("h", "id").collect()
+    return [r["id"] for r in ids]
+
+
+def test_a_long_text_does_not_end_the_sample(spark, monkeypatch):
+    """The text first in hash order is longer than the whole sample may be; ids and rows repeat."""
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 20_000)
+    monkeypatch.setattr(secrets, "SAMPLE_BYTES", 20_000)
+    learned = [i for i in first_in_order(spark, 9, "bigint") if crc(i, 5) != 0]
+    data = [(i, f"good words here {'vilest' if i % 2 else 'kindly'} end") for i in range(1, 400)]
+    data = [(i, "plain long text " * 3000) if i == learned[0] else (i, t) for i, t in data]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 400)], "doc_id long, toxic int")
+    frame = spark.createDataFrame([*data, data[0], data[0]], "doc_id long, text string")
+    rows = toxicity.score_toxicity(frame, labels).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert held and all(r["predicted"] == r["doc_id"] % 2 for r in held)
+
+    first = first_in_order(spark, 7, "string")[0]
+    data = [(i, "plain long text " * 3000 if i == first else f"some words\npassword = q7Rt9ZxL2mVb4Kp{i}\nmore") for i in range(1, 400)]
+    seen = []
+    monkeypatch.setattr(common, "fill", lambda lengths, size, old=common.fill: seen.append(len(lengths)) or old(lengths, size))
+    found = secrets.find_secrets(spark.createDataFrame([*data, data[0]], "doc_id long, text string")).collect()
+    assert seen == [399]
+    assert all(r["n_assign"] == int(r["doc_id"] != first) for r in found)
+
+
+def test_windows_of_a_bounded_sample(spark):
+    assert common.fill([5, 5, 100, 1000], 110) == 50 and common.fill([1, 2], 10) == 2 and common.fill([], 10) == 1
+    text = "".join(chr(97 + i % 26) for i in range(10_000))
+    data = [(1, 1, text), (1, 1, text), (2, 2, "short"), (2, 3, "other"), (3, 4, text[::-1])]
+    texts = spark.createDataFrame(data, "d long, h long, text string")
+    keys = texts.selectExpr("0L as at", "d", "h", "length(text) as n")
+    got = {(r["d"], r["h"]): r["text"] for r in common.bounded_sample(keys, texts, 3, 1000).collect()}
+    assert got.keys() == {(1, 1), (2, 2), (2, 3)} and got[2, 2] == "short"
+    parts = got[1, 1].split("\n")
+    assert len(parts) == 8 and all(p in text for p in parts) and sum(map(len, parts)) > 950
