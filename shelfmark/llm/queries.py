@@ -9,9 +9,11 @@ import corpus_pipeline
 from shelfmark.llm.common import read
 from shelfmark.llm.decontaminate import decontaminate
 from shelfmark.llm.exact_dedup import exact_dedup
+from shelfmark.llm.infill import fill_in_middle_digests
 from shelfmark.llm.jaccard import jaccard_join
 from shelfmark.llm.language import language_table
 from shelfmark.llm.line_dedup import dedup_lines
+from shelfmark.llm.merkle import verify_manifest
 from shelfmark.llm.mixing import mix_documents
 from shelfmark.llm.scoring import score_texts
 from shelfmark.llm.secrets import find_secrets
@@ -61,6 +63,14 @@ def op10_deletion_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op12_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digests(read(spark, sf_dir, "documents"))
+
+
+def op13_level_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_manifest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_grouped_prefix": op1_grouped_prefix,
     "op2_chunk_table": op2_chunk_table,
@@ -72,6 +82,8 @@ QUERIES = {
     "op8_rare_shingle": op8_rare_shingle,
     "op9_subword_bag": op9_subword_bag,
     "op10_deletion_keys": op10_deletion_keys,
+    "op12_rotation": op12_rotation,
+    "op13_level_strings": op13_level_strings,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -129,6 +141,68 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS text_sha256
         FROM k GROUP BY doc_id
     """,
+    "op12_rotation": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x
+                   FROM documents),
+        h AS (SELECT *, list_transform(range(0, 4), lambda k: CAST('0x' || substr(x, 8 * k + 1, 8) AS UBIGINT)) AS h FROM d),
+        c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                       WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+        s AS (SELECT *, substr(t, 1, CAST(a AS BIGINT)) AS p, substr(t, CAST(a AS BIGINT) + 1, CAST(b - a AS BIGINT)) AS m, substr(t, CAST(b AS BIGINT) + 1) AS s FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM s
+    """,
+    "op13_level_strings": r"""
+        WITH RECURSIVE f AS (
+            SELECT doc_id, source, concat(
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head, text,
+                list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                    lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) % 2 = 1 AS even
+            FROM documents),
+        l AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                sha256(head || coalesce(strlen(CASE WHEN even THEN replace(text, chr(10), '') ELSE text END) || ':' ||
+                    CASE WHEN even THEN replace(text, chr(10), '') ELSE text END, '-')) AS seen FROM f),
+        i AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM l),
+        tree(source, j, nodes) AS (
+            SELECT source, 0, list(leaf ORDER BY idx) FROM i GROUP BY source
+            UNION ALL
+            SELECT source, j + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda k: sha256(array_to_string(list_slice(nodes, 3 * k + 1, 3 * k + 3), '')))
+            FROM tree WHERE len(nodes) > 1),
+        subs AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM tree WHERE len(nodes) = 1),
+        top(j, nodes) AS (
+            SELECT 0, list(subroot ORDER BY place) FROM subs
+            UNION ALL
+            SELECT j + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda k: sha256(array_to_string(list_slice(nodes, 3 * k + 1, 3 * k + 3), '')))
+            FROM top WHERE len(nodes) > 1),
+        spots AS (
+            SELECT i.doc_id, i.source, i.idx, tree.j, nodes, idx // CAST(pow(3, tree.j) AS BIGINT) AS q
+            FROM i JOIN tree ON tree.source IS NOT DISTINCT FROM i.source WHERE len(nodes) > 1
+            UNION ALL
+            SELECT i.doc_id, i.source, i.idx, 1000 + top.j, nodes, place // CAST(pow(3, top.j) AS BIGINT)
+            FROM i JOIN subs ON subs.source IS NOT DISTINCT FROM i.source CROSS JOIN top WHERE len(nodes) > 1),
+        sides AS (
+            SELECT doc_id, source, idx, j, array_to_string(list_slice(nodes, q // 3 * 3 + 1, q), '') AS a,
+                   array_to_string(list_slice(nodes, q + 2, least(q // 3 * 3 + 3, len(nodes))), '') AS b FROM spots),
+        path AS (SELECT source, idx, list(a ORDER BY j) AS a, list(b ORDER BY j) AS b, string_agg(a || b, '' ORDER BY j) AS every FROM sides GROUP BY ALL),
+        fold(source, idx, k, node) AS (
+            SELECT source, idx, 1, seen FROM i
+            UNION ALL
+            SELECT fold.source, fold.idx, k + 1, sha256(a[k] || node || b[k]) FROM fold JOIN path
+                ON path.idx = fold.idx AND path.source IS NOT DISTINCT FROM fold.source WHERE k <= len(a)),
+        done AS (SELECT source, idx, arg_max(node, k) AS folded_root FROM fold GROUP BY ALL)
+        SELECT i.doc_id, i.leaf, subroot, root, sha256(coalesce(every, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM i JOIN subs ON subs.source IS NOT DISTINCT FROM i.source
+        JOIN done ON done.idx = i.idx AND done.source IS NOT DISTINCT FROM i.source
+        LEFT JOIN path ON path.idx = i.idx AND path.source IS NOT DISTINCT FROM i.source
+        CROSS JOIN (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)
+    """,
     "op2_chunk_table": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
         b AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS keep,

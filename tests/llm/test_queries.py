@@ -19,7 +19,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_there_is_one_query_an_operator():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
 
 
 def test_stages_keep_columns_and_only_remove_rows(spark, sf_dir, tmp_path):
