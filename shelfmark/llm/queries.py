@@ -15,6 +15,7 @@ from shelfmark.llm.language import language_table
 from shelfmark.llm.line_dedup import dedup_lines
 from shelfmark.llm.merkle import verify_manifest
 from shelfmark.llm.mixing import mix_documents
+from shelfmark.llm.personal import find_personal
 from shelfmark.llm.scoring import score_texts
 from shelfmark.llm.secrets import find_secrets
 from shelfmark.llm.toxicity import score_toxicity
@@ -63,6 +64,10 @@ def op10_deletion_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal(read(spark, sf_dir, "documents"))
+
+
 def op12_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle_digests(read(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_rare_shingle": op8_rare_shingle,
     "op9_subword_bag": op9_subword_bag,
     "op10_deletion_keys": op10_deletion_keys,
+    "op11_weak_labels": op11_weak_labels,
     "op12_rotation": op12_rotation,
     "op13_level_strings": op13_level_strings,
     "pipeline": corpus_pipeline.run,
