@@ -32,10 +32,6 @@ SCORE_LABELS = {
 CREATOR_LINK = r"/girl/(\d+)"
 COLLECTION_LINK = r"/album/(\d+)"
 
-# Where a name ends that stands in a title, after a bracket or at its start.
-NAME_END_AFTER_BRACKET = ("[-_]", "[A-Za-z]")
-NAME_END_AT_START = ("[-_]", "[A-Za-z0-9]")
-
 # Thresholds.
 FALLBACK_SCORE = 5
 TITLE_LENGTH = 50
@@ -67,6 +63,10 @@ WHITE_SPACE = (
 # The same white space as a regular-expression class.
 SPACE_CLASS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
+# A name in a title, after a bracket or at its start; the white space is the class above.
+NAME_AFTER_BRACKET = rf"\][{SPACE_CLASS}]*([^\[\]]+?)(?:[{SPACE_CLASS}]*[-_][{SPACE_CLASS}]*|[{SPACE_CLASS}]+[A-Za-z])"
+NAME_AT_START = rf"^([^\[\]\-_]+?)(?:[{SPACE_CLASS}]*[-_][{SPACE_CLASS}]*|[{SPACE_CLASS}]+[A-Za-z0-9])"
+
 # Description of a sequence by type; {n} items, {k} key items.
 SEQUENCE_TEXT = {
     "stepwise": ("type=stepwise; items={n}; key_items={k}", "类型=渐变；条目={n}；关键={k}"),

@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmark.constants import (
     CONTENT_TYPES,
     DEFAULT_CONTENT_TYPE,
-    NAME_END_AFTER_BRACKET,
-    NAME_END_AT_START,
+    NAME_AFTER_BRACKET,
+    NAME_AT_START,
     SPACE_CLASS,
     TITLE_LENGTH,
     WHITE_SPACE,
 )
 
-_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -35,35 +31,6 @@ def blank_to_null(c: Column | str) -> Column:
     return F.when(strip(c) != "", c)
 
 
-def _character(name: Column) -> Column:
-    """What a character reference between its signs stands for; null for an unknown one."""
-    named = F.create_map(*[F.lit(x) for n, code in {**name2codepoint, "apos": 39}.items() for x in (n, chr(code))])
-    digits = F.when(name.rlike("^#[xX]"), F.substring(name, 3, 6)).otherwise(
-        F.conv(F.regexp_extract(name, "^#([0-9]+)$", 1), 10, 16)
-    )
-    code = F.conv(digits, 16, 10).cast("bigint")
-    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    number = F.when(valid, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
-    return F.when(F.startswith(name, F.lit("#")), number).otherwise(F.try_element_at(named, name))
-
-
-def decode_entities(c: Column) -> Column:
-    """Numeric and named character references, each decoded once; unknown ones stay."""
-    found = F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1))
-    between = F.split(c, _REFERENCE, -1)
-    joined = F.zip_with(
-        between, found,
-        lambda text, name: F.concat(text, F.coalesce(_character(name), F.concat(F.lit("&"), name, F.lit(";")), F.lit(""))),
-    )
-    return F.when(F.contains(c, F.lit("&")), F.array_join(joined, "")).otherwise(c)
-
-
-def element_text(inner: Column) -> Column:
-    """Text of an element: every text node stripped, joined without separator."""
-    nodes = F.split(inner, "(?s)<!--.*?-->|<[^>]*>")
-    return F.array_join(F.transform(nodes, lambda x: strip(decode_entities(x))), "")
-
-
 def name_from_title(title: Column | str) -> Column:
     """Creator name guessed from a title, in three tiers; null when none applies.
 
@@ -71,15 +38,8 @@ def name_from_title(title: Column | str) -> Column:
     an alphanumeric; else the first word. Names have at least two characters.
     """
     t = strip(title)
-    space = f"[{SPACE_CLASS}]"
-    dash, letter = NAME_END_AFTER_BRACKET
-    after_bracket = strip(
-        F.regexp_extract(t, rf"\]{space}*([^\[\]]+?)(?:{space}*{dash}{space}*|{space}+{letter})", 1)
-    )
-    dash, letter = NAME_END_AT_START
-    leading = strip(
-        F.regexp_extract(t, rf"^([^\[\]\-_]+?)(?:{space}*{dash}{space}*|{space}+{letter})", 1)
-    )
+    after_bracket = strip(F.regexp_extract(t, NAME_AFTER_BRACKET, 1))
+    leading = strip(F.regexp_extract(t, NAME_AT_START, 1))
     first_word = F.regexp_extract(t, f"^[^{SPACE_CLASS}]+", 0)
     return F.coalesce(
         F.when(F.length(after_bracket) > 1, after_bracket),

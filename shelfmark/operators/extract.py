@@ -1,4 +1,4 @@
-"""Facts from raw pages. Everything per page is an expression over its row: no shuffle."""
+"""Facts from raw pages, read from the elements of one pass. Everything per page is an expression over its row: no shuffle."""
 
 from __future__ import annotations
 
@@ -6,54 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.constants import COLLECTION_LINK, CREATOR_LINK
-from shelfmark.functions.text import (
-    clean_url,
-    decode_entities,
-    element_text,
-    item_file_name,
-    name_from_title,
-    url_extension,
-)
+from shelfmark.functions.html import Selector, elements
+from shelfmark.functions.text import clean_url, item_file_name, name_from_title, url_extension
 from shelfmark.scale import attach
 from shelfmark.storage import stage
 
 ITEM_SUFFIX = r"\.(jpg|jpeg|png|webp)$"
 
 
-def _opening(name: str) -> str:
-    """Pattern of an opening tag that carries a class."""
-    word = rf"(?<![\w-]){name}(?![\w-])"
-    return rf"""<(\w+)\b[^>]*?\bclass\s*=\s*(?:"[^"]*{word}[^"]*"|'[^']*{word}[^']*'|{name}(?=[\s>]))[^>]*>"""
-
-
-def _inner(from_tag: Column) -> Column:
-    """Inner HTML of the element at the start of the text, up to the closing tag on its level."""
-    element = F.regexp_extract(from_tag, r"(?is)^<(\w+)", 1)
-    rest = F.regexp_replace(from_tag, r"(?is)^<[^>]*>", "")
-    # Cut before every opening and closing tag of the same element, and walk down and up.
-    parts = F.split(rest, F.concat(F.lit(r"(?i)(?=</?"), element, F.lit(r"\b)")))
-    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("text"))
-
-    def step(state: Column, part: Column) -> Column:
-        change = (
-            F.when(F.startswith(part, F.lit("</")), -1)
-            .when(F.startswith(F.lower(part), F.concat(F.lit("<"), F.lower(element))) & ~part.rlike(r"(?s)^<[^>]*/>"), 1)
-            .otherwise(0)
-        )
-        depth = F.when(state["depth"] > 0, state["depth"] + change).otherwise(0)
-        return F.struct(depth.alias("depth"), F.when(depth > 0, F.concat(state["text"], part)).otherwise(state["text"]).alias("text"))
-
-    return F.aggregate(parts, start, step)["text"]
-
-
 def class_regions(html: Column, name: str) -> Column:
     """Inner HTML of every element carrying a class, nested ones within their parents, too."""
-    parts = F.split(html, rf"(?is)(?={_opening(name)})")
-    opened = F.regexp_count(html, F.lit(rf"(?is){_opening(name)}"))
-    # A page that begins with such a tag has no part before it.
-    skip = F.size(parts) - opened
-    tails = F.transform(F.sequence(F.lit(1), opened), lambda i: F.array_join(F.slice(parts, skip + i, F.size(parts)), ""))
-    return F.when(opened > 0, F.transform(tails, _inner)).otherwise(F.array().cast("array<string>"))
+    return F.transform(elements(html, Selector(cls=name), inner=True), lambda e: e["inner"])
 
 
 def class_region(html: Column, name: str) -> Column:
@@ -61,32 +24,29 @@ def class_region(html: Column, name: str) -> Column:
     return F.coalesce(F.get(class_regions(html, name), F.lit(0)), F.lit(""))
 
 
-def tag_region(html: Column, tag: str) -> Column:
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-
+def element_table(pages: DataFrame, html: str = "html") -> DataFrame:
+    """A row per element: page_id, element, parent, depth, tag, classes, start, end and the text of its own.
 
-def attribute(element: Column, name: str) -> Column:
-    """Value of an attribute inside an opening tag, in either quotes or none; empty when absent."""
-    pattern = rf"""(?is)(?<![\w-]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return decode_entities(F.concat(*[F.regexp_extract(element, pattern, i) for i in (1, 2, 3)]))
+    Elements are numbered in document order; ``parent`` is -1 and ``depth`` 0 at the top; ``start`` and ``end`` are
+    code points of the page, tags included.
+    """
+    rows = pages.select("page_id", F.inline(elements(F.col(html), Selector(), own_text=True)))
+    names = F.filter(F.split(F.coalesce(F.try_element_at("attrs", F.lit("class")), F.lit("")), r"\s+"), lambda c: c != "")
+    return rows.select("page_id", "element", "parent", "depth", "tag", names.alias("classes"), "start", "end", "text")
 
 
-def page_title(html: Column, page_id: Column) -> Column:
-    """Text of the first ``h1``; ``album_<id>`` when the page has none."""
-    found = html.rlike(r"(?is)<h1\b[^>]*>.*?</h1\s*>")
-    return F.when(found, element_text(tag_region(html, "h1"))).otherwise(
-        F.format_string("album_%s", page_id.cast("string"))
-    )
+def page_title(found: Column, page_id: Column) -> Column:
+    """Text of the first of the ``h1`` elements; ``album_<id>`` when the page has none."""
+    return F.coalesce(F.get(found, F.lit(0))["text"], F.format_string("album_%s", page_id.cast("string")))
 
 
-def link_texts(region: Column) -> Column:
-    """Non-empty link texts, each once, in order of first appearance."""
-    inner = F.regexp_extract_all(region, F.lit(r"(?is)<a\b[^>]*>(.*?)</a\s*>"), 1)
-    return F.array_distinct(F.filter(F.transform(inner, element_text), lambda x: x != ""))
+def link_texts(found: Column) -> Column:
+    """Non-empty texts of elements, each once, in order of first appearance."""
+    return F.array_distinct(F.filter(F.transform(found, lambda e: e["text"]), lambda x: x != ""))
 
 
-def page_tags(pages: DataFrame, region: Column) -> DataFrame:
-    return pages.select("page_id", F.posexplode(link_texts(region)).alias("pos", "tag"))
+def page_tags(pages: DataFrame, found: Column) -> DataFrame:
+    return pages.select("page_id", F.posexplode(link_texts(found)).alias("pos", "tag"))
 
 
 def page_creator(link_href: Column, link_text: Column, title: Column, pattern: str = CREATOR_LINK) -> tuple[Column, Column]:
@@ -96,17 +56,13 @@ def page_creator(link_href: Column, link_text: Column, title: Column, pattern: s
     return creator_id, F.coalesce(name, name_from_title(title), F.lit(""))
 
 
-def dom_urls(
-    region: Column, tag: str = "img", attributes: tuple[str, ...] = ("src", "data-src"), most: int | None = None
-) -> Column:
-    """Absolute addresses of a region's elements, query dropped; ``most`` may limit their number."""
-    elements = F.regexp_extract_all(region, F.lit(rf"(?is)<{tag}\b[^>]*>"), 0)
+def dom_urls(found: Column, attributes: tuple[str, ...] = ("src", "data-src"), most: int | None = None) -> Column:
+    """Absolute addresses of elements, query dropped; the first attribute that is not empty counts, ``most`` may limit their number."""
 
     def address(element: Column) -> Column:
-        found = [attribute(element, a) for a in attributes]
-        return F.coalesce(*[F.when(f != "", f) for f in found], F.lit(""))
+        return F.coalesce(*[F.nullif(F.try_element_at(element["attrs"], F.lit(a)), F.lit("")) for a in attributes], F.lit(""))
 
-    absolute = F.filter(F.transform(elements, address), lambda u: F.contains(u, F.lit("://")))
+    absolute = F.filter(F.transform(found, address), lambda u: F.contains(u, F.lit("://")))
     urls = F.transform(absolute, clean_url)
     return urls if most is None else F.slice(urls, 1, most)
 
@@ -118,13 +74,13 @@ def pattern_urls(html: Column, pattern: str, most: int | None = None) -> Column:
     return F.filter(F.transform(matches, clean_url), lambda u: u.rlike(ITEM_SUFFIX))
 
 
-def media_urls(pages: DataFrame, *passes: Column, region: Column | None = None) -> DataFrame:
+def media_urls(pages: DataFrame, *passes: Column, area: Column | None = None) -> DataFrame:
     """Addresses of all passes in order, each once, with dense 1-based positions and file names.
 
-    With ``region``, a page whose region is empty has no addresses at all, raw ones included.
+    With ``area``, elements of the page, a page that has none of them has no addresses at all, raw ones included.
     """
     urls = F.array_distinct(F.concat(*passes))
-    rows = pages if region is None else pages.filter(region != "")
+    rows = pages if area is None else pages.filter(F.size(area) > 0)
     found = rows.select("page_id", F.posexplode(urls).alias("_p", "url"))
     return found.select(
         "page_id",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.constants import SPACE_CLASS, WHITE_SPACE
 from shelfmark.functions import media
 from shelfmark.functions import text as T
+from shelfmark.functions.html import EMPTY, Selector, elements, taken_by
 from shelfmark.operators import extract, quality
 from shelfmark.plans import bindings as B
 
@@ -14,41 +15,53 @@ URL_ID = r"/(\d+)"
 ENGLISH_ID = r"/en/(\d+)"
 
 
-def _title():
-    return extract.page_title(F.col("html"), F.col("page_id"))
+TITLE, LINKS = Selector("h1"), Selector("a", in_tag="nav")
+
+
+def _titled(spark, sf_dir):
+    """Pages with their title and the links of their head."""
+    found = B.pages(spark, sf_dir).withColumn("found", elements(F.col("html"), TITLE, LINKS))
+    title = extract.page_title(taken_by(F.col("found"), 0), F.col("page_id"))
+    return found.select("page_id", "url", title.alias("title"), taken_by(F.col("found"), 1).alias("links"))
+
+
+def page_elements(spark, sf_dir):
+    return extract.element_table(B.pages(spark, sf_dir)).withColumn("classes", F.array_join("classes", " "))
 
 
 def page_title(spark, sf_dir):
-    return B.pages(spark, sf_dir).select("page_id", _title().alias("title"))
+    found = elements(F.col("html"), TITLE)
+    return B.pages(spark, sf_dir).select("page_id", extract.page_title(found, F.col("page_id")).alias("title"))
 
 
 def page_tags(spark, sf_dir):
-    return extract.page_tags(B.pages(spark, sf_dir), extract.tag_region(F.col("html"), "nav"))
+    return extract.page_tags(B.pages(spark, sf_dir), elements(F.col("html"), LINKS))
 
 
 def page_creator(spark, sf_dir):
-    first_link = F.coalesce(F.get(extract.link_texts(extract.tag_region(F.col("html"), "nav")), F.lit(0)), F.lit(""))
-    creator_id, name = extract.page_creator(F.col("url"), first_link, _title(), ENGLISH_ID)
-    return B.pages(spark, sf_dir).select("page_id", creator_id.alias("creator_id"), name.alias("creator_name"))
+    pages = _titled(spark, sf_dir)
+    first_link = F.coalesce(F.get(extract.link_texts(F.col("links")), F.lit(0)), F.lit(""))
+    creator_id, name = extract.page_creator(F.col("url"), first_link, F.col("title"), ENGLISH_ID)
+    return pages.select("page_id", creator_id.alias("creator_id"), name.alias("creator_name"))
 
 
 def name_from_title(spark, sf_dir):
     """Titles with a bracket, with a dash and as they are."""
     title = F.expr("""CASE page_id % 4 WHEN 0 THEN concat('[Set] ', title) WHEN 1 THEN concat(substring(title, 1, 7), ' - ', title)
                       WHEN 2 THEN concat('　', title) ELSE concat('x] 　', replace(title, ' ', '_')) END""")
-    pages = B.pages(spark, sf_dir).select("page_id", _title().alias("title")).select("page_id", title.alias("title"))
+    pages = _titled(spark, sf_dir).select("page_id", title.alias("title"))
     return pages.select("page_id", T.name_from_title("title").alias("name"))
 
 
 def region_tags(spark, sf_dir):
     """The links wrapped in nested elements of one class, and again in a second one."""
-    nav = extract.tag_region(F.col("html"), "nav")
+    nav = F.regexp_extract("html", r"(?is)<nav\b[^>]*>(.*?)</nav\s*>", 1)
     wrapped = F.concat(
         F.lit("<section class='x tags'><div><b class=tag>no</b>"), nav, F.lit("<div></div></div><br/><a>last</a></section><a>outside</a>"),
         F.lit('<div id=2 class="tags">'), nav, F.lit("</div>"),
     )
     pages = B.pages(spark, sf_dir).select("page_id", wrapped.alias("html"))
-    return extract.page_tags(pages, F.array_join(extract.class_regions(F.col("html"), "tags"), ""))
+    return extract.page_tags(pages, elements(F.col("html"), Selector("a", in_cls="tags")))
 
 
 def _with_media(spark, sf_dir):
@@ -62,7 +75,7 @@ def _with_media(spark, sf_dir):
 
 def page_media_urls(spark, sf_dir):
     pages = _with_media(spark, sf_dir)
-    dom = extract.dom_urls(extract.tag_region(F.col("html"), "nav"), "a", ("data-src", "href"))
+    dom = extract.dom_urls(elements(F.col("html"), LINKS), ("data-src", "href"))
     raw = extract.pattern_urls(F.col("html"), r"""https://img\.example\.com/[^"']+""")
     return extract.media_urls(pages, dom, raw)
 
@@ -120,6 +133,7 @@ def header_probe(spark, sf_dir):
 
 
 QUERIES = {
+    "page_elements": page_elements,
     "page_title": page_title,
     "page_tags": page_tags,
     "page_creator": page_creator,
@@ -137,7 +151,7 @@ QUERIES = {
 
 
 # The references that the pages hold; the ampersand comes last.
-_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&copy;", "\xa9"), ("&middot;", "\xb7"), ("&amp;", "&"))
 
 
 def _decoded(sql: str) -> str:
@@ -170,7 +184,39 @@ _TAGS = """tags AS (
 _URL_SQL = "url || ['.PNG', '.webp?x=.jpg', '/a.png.webp', '.jpeg'][page_id % 4 + 1]"
 _EXT = f"CASE WHEN contains(lower({_URL_SQL}), '.png') THEN '.png' WHEN contains(lower({_URL_SQL}), '.webp') THEN '.webp' ELSE '.jpg' END"
 
+_EMPTY_TAGS = ", ".join(f"'{t}'" for t in sorted(EMPTY))
+# Pages as tokens (tags, comments, whole scripts) with the gap after each, walked with a stack of open elements.
+_TOKENS = f"""tokens AS (
+  SELECT page_id, size, t AS tok, gaps, k, list_sum(list_transform(gaps[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(t[1:k - 1], lambda x: length(x))), 0) AS spot
+  FROM (SELECT *, unnest(range(1, len(t) + 1)) AS k FROM (SELECT page_id, length(html) AS size,
+    regexp_extract_all(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<[!?][^>]*>|</?[a-z][^>]*>') AS t,
+    regexp_split_to_array(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<[!?][^>]*>|</?[a-z][^>]*>') AS gaps FROM pages))),
+tagged AS (
+  SELECT page_id, size, k, spot, tok[k] AS tok, {_text("gaps[k + 1]")} AS text, lower(regexp_extract(tok[k], '^</?([a-zA-Z][^\\s/>]*)', 1)) AS tag, starts_with(tok[k], '</') AS closing FROM tokens),
+numbered AS (
+  SELECT *, CAST(sum(CASE WHEN tag <> '' AND NOT closing THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS element,
+         tag <> '' AND NOT closing AS opens, tag IN ('script', 'style', {_EMPTY_TAGS}) OR right(tok, 2) = '/>' AS leaf FROM tagged),
+walk(page_id, k, before, stack) AS (
+  SELECT page_id, CAST(0 AS BIGINT), CAST([] AS STRUCT(tag VARCHAR, n INTEGER)[]), CAST([] AS STRUCT(tag VARCHAR, n INTEGER)[]) FROM (SELECT DISTINCT page_id FROM numbered)
+  UNION ALL
+  SELECT w.page_id, n.k, w.stack, CASE WHEN opens AND NOT leaf THEN list_append(w.stack, {{'tag': n.tag, 'n': n.element}})
+    WHEN closing AND len(list_filter(w.stack, lambda s: s.tag = n.tag)) > 0 THEN
+      w.stack[1:len(w.stack) - list_position(list_reverse(list_transform(w.stack, lambda s: s.tag)), n.tag)] ELSE w.stack END
+  FROM walk w JOIN numbered n ON n.page_id = w.page_id AND n.k = w.k + 1),
+opened AS (SELECT n.*, len(before) AS depth, coalesce(before[-1].n, -1) AS parent FROM numbered n JOIN walk w USING (page_id, k) WHERE opens),
+ends AS (
+  SELECT o.page_id, o.element, arg_min(CASE WHEN len(w.stack) = o.depth THEN n.spot + length(n.tok) ELSE n.spot END, n.k) AS spot
+  FROM opened o JOIN walk w ON w.page_id = o.page_id AND w.k > o.k AND len(w.stack) <= o.depth JOIN numbered n ON n.page_id = w.page_id AND n.k = w.k
+  WHERE NOT o.leaf GROUP BY ALL),
+owned AS (SELECT n.page_id, w.stack[-1].n AS element, string_agg(text, '' ORDER BY n.k) AS text FROM numbered n JOIN walk w USING (page_id, k) GROUP BY ALL)"""
+
 ORACLE = {
+    "page_elements": B.cte(_TOKENS, recursive=True)
+    + """SELECT page_id, element, CAST(parent AS INTEGER) AS parent, CAST(depth AS INTEGER) AS depth, tag,
+           regexp_extract(tok, 'class="([^"]*)"', 1) AS classes, CAST(o.spot AS INTEGER) AS start,
+           CAST(CASE WHEN leaf THEN o.spot + length(tok) ELSE coalesce(e.spot, size) END AS INTEGER) AS "end",
+           CASE WHEN leaf THEN '' ELSE coalesce(owned.text, '') END AS text
+         FROM opened o LEFT JOIN ends e USING (page_id, element) LEFT JOIN owned USING (page_id, element)""",
     "page_title": B.cte(_TITLES) + "SELECT page_id, title FROM titles",
     "page_tags": B.cte(_LINKS, _TAGS) + "SELECT page_id, CAST(pos AS INTEGER) AS pos, tag FROM tags",
     "region_tags": B.cte(_LINKS)
