@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from shelfmark.constants import ROW_OVERHEAD_BYTES, SHARD_MB
 from shelfmark.functions.text import blank_to_null, folder_name, stem_of
 from shelfmark.operators.relational import seeded_order
-from shelfmark.scale import HOT_ROWS, SPAN, attach, largest_group, ordered_index
+from shelfmark.scale import HOT_ROWS, SPAN, attach, largest_group, ordered_index, running_sum
+from shelfmark.storage import stage
 
 
 def shard_size(items: DataFrame, target_mb: float = SHARD_MB) -> DataFrame:
@@ -31,6 +32,22 @@ def assign_shards(
     return placed.withColumn("shard", F.floor(F.col("position") / size.scalar()).cast("bigint")).drop("_key")
 
 
+def balance_shards(items: DataFrame, target_mb: float = SHARD_MB, seed: str = "42") -> DataFrame:
+    """Add the position in the shuffle and the shard number, cut by bytes; pass narrow rows with their ``bytes``.
+
+    A shard takes rows until their bytes, with the overhead of a row, reach the target, so none is larger than the target
+    and its last row. Sums are taken over the seeded order by ranges; unknown sizes count as the overhead alone.
+    """
+    weight = F.coalesce("bytes", F.lit(0)) + ROW_OVERHEAD_BYTES
+    keyed = items.withColumn("_key", seeded_order(F.col("item_id"), seed)).withColumn("_weight", weight)
+    summed = running_sum(keyed, [F.col("_key"), F.col("item_id")], "_weight", "_before")
+    target = max(int(target_mb * 1024 * 1024), 1)
+    cut = stage(summed.withColumn("_cut", F.floor(F.col("_before") / target)).drop("_key", "_weight", "_before"), "cuts")
+    # A row beyond the target skips numbers: number the shards that have rows.
+    dense = ordered_index(cut.groupBy("_cut").agg(F.min("position").alias("_first")), [], [F.col("_first")], "shard")
+    return cut.join(dense.select("_cut", "shard"), "_cut").drop("_cut")
+
+
 def shard_manifest(assigned: DataFrame) -> DataFrame:
     """Final name, rows and megabytes of every shard."""
     shards = assigned.groupBy("shard").agg(

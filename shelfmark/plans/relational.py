@@ -13,7 +13,8 @@ from shelfmark.plans import bindings as B
 from shelfmark.sources import files
 from shelfmark.sources.creators import append_creators, load_creators
 from shelfmark.schemas import LABEL_DOCUMENT, PACKED
-from shelfmark.sources.packed import read_packed, write_documents, write_label_documents, write_shards, write_sidecar
+from shelfmark.sources.packed import write_documents, write_files, write_label_documents, write_sidecar
+from shelfmark.sources.publish import publish_shards, read_published
 from shelfmark.storage import new_folder, stage
 
 TARGET_MB = 1.0
@@ -189,8 +190,12 @@ def shard_assign(spark, sf_dir):
     return packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)
 
 
+def shard_balance(spark, sf_dir):
+    return packing.balance_shards(_sized(spark, sf_dir), TARGET_MB)
+
+
 def shard_manifest(spark, sf_dir):
-    return packing.shard_manifest(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB))
+    return packing.shard_manifest(packing.balance_shards(_sized(spark, sf_dir), TARGET_MB))
 
 
 def smoke_shard(spark, sf_dir):
@@ -198,11 +203,14 @@ def smoke_shard(spark, sf_dir):
 
 
 def _written(spark, sf_dir, payload: bool = False) -> DataFrame:
-    """The packed rows written in shards, in the documented columns and their order, and read back."""
-    assigned = packing.name_shards(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).drop("bytes")
-    assigned = stage(assigned.select("item_id", "position", "file", "shard"), "assigned")
+    """The packed rows published in shards, in the documented columns and their order, and read back."""
+    assigned = packing.name_shards(packing.balance_shards(_sized(spark, sf_dir), TARGET_MB))
+    assigned = stage(assigned.select("item_id", "position", "bytes", "file", "shard"), "assigned")
     shards = (assigned.agg(F.max("shard")).first()[0] or 0) + 1
-    rows = _packed(spark, sf_dir).join(assigned.drop("shard"), "item_id")
+    manifest = assigned.groupBy(F.col("file").alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"), (F.sum("bytes") if payload else F.lit(0)).alias("bytes")
+    )
+    rows = _packed(spark, sf_dir).join(assigned.drop("shard", "bytes"), "item_id")
     image = F.struct(F.lit(None).cast("binary").alias("bytes"), F.col("image").alias("path"))
     if payload:  # here the payload is a column of a table; load_images reads it from files
         texts = B.items(spark, sf_dir).select("item_id", F.encode("text", "utf-8").alias("payload"))
@@ -211,8 +219,8 @@ def _written(spark, sf_dir, payload: bool = False) -> DataFrame:
     path, columns = new_folder(spark, "shards"), StructType.fromDDL(PACKED).fieldNames()
     # Rows of a collection differ in their title, so that it matters which one is first.
     rows = rows.withColumn("title", F.concat_ws(" #", "title", (F.col("item_id") % 3).cast("string")))
-    write_shards(rows.withColumn("image", image).select(*columns, "file", "position"), path, shards=shards)
-    return read_packed(spark, path)
+    publish_shards(rows.withColumn("image", image).select(*columns, "file", "position"), path, manifest, shards=shards)
+    return read_published(spark, path)
 
 
 def write_shards_back(spark, sf_dir):
@@ -222,6 +230,28 @@ def write_shards_back(spark, sf_dir):
     )
 
 
+def pack_files(spark, sf_dir):
+    """Write every item to its file, scan the files, publish them in shards by their size, and read the set back."""
+    root = new_folder(spark, "payloads")
+    texts = B.items(spark, sf_dir).select(
+        F.concat_ws("/", F.coalesce(F.col("collection_id").cast("string"), F.lit("none")), "file_name").alias("path"),
+        F.encode("text", "utf-8").alias("payload"),
+    )
+    write_files(texts, root)
+    found = files.scan_items(spark, root, (".txt",)).select(
+        F.col("path").alias("image"), "file_name", F.col("folder").try_cast("bigint").alias("album_id"), "bytes", F.col("path").alias("item_id")
+    )
+    sized = stage(found, "scanned")
+    assigned = stage(packing.name_shards(packing.balance_shards(sized.select("item_id", "bytes"), TARGET_MB)), "assigned")
+    manifest = assigned.groupBy(F.col("file").alias("name")).agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"))
+    rows = sized.drop("bytes").join(assigned.select("item_id", "file", "position"), "item_id").drop("item_id")
+    path = new_folder(spark, "file-set")
+    publish_shards(rows, path, manifest, payload="image", shards=assigned.select("shard").distinct().count())
+    return read_published(spark, path).select(
+        "album_id", "file_name", F.md5("image.bytes").alias("payload_md5"), F.octet_length("image.bytes").cast("bigint").alias("bytes")
+    )
+
+
 def sidecar_rows(spark, sf_dir):
     """Write the sidecar and read it back; the payload column is gone."""
     path = new_folder(spark, "sidecar")
@@ -336,7 +366,9 @@ QUERIES = {
     "folder_id": folder_id,
     "shard_size": shard_size,
     "shard_assign": shard_assign,
+    "shard_balance": shard_balance,
     "shard_manifest": shard_manifest,
+    "pack_files": pack_files,
     "smoke_shard": smoke_shard,
     "write_shards": write_shards_back,
     "sidecar_rows": sidecar_rows,
@@ -370,6 +402,10 @@ _SIZE = f"""size AS (
   FROM shuffled)"""
 _ASSIGNED = """assigned AS (
   SELECT item_id, bytes, position, position // (SELECT rows_per_shard FROM size) AS shard FROM shuffled)"""
+_BALANCED = f"""balanced AS (
+  SELECT item_id, bytes, position, dense_rank() OVER (ORDER BY cut) - 1 AS shard FROM (
+    SELECT item_id, bytes, position, CAST(coalesce(sum(coalesce(bytes, 0) + 2000) OVER (
+      ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // {int(TARGET_MB * 1024 * 1024)} AS cut FROM shuffled))"""
 _MIME = " ".join(f"WHEN '{ext}' THEN '{mime}'" for ext, mime in CONTENT_TYPES.items())
 _FOLDER = "album_id || '_' || replace(substr(title, 1, 50), '/', '_')"
 
@@ -382,6 +418,7 @@ _packed_sql = B.cte(*_BASE, _PACKED)
 _labeled_sql = B.cte(*_BASE, B.ITEM_LABELS, _PACKED, _PACKED_LABELED)
 _registry_sql = B.cte(*_BASE, _REGISTRY, _INFO)
 _shard_sql = B.cte(B.ITEMS, _SHUFFLED, _SIZE, _ASSIGNED)
+_balanced_sql = B.cte(B.ITEMS, _SHUFFLED, _BALANCED)
 
 ORACLE = {
     "pack_rows": _packed_sql + "SELECT * FROM packed",
@@ -432,9 +469,13 @@ ORACLE = {
          WHEN collection_id % 6 = 5 THEN NULL ELSE collection_id END AS resolved_id FROM collections""",
     "shard_size": _shard_sql + "SELECT * FROM size",
     "shard_assign": _shard_sql + "SELECT * FROM assigned",
-    "shard_manifest": _shard_sql
-    + """SELECT shard, printf('train-%05d-of-%05d.parquet', shard, (SELECT count(DISTINCT shard) FROM assigned)) AS name,
-         count(*) AS rows, round(CAST(sum(bytes) AS BIGINT) / 1048576.0, 6) AS mb FROM assigned GROUP BY shard""",
+    "shard_balance": _balanced_sql + "SELECT * FROM balanced",
+    "shard_manifest": _balanced_sql
+    + """SELECT shard, printf('train-%05d-of-%05d.parquet', shard, (SELECT count(DISTINCT shard) FROM balanced)) AS name,
+         count(*) AS rows, round(CAST(sum(bytes) AS BIGINT) / 1048576.0, 6) AS mb FROM balanced GROUP BY shard""",
+    "pack_files": B.cte(B.ITEMS)
+    + """SELECT collection_id AS album_id, file_name, md5(text) AS payload_md5, CAST(strlen(text) AS BIGINT) AS bytes
+         FROM items WHERE text IS NOT NULL""",
     "smoke_shard": _shard_sql + "SELECT item_id, position FROM assigned WHERE shard = 0",
     "write_shards": B.cte(*_BASE, _PACKED)
     + f"""SELECT album_id, file_name, {_TITLE} AS title, md5(text) AS payload_md5, CAST(strlen(text) AS BIGINT) AS bytes

@@ -3,6 +3,7 @@
 * ``largest_group`` / ``hot_keys``: measure skew on the key columns only.
 * ``attach``: rows joined to one-row-per-key attributes, hot keys salted.
 * ``ordered_index``: exact 0-based position inside each group.
+* ``running_sum``: exact sum of all rows before a row, in one global order.
 * ``windowed``: window expressions over ordered groups, in chunks with a halo of previous rows.
 
 A group is only handed to one task as a whole after its size was measured to be at most ``span``.
@@ -124,6 +125,35 @@ def _split_index(df: DataFrame, group: list[str], order: Sequence[Column], name:
     return keyed.withColumn(name, F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift")
 
 
+def running_sum(
+    df: DataFrame, order: Sequence[Column], value: str, name: str = "before", index: str = "position"
+) -> DataFrame:
+    """Add the 0-based position of every row in the order, and the sum of ``value`` over the rows before it.
+
+    ``order`` must be total. Pass narrow rows: they are range-sorted and written once; each range partition is summed
+    by itself and shifted by the partitions before it, so no task sees more than one range.
+    """
+    numbered = stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "sums")
+    numbered = numbered.withColumn("_part", F.shiftright("_at", 33))
+    parts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_sum"))
+    # One row per range partition.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(
+        "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_rows"),
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"),
+    )
+    within = Window.partitionBy("_part").orderBy("_at")
+    summed = numbered.withColumn(
+        name, F.coalesce(F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).withColumn(index, (F.row_number().over(within) - 1).cast("bigint"))
+    return (
+        summed.join(starts, "_part")
+        .withColumn(name, F.col(name) + F.col("_shift"))
+        .withColumn(index, F.col(index) + F.col("_rows"))
+        .drop("_at", "_part", "_rows", "_shift")
+    )
+
+
 def windowed(
     df: DataFrame,
     group: Sequence[str],

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.schemas import PACKED
+from shelfmark.storage import stage
 
 
 #: Payload bytes handed on at a time while files are loaded.
@@ -15,9 +17,12 @@ LOAD_BYTES = 64 << 20
 
 
 def read_packed(spark: SparkSession, root: str, split: str = "train", rows: int | None = None) -> DataFrame:
-    """Shards of one split, as folders of part files or as single files."""
+    """Shards of one split, as folders of part files or as single files; with ``rows``, the first ones in the order of the set."""
     df = spark.read.schema(PACKED).parquet(f"{root.rstrip('/')}/*{split}-*.parquet")
-    return df if rows is None else df.limit(rows)
+    if rows is None:
+        return df
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return placed.orderBy("_file", "_row").limit(rows).drop("_file", "_row")
 
 
 def load_images(df: DataFrame, path: str = "image") -> DataFrame:
@@ -83,6 +88,48 @@ def write_shards(
     ready.write.mode("overwrite").partitionBy(shard).parquet(path)
 
 
+def _by_folder(df: DataFrame, *folders: str) -> DataFrame:
+    """Rows of a folder brought together, so that not every task writes a file of it.
+
+    The adaptive plan splits a folder that is too large for a task, and joins small ones.
+    """
+    return df.hint("rebalance", *folders)
+
+
+def write_files(df: DataFrame, root: str, name: str = "path", payload: str = "payload") -> DataFrame:
+    """Write the bytes of every row to the file it names below ``root``; returns (path, bytes), written once.
+
+    A file is written under another name and renamed, so that a task that is repeated or runs twice leaves whole files.
+    Rows with a null payload write nothing. Names must not repeat.
+    """
+
+    def write(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, top = fs.FileSystem.from_uri(root)
+        made = set()
+        for batch in batches:
+            done, sizes = [], []
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if not data.is_valid:
+                    continue
+                folder = f"{top}/{path}".rpartition("/")[0]
+                if folder not in made:
+                    system.create_dir(folder)
+                    made.add(folder)
+                unfinished = f"{folder}/.{uuid.uuid4().hex}"
+                with system.open_output_stream(unfinished, compression=None) as out:
+                    out.write(data.as_buffer())
+                system.move(unfinished, f"{top}/{path}")
+                done.append(f"{root}/{path}")
+                sizes.append(len(data.as_buffer()))
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.string()), pa.array(sizes, pa.int64())], names=["path", "bytes"])
+
+    rows = df.select(F.col(name).cast("string"), F.col(payload).cast("binary"))
+    return stage(rows.mapInArrow(write, "path string, bytes long"), "files")
+
+
 def write_sidecar(df: DataFrame, path: str, payload: str = "image") -> None:
     """All columns but the payload as JSON lines."""
     df.drop(payload).write.mode("overwrite").json(path)
@@ -90,7 +137,7 @@ def write_sidecar(df: DataFrame, path: str, payload: str = "image") -> None:
 
 def write_documents(df: DataFrame, path: str, *folders: str) -> None:
     """One JSON folder per value of ``folders``, replacing the target."""
-    df.write.mode("overwrite").partitionBy(*folders).json(path)
+    _by_folder(df, *folders).write.mode("overwrite").partitionBy(*folders).json(path)
 
 
 def write_label_documents(labels: DataFrame, items: DataFrame, path: str) -> None:
@@ -105,9 +152,9 @@ def write_label_documents(labels: DataFrame, items: DataFrame, path: str) -> Non
         "collection_id", F.to_json(F.struct(F.map_from_arrays(F.array("stem"), F.array(F.struct(*fields))).alias("images"))).alias("value")
     )
     named = own.unionByName(each).withColumn("document", F.concat(F.col("collection_id").cast("string"), F.lit("_labels.json")))
-    named.select("value", "document").write.mode("overwrite").partitionBy("document").text(path)
+    _by_folder(named.select("value", "document"), "document").write.mode("overwrite").partitionBy("document").text(path)
 
 
 def write_quarantine(df: DataFrame, path: str) -> None:
     """Copies of quarantined items by category; the source is never changed."""
-    df.write.mode("overwrite").partitionBy("category").parquet(path)
+    _by_folder(df, "category").write.mode("overwrite").partitionBy("category").parquet(path)

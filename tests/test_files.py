@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 import struct
 import zlib
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfmark.constants import BROWSE_EXTENSIONS
 from shelfmark.functions import media
 from shelfmark.operators import packing
-from shelfmark.sources import config, creators, files, packed
+from shelfmark.sources import config, creators, files, packed, publish
 
 
 def png(width, height):
@@ -135,6 +136,75 @@ def test_packed_round_trip(spark, tree, tmp_path):
     assert set(spark.read.json(str(tmp_path / "meta")).columns) == {"file_name", "position", "file", "item_id", "album_id"}
 
 
+def test_shards_are_cut_by_bytes(spark):
+    rng = random.Random(5)
+    sizes = [rng.choice([0, 10, 500, 3000, 100_000, None]) for _ in range(400)] + [2_000_000]
+    items = spark.createDataFrame(list(enumerate(sizes)), "item_id long, bytes long").repartition(7)
+    target = 50_000
+    rows = sorted(packing.balance_shards(items, target / 1024 / 1024).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in rows] == list(range(401))
+    before, cuts, weight = 0, [], lambda r: (r["bytes"] or 0) + 2000
+    for r in rows:
+        cuts.append(before // target)
+        before += weight(r)
+    ranks = {c: i for i, c in enumerate(sorted(set(cuts)))}
+    assert [r["shard"] for r in rows] == [ranks[c] for c in cuts]
+    for shard in set(ranks.values()):
+        own = [weight(r) for r in rows if r["shard"] == shard]
+        assert sum(own) < target + own[-1]
+    assert packing.balance_shards(items.limit(0), 1.0).count() == 0
+
+
+def test_files_are_written_and_read_as_payload(spark, tmp_path):
+    data = [("a/1.txt", bytearray(b"one")), ("a/2.txt", bytearray(b"")), ("b/é 3.txt", bytearray(b"\x00\xff" * 1000)), ("b/4.txt", None)]
+    done = packed.write_files(spark.createDataFrame(data, "path string, payload binary"), str(tmp_path))
+    assert {(r["path"].removeprefix(f"{tmp_path}/"), r["bytes"]) for r in done.collect()} == {(p, len(b)) for p, b in data if b is not None}
+    for path, payload in data[:3]:
+        assert (tmp_path / path).read_bytes() == bytes(payload)
+    assert sorted(f.name for f in (tmp_path / "b").iterdir() if not f.name.endswith(".crc")) == ["é 3.txt"]
+
+
+def _set(spark, texts):
+    rows = [(f"{i}.txt", i, f"train-{i % 2:05d}-of-00002.parquet", t.encode()) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "file_name string, position long, file string, b binary")
+    manifest = df.groupBy(F.col("file").alias("name")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("b")).alias("bytes"))
+    return df.withColumn("image", F.struct(F.col("b").alias("bytes"), F.lit("p").alias("path"))).drop("b"), manifest
+
+
+def test_a_failed_write_leaves_the_published_set(spark, tmp_path):
+    root = str(tmp_path / "set")
+    seen = lambda: sorted(bytes(r["image"]["bytes"]).decode() for r in publish.read_published(spark, root).collect())
+    with pytest.raises(FileNotFoundError):
+        publish.read_published(spark, root)
+    old, old_manifest = _set(spark, ["a", "bb", "ccc"])
+    first = publish.publish_shards(old, root, old_manifest)
+    new, new_manifest = _set(spark, ["x", "yy", "zzz", "w"])
+    for wrong in (old_manifest, new_manifest.filter("rows < 0"), new_manifest.withColumn("bytes", F.col("bytes") + 1)):
+        with pytest.raises(publish.NotPublished):
+            publish.publish_shards(new, root, wrong)
+        assert seen() == ["a", "bb", "ccc"]
+    with pytest.raises(Exception, match="broken"):
+        publish.publish_shards(new.withColumn("title", F.raise_error(F.lit("broken"))), root, new_manifest)
+    assert seen() == ["a", "bb", "ccc"] and publish.published(spark, root) == first
+    second = publish.publish_shards(new, root, new_manifest)
+    assert seen() == ["w", "x", "yy", "zzz"] and second != first
+    assert publish.retire(spark, root) >= 1 and seen() == ["w", "x", "yy", "zzz"]
+    assert [d for d in os.listdir(root) if d.startswith("version-")] == [second.rpartition("/")[2]]
+
+
+def test_first_rows_of_a_set_are_those_of_its_first_shard(spark, tmp_path):
+    df, manifest = _set(spark, [f"t{i}" for i in range(20)])
+    publish.publish_shards(df, str(tmp_path), manifest)
+    assert [r["file_name"] for r in publish.read_published(spark, str(tmp_path), rows=4).collect()] == ["0.txt", "2.txt", "4.txt", "6.txt"]
+
+
+def test_folders_are_not_written_by_every_task(spark, tmp_path):
+    df = spark.range(2000).select((F.col("id") % 5).alias("c"), F.col("id").alias("v")).repartition(16)
+    packed.write_documents(df, str(tmp_path / "d"), "c")
+    parts = [f for c in range(5) for f in os.listdir(tmp_path / "d" / f"c={c}") if f.startswith("part-")]
+    assert len(parts) == 5 and spark.read.json(str(tmp_path / "d")).count() == 2000
+
+
 def test_missing_payload_is_null(spark):
     df = spark.createDataFrame([("file:/no/such/file.png", 1), (None, 2)], "image string, k int")
     assert [(r.image.bytes, r.k) for r in packed.load_images(df).collect()] == [(None, 1), (None, 2)]
