@@ -20,6 +20,8 @@ from shelfmark.storage import new_folder, stage
 
 THRESHOLD = 0.2
 GROUP, ITEM = "collection_id", "item_id"
+#: The added collection of one vector.
+SINGLE = 1000
 
 
 def members(spark, sf_dir) -> DataFrame:
@@ -60,19 +62,19 @@ def cluster_members(spark, sf_dir):
 
 
 def cluster_summary(spark, sf_dir):
-    """All labels with vectors, one of which keeps a single vector, and nations that have none.
+    """All labels with all their vectors, a collection of one vector beside them, and nations that have none.
 
-    Counts of items are made up, so that some collections have too few.
+    Counts of items are made up, so that some collections have too few. The one vector is the first of label 3 again.
     """
     rows = B.embeddings(spark, sf_dir)
     single = rows.filter(F.col(GROUP) == 3).orderBy("vec_id").limit(1)
-    rows = rows.filter(F.col(GROUP) != 3).unionByName(single)
+    rows = rows.unionByName(single.withColumn(GROUP, F.lit(SINGLE).cast("bigint")))
     found = cluster.leader_clusters(rows, GROUP, ITEM, [F.col("vec_id")], "embedding", THRESHOLD)
     found = found.withColumn("score", F.expr("(item_id * 37 % 101) / 100.0D"))
-    labels = B.embeddings(spark, sf_dir).select(GROUP).unionByName(
+    labels = rows.select(GROUP).unionByName(
         B.table(spark, sf_dir, "nation").select((F.col("n_nationkey").cast("bigint") + 100).alias(GROUP))
     ).distinct()
-    groups = labels.withColumn("item_count", F.when(F.col(GROUP) == 3, 3).otherwise(F.col(GROUP) % 6 + 1).cast("bigint"))
+    groups = labels.withColumn("item_count", F.when(F.col(GROUP) == SINGLE, 3).otherwise(F.col(GROUP) % 6 + 1).cast("bigint"))
     return cluster.cluster_summary(groups, found, GROUP, ITEM, "score")
 
 
@@ -158,8 +160,10 @@ _QUARANTINED = f"""ranked AS (
 quarantined AS (
   SELECT collection_id, item_id, ['broken', 'duplicate', 'non_main'][min(r) + 1] AS category FROM ranked GROUP BY collection_id, item_id)"""
 _members = B.cte(_MEMBERS, recursive=True)
-# The summary's third label keeps one vector.
-_single = _members.replace("FROM embeddings)", "FROM embeddings WHERE label <> 3 OR vec_id = (SELECT min(vec_id) FROM embeddings WHERE label = 3))")
+_VECTORS = f"""vectors AS (
+  SELECT label, vec_id, embedding FROM embeddings
+  UNION ALL SELECT {SINGLE}, vec_id, embedding FROM embeddings WHERE label = 3 AND vec_id = (SELECT min(vec_id) FROM embeddings WHERE label = 3))"""
+_single = B.cte(_VECTORS, _MEMBERS.replace("FROM embeddings)", "FROM vectors)"), recursive=True)
 _quarantine = B.cte(B.ITEMS, _MEMBERS, _QUARANTINED, recursive=True)
 
 ORACLE = {
@@ -176,15 +180,15 @@ ORACLE = {
     "cluster_members": """SELECT CAST(label AS BIGINT) AS collection_id, vec_id // 2 AS item_id,
         row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS place FROM embeddings""",
     "cluster_summary": _single
-    + """SELECT collection_id, status, status = 'analyzed' AND n > 0 AS has_main,
+    + f"""SELECT collection_id, status, status = 'analyzed' AND n > 0 AS has_main,
            CASE WHEN status = 'analyzed' THEN n END AS embedding_count, CASE WHEN status = 'analyzed' THEN cluster_count END AS cluster_count,
            CASE WHEN status = 'analyzed' THEN main_size END AS main_size, CASE WHEN status = 'analyzed' THEN outlier_count END AS outlier_count,
            CASE WHEN status = 'analyzed' THEN first_representative END AS first_representative,
            CASE WHEN status = 'analyzed' THEN best_representative END AS best_representative
          FROM (SELECT c.collection_id, coalesce(f.n, 0) AS n, f.* EXCLUDE (collection_id, n),
                  CASE WHEN item_count < 3 THEN 'too_few_items' WHEN f.n IS NULL THEN 'no_embedding' ELSE 'analyzed' END AS status
-               FROM (SELECT collection_id, CASE WHEN collection_id = 3 THEN 3 ELSE collection_id % 6 + 1 END AS item_count FROM (
-                   SELECT CAST(label AS BIGINT) AS collection_id FROM embeddings UNION SELECT CAST(n_nationkey AS BIGINT) + 100 FROM nation)) c
+               FROM (SELECT collection_id, CASE WHEN collection_id = {SINGLE} THEN 3 ELSE collection_id % 6 + 1 END AS item_count FROM (
+                   SELECT CAST(label AS BIGINT) AS collection_id FROM vectors UNION SELECT CAST(n_nationkey AS BIGINT) + 100 FROM nation)) c
                LEFT JOIN (SELECT collection_id, count(*) AS n, count(*) FILTER (leader = idx) AS cluster_count,
                    count(*) FILTER (in_main) AS main_size, count(*) FILTER (NOT in_main) AS outlier_count,
                    arg_min(item_id, idx) FILTER (in_main) AS first_representative,
