@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from shelfmark.constants import SCORE_LABELS, WHITE_SPACE
 from shelfmark.operators import verdicts as V
+from shelfmark.operators.answers import answered, ask
 from shelfmark.plans import bindings as B
 from shelfmark.plans.sequences import CONTEXT, FLAGGED, SUMMARIES, context
 from shelfmark.sources.config import load_config
+from shelfmark.storage import new_folder
 
 CONFIG = load_config()
 
@@ -96,6 +98,16 @@ def score_stage(spark, sf_dir):
     return answers.select("item_id", "ai_score", "ai_reason", F.try_element_at("ai_factors", F.lit("clarity")).alias("clarity"))
 
 
+def score_answers(spark, sf_dir):
+    """The same through the answer table: the items of two languages first, then all, of which only new texts are asked."""
+    root = new_folder(spark, "answers")
+    prompts = B.items(spark, sf_dir).select("item_id", "lang", F.col("text").alias("prompt"))
+    ask(prompts.filter(F.col("lang").isin("en", "de")), root, round_prompts=100_000)
+    ask(prompts, root, round_prompts=100_000)
+    answers = V.parse_lines(answered(prompts, root, "item_id"))
+    return answers.select("item_id", "ai_score", "ai_reason", F.try_element_at("ai_factors", F.lit("clarity")).alias("clarity"))
+
+
 def tag_vocab(spark, sf_dir):
     """Part types as categories, their brands as tags."""
     tags = B.table(spark, sf_dir, "part").select(
@@ -116,6 +128,7 @@ QUERIES = {
     "score_label": score_label,
     "prompt_build": prompt_build,
     "score_stage": score_stage,
+    "score_answers": score_answers,
     "tag_vocab": tag_vocab,
 }
 
@@ -203,3 +216,5 @@ ORACLE = {
     "tag_vocab": """SELECT row_number() OVER (ORDER BY p_type, p_brand) - 1 AS place, p_type AS category, p_brand AS tag
         FROM (SELECT DISTINCT p_type, p_brand FROM part)""",
 }
+# Answers are those of asking every item by itself.
+ORACLE["score_answers"] = ORACLE["score_stage"]

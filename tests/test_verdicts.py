@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shelfmark.operators import answers as A
 from shelfmark.operators import verdicts as V
 from shelfmark.sources.config import load_config
 
@@ -119,6 +120,65 @@ def test_score_stage_turns_failures_into_data(spark):
     assert got == {1: ('{"n": 4}', None), 2: (None, "no answer"), 3: ('{"n": 5}', None)}
 
 
+def counting(path, bad=()):
+    """A scorer that writes down every prompt it is asked."""
+
+    def make():
+        def score(prompts):
+            if prompts.isin(bad).any():
+                raise RuntimeError("no answer")
+            with open(path, "a") as f:
+                f.write("".join(p + "\n" for p in prompts))
+            return prompts.map(lambda p: f"<{p}>")
+
+        return score
+
+    return make
+
+
+def test_each_prompt_is_asked_once(spark, tmp_path):
+    root, log = str(tmp_path / "answers"), tmp_path / "log"
+    asked = lambda: sorted(log.read_text().split())
+    items = spark.createDataFrame([(i, f"p{i % 7}") for i in range(700)] + [(700, None)], "id int, prompt string").repartition(5)
+    assert A.answered(items, _made(spark, root), "id").filter("response is not null").count() == 0
+    assert A.ask(items.filter("id < 3"), root, make_scorer=counting(log)) == 3
+    assert asked() == ["p0", "p1", "p2"]
+    assert A.ask(items, root, make_scorer=counting(log, ["p5"]), round_prompts=2) == 4
+    assert asked() == ["p0", "p1", "p2", "p3", "p4", "p6"]
+    got = {r.id: (r.response, r.error) for r in A.answered(items, root, "id", hot_rows=10).collect()}
+    assert got == {i: (None, "no answer") if i % 7 == 5 else (f"<p{i % 7}>", None) for i in range(700)} | {700: (None, None)}
+    assert A.ask(items, root, make_scorer=counting(log)) == 1
+    assert asked() == [f"p{i}" for i in range(7)]
+    assert A.ask(items, root, make_scorer=counting(log)) == 0
+    assert A.answered(items, root, "id").filter("error is not null").count() == 0
+    assert A.ask(items, root, model="another", make_scorer=counting(log)) == 7
+
+
+def _made(spark, root):
+    A._create(spark, root)
+    return root
+
+
+def test_a_run_that_ends_early_keeps_its_rounds(spark, tmp_path, monkeypatch):
+    root, log = str(tmp_path / "answers"), tmp_path / "log"
+    items = spark.createDataFrame([(i, f"p{i}") for i in range(30)], "id int, prompt string")
+    real, calls = A.score_stage, []
+
+    def fails(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("the run ends")
+        return real(*args)
+
+    monkeypatch.setattr(A, "score_stage", fails)
+    with pytest.raises(RuntimeError, match="the run ends"):
+        A.ask(items, root, make_scorer=counting(log), round_prompts=10)
+    first = log.read_text().split()
+    assert 0 < len(first) < 30
+    A.ask(items, root, make_scorer=counting(log), round_prompts=10)
+    assert sorted(log.read_text().split()) == sorted(f"p{i}" for i in range(30))
+
+
 def test_prompts(spark):
     config = load_config()
     row = spark.range(1).select(
