@@ -9,6 +9,7 @@ from shelfmark.operators import labels as L
 from shelfmark.plans import bindings as B
 from shelfmark.plans.sequences import FLAGGED, SUMMARIES, summaries
 from shelfmark.sources.files import explode_item_labels
+from shelfmark.streaming.keyed import keyed_label_state as run_keyed
 from shelfmark.streaming.labels import read_table_stream, stream_label_state as run_state, stream_todo as run_todo_list
 
 
@@ -55,6 +56,13 @@ def stream_label_state(spark, sf_dir):
     return _tags_joined(run_state(B.edits(events), ["collection_id"]))
 
 
+def keyed_label_state(spark, sf_dir):
+    """The same stream with state kept by key, read back from the state store."""
+    schema = B.table(spark, sf_dir, "events").schema
+    events = read_table_stream(spark, sf_dir, "events.parquet", schema)
+    return _tags_joined(run_keyed(B.edits(events), ["collection_id"]))
+
+
 def stream_todo(spark, sf_dir):
     schema = B.table(spark, sf_dir, "documents").schema
     documents = read_table_stream(spark, sf_dir, "documents.parquet", schema)
@@ -68,6 +76,7 @@ QUERIES = {
     "text_merge": text_merge,
     "label_upsert": label_upsert,
     "stream_label_state": stream_label_state,
+    "keyed_label_state": keyed_label_state,
     "stream_todo": stream_todo,
 }
 
@@ -92,5 +101,6 @@ ORACLE = {
     + """SELECT collection_id, stem, ai_score, ai_reason FROM item_labels
          UNION ALL SELECT collection_id, stem, 5, 'new' FROM items WHERE item_id NOT IN (SELECT doc_id FROM labels)""",
     "stream_label_state": _KEEP,
+    "keyed_label_state": _KEEP,
     "stream_todo": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality <> 0)",
 }

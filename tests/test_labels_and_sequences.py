@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import cluster, labels, quality, relational, sequence
-from shelfmark.streaming.labels import read_label_state, read_table_stream, read_todo, run_label_state, run_todo
+from shelfmark.streaming import keyed
+from shelfmark.streaming.labels import compact_label_state, read_label_state, read_table_stream, read_todo, run_label_state, run_todo
 
 EDIT = "k int, item string, seq int, score_set boolean, score int, tags array<string>, notes string, images string"
 
@@ -63,6 +66,51 @@ def test_stream_equals_batch_over_several_triggers(spark, tmp_path):
     assert {r.k: (r.score, r.tags, r.notes, r.images) for r in state.collect()} == KEPT
 
 
+def test_a_compacted_log_goes_on(spark, tmp_path):
+    source, target, compacted, checkpoint = (str(tmp_path / n) for n in ("in", "state", "compact", "cp"))
+    frame = spark.createDataFrame(EDITS, EDIT)
+    shape = labels.merge_keep(frame, ["k"]).withColumn("batch", F.lit(0).cast("bigint")).schema
+    for part, folder in ((EDITS[:4], target), (EDITS[4:], compacted)):
+        spark.createDataFrame(part, EDIT).coalesce(1).write.mode("append").parquet(source)
+        run_label_state(read_table_stream(spark, source, "*.parquet", frame.schema, 1), ["k"], folder, checkpoint)
+        if folder == target:
+            compact_label_state(spark, target, shape, ["k"], compacted)
+            assert spark.read.parquet(compacted).count() == 2
+    state = read_label_state(spark, compacted, shape, ["k"])
+    assert {r.k: (r.score, r.tags, r.notes, r.images) for r in state.collect()} == KEPT
+
+
+def test_keyed_state_equals_batch_over_several_triggers(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    frame = spark.createDataFrame(EDITS, EDIT)
+    for part in (EDITS[:1], EDITS[1:4], EDITS[4:]):  # the later edit of key 1 comes first
+        spark.createDataFrame(part, EDIT).coalesce(1).write.mode("append").parquet(source)
+        keyed.run_keyed_state(read_table_stream(spark, source, "*.parquet", frame.schema, 1), ["k"], checkpoint)
+    state = keyed.read_keyed_state(spark, checkpoint, ["k"], keyed.label_types(frame))
+    assert {r.k: (r.score, r.tags, r.notes, r.images) for r in state.collect()} == KEPT
+    assert {r.k: r.last_seq for r in state.collect()} == {1: 2, 2: 3, 3: 2}
+
+
+def test_keys_without_edits_expire(spark, tmp_path):
+    source, checkpoint, expired = (str(tmp_path / n) for n in ("in", "cp", "out"))
+    schema = EDIT + ", ts timestamp"
+    frame = spark.createDataFrame([], schema)
+    minute = lambda m: datetime.datetime(2024, 1, 1, 0, m)
+    steps = [
+        [(*edit(1, 1, score=3), minute(0)), (*edit(2, 1, notes="n"), minute(1))],
+        [(*edit(1, 2, tags=["t"]), minute(8))],  # keeps key 1 alive
+        [(*edit(3, 1, score=9), minute(14))],  # key 2 is old now
+        [(*edit(3, 2, score=8), minute(15))],
+    ]
+    for part in steps:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = read_table_stream(spark, source, "*.parquet", frame.schema, 1)
+        keyed.run_keyed_state(stream, ["k"], checkpoint, expired, keep_ms=600_000, time_col="ts")
+    assert [(r.k, r.score, r.notes, r.last_seq) for r in spark.read.parquet(expired).collect()] == [(2, None, "n", 1)]
+    state = keyed.read_keyed_state(spark, checkpoint, ["k"], keyed.label_types(frame))
+    assert {r.k: (r.score, r.tags, r.last_seq) for r in state.collect()} == {1: (3, ["t"], 2), 3: (8, None, 2)}
+
+
 def test_todo_stream_emits_each_item_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "todo", "cp"))
     verdicts = spark.createDataFrame([(1, 5), (2, 0)], "id int, score int")
