@@ -25,7 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import WORD, doc_key, give_back, id_of, stage, text_hash
+from shelfmark.llm.common import WORD, doc_key, id_of, stage, text_hash
+from shelfmark.scale import ordered_index
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -41,16 +42,20 @@ SLOT_CHUNK = 1 << 16
 DOC_CHUNK = 4096
 
 
+def source_key(source: Column) -> Column:
+    """The source, so that null sorts last."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("t"))
+
+
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(rid, d, h, skey, source, size), written once; ``rid`` numbers the rows."""
     words = F.regexp_count(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit(WORD)).cast("bigint")
-    source = docs[source_col].cast("string")
     return stage(
         docs.select(
             F.monotonically_increasing_id().alias("rid"),
             doc_key(docs[id_col]).alias("d"),
             text_hash(docs[text_col]).alias("h"),
-            F.coalesce(F.concat(F.lit("s"), source), F.lit("t")).alias("skey"),  # null sorts last
+            source_key(docs[source_col]).alias("skey"),
             words.alias("size"),
         ),
         "mix-sizes",
@@ -175,14 +180,14 @@ def mix(
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """One row per row of ``docs``: (d, h, doc_id, size, source_size, target, taken, first_slot)."""
+    """One row per row of ``docs``: (d, h, skey, doc_id, size, source_size, target, taken, first_slot); d, h and skey address it."""
     sizes, goals, mixed = mix(docs, id_col, text_col, source_col, **options)
     taken = mixed.groupBy("rid").agg(
         F.sum(F.col("word_to") - F.col("word_from")).alias("taken"), F.min("slot").alias("first_slot")
     )
     known = sizes.join(goals.select("skey", "source_size", "target"), "skey", "left")
     return known.join(taken, "rid", "left").select(
-        "d", "h", id_of(F.col("d")).alias("doc_id"), "size", "source_size", "target",
+        "d", "h", "skey", id_of(F.col("d")).alias("doc_id"), "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), "first_slot",
     )
 
@@ -190,14 +195,26 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """Rows of ``docs`` that the mix takes words of, with size, source_size, target, taken and first_slot.
 
-    Of columns that ``docs`` has already, those of the mix win. Rows that repeat an id, a text and a
-    source count as one here, with the words taken of all of them.
+    Of columns that ``docs`` has already, those of the mix win. A text in two sources is a row of each. Rows that repeat an
+    id, a text and a source are alike to the mix: what it takes of them is dealt out evenly, row by row.
     """
     own = ["size", "source_size", "target", "taken", "first_slot"]
-    mixed = mix_documents(docs, id_col, text_col, source_col, **options).filter("taken > 0")
-    found = mixed.groupBy("d", "h").agg(
-        F.max("size").alias("size"), F.max("source_size").alias("source_size"), F.max("target").alias("target"),
-        F.sum("taken").alias("taken"), F.min("first_slot").alias("first_slot"),
+    mixed = mix_documents(docs, id_col, text_col, source_col, **options)
+    found = stage(
+        mixed.groupBy("d", "h", "skey").agg(
+            *[F.max(c).alias(c) for c in own[:3]], F.sum("taken").alias("taken"), F.min("first_slot").alias("first_slot"), F.count(F.lit(1)).alias("_n")
+        ).filter("taken > 0"),
+        "mix-taken",
     )
-    rows = docs.drop(*[c for c in own if c not in (id_col, text_col, source_col)]).dropDuplicates([id_col, text_col])
-    return give_back(rows, found, id_col, text_col)
+    bare = docs.drop(*[c for c in own if c not in (id_col, text_col, source_col)])
+    rows = bare.select(
+        F.struct("*").alias("_row"), doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"), source_key(docs[source_col]).alias("skey")
+    ).join(found, ["d", "h", "skey"])
+    once = rows.filter("_n = 1").select("_row.*", *own)
+    if found.filter("_n > 1").isEmpty():
+        return once
+    repeated = stage(rows.filter("_n > 1").withColumn("_rid", F.monotonically_increasing_id()), "mix-repeated")
+    place = ordered_index(repeated.select("d", "h", "skey", "_rid"), ["d", "h", "skey"], [F.col("_rid")], "_i")
+    dealt = F.floor(F.col("taken") / F.col("_n")) + (F.col("_i") < F.col("taken") % F.col("_n")).cast("bigint")
+    shared = repeated.join(place.select("_rid", "_i"), "_rid").withColumn("taken", dealt).filter("taken > 0")
+    return once.unionByName(shared.select("_row.*", *own))

@@ -35,7 +35,7 @@ def op3_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_slot_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_documents(read(spark, sf_dir, "documents")).drop("d", "h")
+    return mix_documents(read(spark, sf_dir, "documents")).drop("d", "h", "skey")
 
 
 def op5_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def test_mix(spark, block_words):
     assert by_target.keys() == goals.keys()
     assert all(abs(taken - goals[key] * key[1]) <= 0.5 * goals[key] + 1e-6 for key, taken in by_target.items())
     again = mixing.mix_documents(frame.orderBy("n_chars", "doc_id"), block_words=block_words)
-    assert Counter(map(tuple, again.drop("d", "h").collect())) == Counter((*tuple(r)[2:],) for r in rows)
+    assert Counter(map(tuple, again.drop("d", "h", "skey").collect())) == Counter((*tuple(r)[3:],) for r in rows)
 
 
 def test_schedule_spreads_every_source(spark):
@@ -66,6 +66,34 @@ def test_nothing_to_mix(spark):
     assert set(kept.columns) > {"doc_id", "text", "source", "taken", "size"} and kept.filter("taken <= 0").count() == 0
 
 
+def test_rows_are_kept_by_document_and_source(spark):
+    """One text in two sources, and rows that repeat all three, beside the same rows mixed by brute force."""
+    schema = "doc_id long, text string, source string, taken string, note string"
+    data = [(1, "a b c d", "s0", "x", "1"), (1, "a b c d", "s1", "x", "2"), (2, "e f g", "s0", "x", "3"), (3, "h i j k l m", "s1", "x", "4")]
+    data += [(4, "n o p", "s1", "x", str(5 + i)) for i in range(5)] + [(None, "q r", None, "x", "z"), (5, "", "s0", "x", "y"), (6, None, "s1", "x", "w")]
+    frame = spark.createDataFrame(data, schema)
+    kept = [r.asDict() for r in mixing.keep_taken(frame, block_words=2).collect()]
+    assert set(kept[0]) == {"doc_id", "text", "source", "note", "size", "source_size", "target", "taken", "first_slot"}
+    by_row = Counter(r["note"] for r in kept)
+    assert set(by_row.values()) == {1} and "y" not in by_row and "w" not in by_row
+    rows = {d[4]: d for d in data}
+    sizes = Counter()
+    for d in data:
+        sizes[d[2]] += len((d[1] or "").split())
+    for r in kept:
+        wanted = rows[r["note"]]
+        assert (r["doc_id"], r["text"], r["source"]) == wanted[:3]
+        assert r["size"] == len(wanted[1].split()) and r["source_size"] == sizes[wanted[2]] and 0 < r["taken"] <= 2 * r["size"]
+    goals = targets_expected(sizes)
+    for source in sizes:
+        assert abs(sum(r["taken"] for r in kept if r["source"] == source) - goals[source]) <= 0.5
+    mixed = mixing.mix_documents(frame, block_words=2).collect()
+    for key in {(d[0], d[2]) for d in data}:
+        of_mix = sum(r["taken"] for r in mixed if (r["doc_id"], None if r["skey"] == "t" else r["skey"][1:]) == key)
+        own = [r["taken"] for r in kept if (r["doc_id"], r["source"]) == key]
+        assert sum(own) == of_mix and (not own or max(own) - min(own) <= 1)
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
