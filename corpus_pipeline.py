@@ -26,8 +26,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one with the smallest id."""
-    return jaccard.keep_one(docs)
+    """One document of each component of near duplicates, by five words and 80 percent: the one with the smallest id."""
+    return jaccard.keep_one(docs, width=5, percent=80)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
