@@ -20,7 +20,15 @@ _FOLDERS: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    return (spark.conf.get(DIR_KEY, None) or spark.conf.get(WAREHOUSE_KEY)).rstrip("/")
+    """The folder of ``spark.checkpoint.dir``; the warehouse where that is unset, unless it is a local folder on a cluster."""
+    named = spark.conf.get(DIR_KEY, None)
+    if named:
+        return named.rstrip("/")
+    root = spark.conf.get(WAREHOUSE_KEY).rstrip("/")
+    scheme = root.partition(":")[0] if ":" in root else "file"
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {DIR_KEY} to a folder that all executors share: {root} is local to one machine")
+    return root
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -37,6 +45,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables returned by ``stage`` once everything that reads them is written."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete all folders this application was given; call it when its results are written."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
