@@ -130,7 +130,7 @@ ORACLE = {
             SELECT doc_id, i, s[i] AS line, len(s) AS n_lines
             FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i
                   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
-        u AS (SELECT line, min((doc_id, i)) AS first, length(line) AS n FROM l WHERE length(line) >= 20 GROUP BY line),
+        u AS (SELECT line, min((doc_id, i)) AS first, length(line) AS n FROM l WHERE line <> '' GROUP BY line),
         pairs AS (
             SELECT a.line AS a, a.n AS n, b.line AS b, b.n AS m FROM u a JOIN u b ON b.n BETWEEN a.n - 1 AND a.n + 1
                 AND b.first < a.first AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)

@@ -158,34 +158,60 @@ def within_one_edit(a, b):
     return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
-def lines_expected(pairs, least):
+def lines_expected(pairs):
+    """Every row's number of lines, of dropped ones, and its text; a line goes for any earlier one."""
     docs = sorted({(-(2**63) if i is None else i, t or "") for i, t in pairs}, key=lambda x: x[0])
     seen, out = [], {}
     for i, t in docs:
         lines, kept = t.split("\n"), []
         for line in lines:
-            if len(line) >= least and any(within_one_edit(line, s) for s in seen):
-                continue
-            kept.append(line)
+            if not line or not any(within_one_edit(line, s) for s in seen):
+                kept.append(line)
+            if line:
+                seen.append(line)
         out[(i, t)] = (len(lines), len(lines) - len(kept), "\n".join(kept))
-        seen += [line for line in lines if len(line) >= least]
     return out
 
 
-def test_lines(spark):
-    rng = random.Random(3)
-    lines = ["".join(rng.choice("abcdé") for _ in range(rng.randrange(3, 40))) for _ in range(30)]
+def check_lines(spark, data, **options):
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    wanted = lines_expected(data)
+    got = Counter(map(tuple, line_dedup.dedup_lines(frame, **options).collect()))
+    assert got == Counter((i, *wanted[(-(2**63) if i is None else i, t or "")]) for i, t in data)
+
+
+def changed(rng, line):
+    at = rng.randrange(len(line))
+    return rng.choice([line[:at] + line[at + 1 :], line[:at] + "q" + line[at + 1 :], line[:at] + "ü" + line[at:], line + "z"])
+
+
+@pytest.mark.parametrize("part", [1, 3, 32])
+def test_lines(spark, part):
+    """Lines of 1 to 200 characters, several to a document, changed once or twice, in runs and at their ends."""
+    rng = random.Random(part)
+    lines = ["".join(rng.choice("abcdé🙂") for _ in range(rng.choice([1, 2, 3, 7, 20, 40, 65, 200]))) for _ in range(40)]
+    lines += ["aaaaaaaa", "aaaaaaa", "aabaaaaa", "abababab", "babababa", "ababababa"]
     for line in list(lines):
-        at = rng.randrange(len(line))
-        lines += [line[:at] + line[at + 1 :], line[:at] + "q" + line[at + 1 :], line[:at] + "ü" + line[at:]]
-    # A line within a document is its own, so that the brute force may take whole documents in turn.
+        once = changed(rng, line)
+        lines += [once, changed(rng, once) if once else "x", line]
     rng.shuffle(lines)
-    data = [(i, line) for i, line in enumerate(lines)] + [(500, None), (501, ""), (502, "\n\n"), (None, lines[0])]
-    frame = spark.createDataFrame(data, "doc_id long, text string")
-    wanted = lines_expected(data, 6)
-    got = {(r[0], *tuple(r)[1:]) for r in line_dedup.dedup_lines(frame, min_chars=6).collect()}
-    plain = lambda i: None if i == -(2**63) else i
-    assert got == {(plain(i), *v) for (i, _), v in wanted.items()}
+    data = [(i, "\n".join(lines[i * 3 : i * 3 + 3])) for i in range(-(-len(lines) // 3))]
+    data += [(500, None), (501, ""), (502, "\n\n"), (503, "a\n\nb\n"), (None, lines[0]), data[1], data[1]]
+    check_lines(spark, data, part=part)
+
+
+def test_short_lines_are_looked_at(spark):
+    check_lines(spark, [(1, "short one"), (2, "short one"), (3, "short on\nx"), (4, "xy\nother\nz"), (5, "xyz")])
+
+
+def test_a_line_of_a_million_characters(spark):
+    rng = random.Random(1)
+    line = "".join(rng.choices("abcdefgh é", k=1_000_000))
+    at = 654_321
+    texts = [line, line[:at] + "#" + line[at + 1 :], line[:at] + line[at + 1 :] + "\nown line", line[: at - 9] + "##" + line[at:], line[:-1], "#" + line, line[::-1]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_dropped"], r["text"]) for r in line_dedup.dedup_lines(frame).collect()}
+    assert got == {0: (0, line), 1: (1, ""), 2: (1, "own line"), 3: (0, texts[3]), 4: (1, ""), 5: (1, ""), 6: (0, texts[6])}
 
 
 def test_lines_of_awkward_tables(spark):
