@@ -3,9 +3,11 @@
 The patterns give the base spans. The field tags the tokens (words without white space) of each line as
 outside, begin or inside a secret, from the token's shape and hashed text, those of its neighbours, and
 features of the whole text, and is decoded by Viterbi, all lines of a piece in step. It is trained in
-numpy on ``SAMPLE_ROWS`` texts in the order of a seeded hash, whose labels are the base spans; where they
-have more than ``SAMPLE_BYTES`` characters together, the longest ones give seeded windows over their text. Tagged tokens that touch no base span become spans of kind ``crf``, trimmed to
-the characters that secrets are made of.
+numpy on ``SAMPLE_ROWS`` texts in the order of a seeded hash; where they have more than ``SAMPLE_BYTES``
+characters together, the longest ones give seeded windows over their text. Its labels are the base spans: the first
+token of one begins a secret, the others (the sign and the value of an assignment) are inside it. When tagging, a token
+that begins a secret and those inside after it are one span of kind ``crf``, unless it touches a base span; spans
+are trimmed to the characters that secrets are made of.
 
 Texts are read whole, by pieces of whole lines of bounded size (a line of more than ``LINE`` tokens is
 several sequences); nothing crosses the network but the sample.
@@ -226,9 +228,10 @@ def _labelled(text: str) -> list[tuple[Tokens, np.ndarray]]:
         first, last = points[tokens.start + start], points[tokens.end + start]
         for s, _, e in spans:
             hit = np.flatnonzero((first < e) & (last > s))
-            # The secret of an assignment is its last token; its name and sign are context.
-            if len(hit):
-                tags[hit[-1]] = BEGIN
+            # Spans may touch in one token, which then begins one.
+            tags[hit[1:]] = np.where(tags[hit[1:]] == BEGIN, BEGIN, INSIDE)
+            tags[hit[:1]] = BEGIN
+        tags[tokens.lines] = np.where(tags[tokens.lines] == INSIDE, BEGIN, tags[tokens.lines])  # a long line is several sequences
         out.append((tokens, tags))
     return [x for x in out if len(x[1])]
 
@@ -257,15 +260,23 @@ def train(texts: list[str], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
 
 def scan(texts: list[str], weights: np.ndarray, moves: np.ndarray) -> list[tuple[list, list]]:
     """For each text its base spans, and the spans that the field adds. Texts are tagged in step."""
-    tagged: list[list[tuple[int, int]]] = [[] for _ in texts]
+    tagged: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     may_hex, waiting, held = [False] * len(texts), [], 0
 
     def tag() -> None:
         tags = viterbi(Tokens.together([t for _, _, t in waiting]), weights, moves)
         at = 0
         for i, start, tokens in waiting:
-            for k in np.flatnonzero(tags[at : at + len(tokens.start)] != OUTSIDE):
-                tagged[i].append((start + int(tokens.start[k]), start + int(tokens.end[k])))
+            own = tags[at : at + len(tokens.start)]
+            # A run goes on with the tokens inside, up to the end of its sequence.
+            inside = own == INSIDE
+            inside[tokens.lines] = False
+            heads = np.flatnonzero((own != OUTSIDE) & ~(inside & np.r_[False, own[:-1] != OUTSIDE]))
+            stops = np.flatnonzero(~(inside & np.r_[False, own[:-1] != OUTSIDE]))
+            for k in heads:
+                after = np.searchsorted(stops, k, side="right")
+                last = (int(stops[after]) if after < len(stops) else len(own)) - 1
+                tagged[i].append((start + int(tokens.start[k]), start + int(tokens.end[k]), start + int(tokens.end[last])))
             at += len(tokens.start)
         waiting.clear()
 
@@ -286,15 +297,18 @@ def scan(texts: list[str], weights: np.ndarray, moves: np.ndarray) -> list[tuple
     return [(base := base_spans(text, h), _added(text, t, base)) for text, h, t in zip(texts, may_hex, tagged)]
 
 
-def _added(text: str, tagged: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+def _added(text: str, tagged: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Spans of the tagged runs (start, end of the first token, end of the last) in code points."""
     if not tagged:
         return []
     points, added = _points(text.encode("utf-8", "surrogatepass")), []
-    for s, e in tagged:
-        for m in BODY.finditer(text, int(points[s]), int(points[e])):
-            free = all(m.end() <= b or m.start() >= d for b, _, d in base)
-            if free and m.end() - m.start() >= LEAST:
-                added.append(m.span())
+    for s, first, last in tagged:
+        parts = [m.span() for m in BODY.finditer(text, int(points[s]), int(points[last]))]
+        if last > first and parts:  # one secret, whatever parts its tokens
+            parts = [(parts[0][0], parts[-1][1])]
+        for a, b in parts:
+            if b - a >= LEAST and all(b <= c or a >= d for c, _, d in base):
+                added.append((a, b))
     return added
 
 

@@ -164,6 +164,20 @@ def test_the_field_finds_what_the_patterns_miss():
     assert len(added) == 1 and added[0][1] - added[0][0] == 40
 
 
+def test_a_secret_of_three_tokens_is_one_span():
+    rng = random.Random(6)
+    key = lambda: "".join(rng.choices("0123456789abcdefABCDEFxyz", k=30))
+    texts = [f"{corpora.words(rng, 30, 500)} password = \"{key()}\" {corpora.words(rng, 20, 500)}" for _ in range(60)]
+    tokens, tags = secrets._labelled(texts[0])[0]
+    assert [int(t) for t in tags if t] == [secrets.BEGIN, secrets.INSIDE, secrets.INSIDE]
+    weights, moves = secrets.train(texts)
+    value = key()[:9] + "!" + key()[:20]  # the sign ends the pattern's value before it is long enough
+    odd = f"{corpora.words(rng, 12, 500)}\npassword = \"{value}\" {corpora.words(rng, 12, 500)}"
+    (base, added), (old, none) = secrets.scan([odd, texts[1]], weights, moves)
+    assert base == [] and [odd[a:b] for a, b in added] == [f'password = "{value}']
+    assert len(old) >= 1 and none == []
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(0)
     data = np.frombuffer(b"a bb c\nd e\n\nf", np.uint8)
