@@ -15,10 +15,10 @@ from shelfmark.llm.common import stage
 FAN_IN = 64
 
 
-def tree_sum(tables: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+def tree_sum(tables: DataFrame, keys: Sequence[str], label: str, fan_in: int = FAN_IN) -> DataFrame:
     """Sum of the int64 arrays in ``counts`` by ``keys``; ``part`` (int) numbers the tasks they come from.
 
-    A call adds at most FAN_IN arrays of one key, whatever the number of tasks.
+    A call adds at most ``fan_in`` arrays of one key, whatever the number of tasks.
     """
     keys = list(keys)
     width = len(keys)
@@ -33,6 +33,6 @@ def tree_sum(tables: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     tables = stage(tables.select(*keys, "part", "counts"), label)
     schema = tables.schema
     while (tables.agg(F.max("part")).first()[0] or 0) > 0:
-        merged = tables.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+        merged = tables.withColumn("part", F.floor(F.col("part") / fan_in).cast("int"))
         tables = stage(merged.groupBy(*keys, "part").applyInPandas(add, schema), label)
     return tables

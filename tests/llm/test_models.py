@@ -239,6 +239,13 @@ def test_the_model_is_a_probability_and_learns():
         targets[:, 0] = ids
         mass += np.exp(scoring.score_blocks(tables, np.repeat(first, len(ids), 0), targets, np.ones(len(ids), bool))).sum()
     assert mass == pytest.approx(1, abs=1e-3)
+    # Scores far from zero neither overflow nor vanish.
+    for shift in (300.0, -300.0):
+        far = tables | {"s": tables["s"] + np.float32(shift)}
+        targets = np.full((1, scoring.STEP), -1)
+        targets[0, 0] = 5
+        one = lambda t: scoring.score_blocks(t, first, targets, np.ones(1, bool))[0]  # noqa: E731, B023
+        assert one(far) == pytest.approx(one(tables), abs=1e-3)
 
     def value(t, tables=tables):
         piece = scoring.Piece([t.encode()])
@@ -262,16 +269,53 @@ def test_the_model_is_learned_from_all_training_rows(spark):
     coder = scoring.subwords(scoring.TOKENIZER)
     data = [(i, "apple river stone " * 3) for i in range(900)] + [(i, "quartz lemon violet " * 3) for i in range(900, 1800)]
     frame = spark.createDataFrame(data, "doc_id long, text string").repartition(3, "doc_id")
-    counts, blocks = scoring.count_subwords(frame.select("text"), scoring.TOKENIZER)
-    stream, sizes = scoring.id_streams(scoring.Piece([t.encode() for _, t in data]), coder)
+    words, counts, blocks, pieces = scoring.counted(frame.select("text"), scoring.TOKENIZER)
+    piece = scoring.Piece([t.encode() for _, t in data])
+    stream, sizes = scoring.id_streams(piece, coder)
     assert counts.tolist() == np.bincount(stream, minlength=coder.size + 2).tolist()
     assert blocks == int((-(-sizes // scoring.STEP)).sum())
-    shared = spark.sparkContext.broadcast((counts, scoring.Model(counts, coder.opens).p))
-    seen = scoring.averaged(frame.select("text"), shared, scoring.TOKENIZER, 1, 64, 0.01)
-    half = scoring.averaged(frame.filter("doc_id < 900").select("text"), shared, scoring.TOKENIZER, 1, 64, 0.01)
-    row = scoring.Model(counts, coder.opens).row[coder([b"quartz"])[0][0]]
-    assert np.abs(seen["s"][row] - half["s"][row]).max() > 0.01
-    assert half["s"][row] == pytest.approx(shared.value[1]["s"][row], abs=1e-5)
+    often = dict(zip(piece.hashes.tolist(), np.bincount(piece.codes).tolist())) | {scoring.END_WORD: 1800}
+    assert dict(map(tuple, words.collect())) == often
+    context = spark.sparkContext
+    moves = scoring.count_moves(pieces, context.broadcast(counts), scoring.TOKENIZER)
+    fresh = scoring.Model(counts, coder.opens, moves)
+    inputs, targets, _, _ = scoring.blocked(stream, sizes, coder.begin)
+    assert moves.ravel().tolist() == fresh.count(inputs, targets).tolist()
+    shared = context.broadcast((counts, moves, fresh.p))
+    seen = scoring.averaged(pieces, shared, scoring.TOKENIZER, 1, 64, 0.01)
+    row = fresh.row[coder([b"quartz"])[0][0]]
+    part = scoring.counted(frame.filter("doc_id < 900").select("text"), scoring.TOKENIZER)[3]
+    half = scoring.averaged(part, shared, scoring.TOKENIZER, 1, 64, 0.01)
+    assert np.abs(seen["e"][row] - half["e"][row]).max() > 0.01
+    assert half["e"][row] == pytest.approx(shared.value[2]["e"][row], abs=1e-5)
+
+
+def test_words_and_their_subwords_by_bytes():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["a", "B", "é", "🙂", " ", "\n", "\t", "\x1f", "\x85", "word", "x" * 5000]) for _ in range(n)) for n in (0, 1, 40, 300, 0, 7)]
+    coder = scoring.Subwords(scoring.TOKENIZER)
+    for _ in range(2):  # the second time from memory
+        piece = scoring.Piece([t.encode() for t in texts])
+        split = [t.encode().lower().split() for t in texts]
+        assert piece.sizes.tolist() == [len(w) for w in split]
+        assert [piece.word(c) for c in piece.codes] == [w for ws in split for w in ws]
+        stream, sizes = scoring.id_streams(piece, coder)
+        wanted = [[*np.concatenate([coder([w])[0] for w in ws] or [[]]).astype(int), coder.end] for ws in split]
+        assert stream.tolist() == [i for ids in wanted for i in ids] and sizes.tolist() == [len(ids) for ids in wanted]
+    swapped = scoring.Piece([b"ab ba aab aba baa a", b"x" * 4097 + b" " + b"x" * 4096 + b"y " + b"y" + b"x" * 4096])
+    assert len(swapped.hashes) == 9
+
+
+def test_every_class_that_counts_has_subwords():
+    """A frequent end is a class of its own and leaves no other empty."""
+    coder = scoring.subwords(scoring.TOKENIZER)
+    counts = np.zeros(coder.size + 2)
+    counts[coder.end] = 1000
+    counts[[5, 6, 7]] = 3, 2, 1
+    model = scoring.Model(counts, coder.opens)
+    used = np.bincount(model.kind[:-1], minlength=scoring.CLASSES) > 0
+    for row in model.s[:3]:
+        assert np.exp(row[used]).sum() == pytest.approx(1, abs=1e-5) and (row[~used] < -1e8).all()
 
 
 def test_more_texts_than_a_sample_are_learned(spark):
