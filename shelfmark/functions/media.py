@@ -62,6 +62,38 @@ def is_broken(content: Column | str) -> Column:
     return ~F.coalesce(whole, F.lit(False))
 
 
+#: Segments of a JPEG that are walked in the JVM; images with more before their frame go on in Python.
+SEGMENTS = 64
+# Markers of a start of frame.
+FRAMES = tuple(k for k in range(0xC0, 0xD0) if k not in (0xC4, 0xC8, 0xCC))
+
+
+def _byte(content: Column, at: Column) -> Column:
+    return F.conv(F.hex(F.substring(content, at + 1, F.lit(1))), 16, 10).try_cast("int")
+
+
+def _pair(content: Column, at: Column) -> Column:
+    return F.conv(F.hex(F.substring(content, at + 1, F.lit(2))), 16, 10).try_cast("int")
+
+
+def jpeg_walk(content: Column) -> Column:
+    """struct(at, open, width, height) after up to SEGMENTS segments; ``open`` tells that the walk is not over."""
+    start = F.struct(F.lit(2).alias("at"), F.lit(True).alias("open"), F.lit(0).alias("width"), F.lit(0).alias("height"))
+
+    def step(state: Column, _: Column) -> Column:
+        at, kind = state["at"], _byte(content, state["at"] + 1)
+        here = state["open"] & (at + 9 <= F.octet_length(content)) & (_byte(content, at) == 0xFF)
+        frame = here & kind.isin(*FRAMES)
+        after = F.when(kind == 0xFF, at + 1).otherwise(at + 2 + _pair(content, at + 2))
+        return F.struct(
+            F.when(here, after).otherwise(at).alias("at"), (here & ~frame).alias("open"),
+            F.when(frame, _pair(content, at + 7)).otherwise(state["width"]).alias("width"),
+            F.when(frame, _pair(content, at + 5)).otherwise(state["height"]).alias("height"),
+        )
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SEGMENTS)), start, step)
+
+
 def jpeg_size(content: bytes) -> tuple[int, int]:
     """Width and height from the first start-of-frame segment of a JPEG, (0, 0) if there is none."""
     at, end = 2, len(content)
@@ -69,11 +101,11 @@ def jpeg_size(content: bytes) -> tuple[int, int]:
         kind = content[at + 1]
         if kind == 0xFF:
             at += 1
-            continue
-        if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+        elif kind in FRAMES:
             height, width = content[at + 5 : at + 7], content[at + 7 : at + 9]
             return int.from_bytes(width, "big"), int.from_bytes(height, "big")
-        at += 2 + int.from_bytes(content[at + 2 : at + 4], "big")
+        else:
+            at += 2 + int.from_bytes(content[at + 2 : at + 4], "big")
     return 0, 0
 
 
@@ -85,8 +117,8 @@ def _jpeg_sizes(content: pd.Series) -> pd.DataFrame:
 def header_size(content: Column | str, with_jpeg: bool = True) -> Column:
     """struct(width, height) from the header bytes; (0, 0) when unreadable.
 
-    Formats with a fixed header are read natively. JPEG needs a walk over its segments and is the
-    only one that sees Python; ``with_jpeg=False`` leaves it out.
+    All are read in the JVM. A JPEG needs a walk over its segments; the bytes of one go to Python only where that
+    walk is not over after SEGMENTS of them. ``with_jpeg=False`` leaves JPEG out.
     """
     c = F.col(content) if isinstance(content, str) else content
 
@@ -121,6 +153,9 @@ def header_size(content: Column | str, with_jpeg: bool = True) -> Column:
         .when(is_webp(c) & (F.octet_length(c) >= 30), webp)
     )
     if with_jpeg:
-        walk = F.pandas_udf(_jpeg_sizes, "struct<width: bigint, height: bigint>")
-        sized = sized.when(is_jpeg(c), walk(F.when(is_jpeg(c), c)))
+        found = jpeg_walk(c)
+        rest = F.pandas_udf(_jpeg_sizes, "struct<width: bigint, height: bigint>")
+        far = is_jpeg(c) & found["open"]
+        sized = sized.when(far, rest(F.when(far, c)))
+        sized = sized.when(is_jpeg(c), pair(found["width"].cast("bigint"), found["height"].cast("bigint")))
     return sized.otherwise(pair(zero, zero))

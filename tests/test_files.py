@@ -82,6 +82,21 @@ def test_headers_and_broken(spark, tree):
     assert [tuple(r.s) + (r.b,) for r in other.select(media.header_size("c").alias("s"), media.is_broken("c").alias("b")).collect()] == [(0, 0, True)] * 3
 
 
+def test_jpeg_sizes_in_the_jvm_and_beyond(spark):
+    frame = lambda w, h: b"\xff\xc0\x00\x0b\x08" + struct.pack(">HH", h, w) + b"\x01\x01\x11\x00"
+    segment = b"\xff\xe1\x00\x05abc"
+    table = b"\xff\xc4\x00\x04ab"
+    images = [
+        b"\xff\xd8" + segment * n + filler + table + frame(300 + n, 200) + b"\xff\xd9" for n in (0, 1, 5, 61, 62, 63, 64, 200) for filler in (b"", b"\xff\xff\xff")
+    ] + [b"\xff\xd8\xff", b"\xff\xd8" + segment, b"\xff\xd8" + segment + b"junk" * 9, b"\xff\xd8\xff\xe1\xff\xffshort", b"\xff\xd8" + frame(1, 2)[:8]]
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(images)], "i int, c binary")
+    got = {r[0]: (r[1]["width"], r[1]["height"]) for r in df.select("i", media.header_size("c")).collect()}
+    assert got == {i: media.jpeg_size(b) for i, b in enumerate(images)}
+    assert sum(w > 0 for w, _ in got.values()) == 16
+    sent = df.select(F.sum((media.is_jpeg(F.col("c")) & media.jpeg_walk(F.col("c"))["open"]).cast("int"))).first()[0]
+    assert 0 < sent < 9
+
+
 def test_scan_metadata(spark, tmp_path):
     docs = {
         "7_a": '{"album_id": 7, "title": "t", "model_name": "n", "tags": ["x"], "girl_id": 3, "image_count": 2}',
