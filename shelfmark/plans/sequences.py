@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from shelfmark.constants import DEFAULT_SEQUENCE_TEXT, LETTERS, SEQUENCE_TEXT
 from shelfmark.functions.vectors import letter_counts, normalised
-from shelfmark.operators import quality, sequence
+from shelfmark.operators import prints, quality, sequence
 from shelfmark.plans import bindings as B
 from shelfmark.sources.packed import write_documents
 from shelfmark.storage import new_folder, stage
 
 GROUP = ["collection_id"]
 KEY = ["item_id"]
+#: Bits within which texts are near: made-up near copies differ in a few words.
+WITHIN = 6
 
 
 def flags(spark, sf_dir, hash_column="lang", abrupt=0.85) -> DataFrame:
@@ -45,6 +47,30 @@ def item_fingerprint(spark, sf_dir):
     return B.items(spark, sf_dir).select("item_id", sequence.fingerprint(F.col("text")).alias("fingerprint"))
 
 
+def _prints(spark, sf_dir):
+    return prints.item_prints(B.items(spark, sf_dir), "item_id", "text")
+
+
+def item_prints(spark, sf_dir):
+    """Fingerprint of every item, and the first item that has the same."""
+    return prints.representatives(_prints(spark, sf_dir), "item_id").withColumn("print", F.lower(F.lpad(F.hex("print"), 16, "0")))
+
+
+def print_pairs(spark, sf_dir):
+    return prints.print_pairs(stage(_prints(spark, sf_dir), "prints"), "item_id", WITHIN)
+
+
+def near_copies(spark, sf_dir):
+    return prints.near_copies(stage(_prints(spark, sf_dir), "prints"), "item_id", WITHIN)
+
+
+def seq_print_change(spark, sf_dir):
+    """Neighbours in a collection that are more than half the bits apart count as changes."""
+    rows = B.items(spark, sf_dir).select("collection_id", "item_id")
+    marked = stage(rows.join(_prints(spark, sf_dir), "item_id", "left"), "item-prints")
+    return prints.print_changes(marked, ["collection_id"], [F.col("item_id")], "item_id", 20)
+
+
 def seq_index(spark, sf_dir):
     """Stems of three kinds: padded numbers, plain numbers and text."""
     stem = F.expr("CASE item_id % 3 WHEN 0 THEN stem WHEN 1 THEN cast(item_id * 7 % 100 AS string) ELSE concat('a', item_id) END")
@@ -135,6 +161,10 @@ def export_results(spark, sf_dir):
 QUERIES = {
     "text_histogram": text_histogram,
     "item_fingerprint": item_fingerprint,
+    "item_prints": item_prints,
+    "print_pairs": print_pairs,
+    "near_copies": near_copies,
+    "seq_print_change": seq_print_change,
     "seq_index": seq_index,
     "seq_adjacent_sim": seq_adjacent_sim,
     "seq_abrupt": seq_abrupt,
@@ -212,12 +242,37 @@ _summary = B.cte(B.ITEMS, FLAGGED, SUMMARIES)
 _STEMS = """stems AS (
   SELECT collection_id, item_id, CASE item_id % 3 WHEN 0 THEN stem WHEN 1 THEN CAST(item_id * 7 % 100 AS VARCHAR) ELSE 'a' || item_id END AS stem FROM items)"""
 
+def _half(column: str) -> str:
+    return " + ".join(f"CASE WHEN 2 * sum(({column} >> {b}) & 1) > count(*) THEN {1 << b} ELSE 0 END" for b in range(32))
+
+
+_PRINTS = f"""words AS (
+  SELECT item_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS hi, CAST('0x' || substr(md5(w), 9, 8) AS BIGINT) AS lo
+  FROM (SELECT item_id, unnest(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS w FROM items) WHERE w <> ''),
+prints AS (SELECT item_id, CAST({_half("hi")} AS BIGINT) AS p, CAST({_half("lo")} AS BIGINT) AS q FROM words GROUP BY item_id),
+firsts AS (SELECT p, q, min(item_id) AS item_id FROM prints GROUP BY p, q),
+near AS (
+  SELECT a.item_id AS a, b.item_id AS b, bit_count(xor(a.p, b.p)) + bit_count(xor(a.q, b.q)) AS distance FROM firsts a JOIN firsts b ON a.item_id < b.item_id
+  WHERE bit_count(xor(a.p, b.p)) + bit_count(xor(a.q, b.q)) <= {WITHIN})"""
+_prints_sql = B.cte(B.ITEMS, _PRINTS)
+
 ORACLE = {
     "text_histogram": B.cte(B.ITEMS)
     + f"""SELECT item_id, array_to_string(list_transform(h, lambda x: CAST(x AS BIGINT)), ',') AS counts,
           round(h[5] / (list_sum(h) + 1e-7), 9) AS share_e, round(h[27] / (list_sum(h) + 1e-7), 9) AS share_accent
           FROM (SELECT item_id, {HIST} AS h FROM items)""",
     "item_fingerprint": B.cte(B.ITEMS) + f"SELECT item_id, {PRINT} AS fingerprint FROM items",
+    "item_prints": _prints_sql
+    + "SELECT i.item_id, f.item_id AS representative, printf('%08x%08x', i.p, i.q) AS print FROM prints i JOIN firsts f USING (p, q)",
+    "print_pairs": _prints_sql + "SELECT a, b, CAST(distance AS INTEGER) AS distance FROM near",
+    "near_copies": _prints_sql
+    + """SELECT i.item_id, coalesce(n.a, CASE WHEN i.item_id <> f.item_id THEN f.item_id END) AS near
+         FROM prints i JOIN firsts f USING (p, q) LEFT JOIN (SELECT b, min(a) AS a FROM near GROUP BY b) n ON n.b = f.item_id
+         WHERE n.a IS NOT NULL OR i.item_id <> f.item_id""",
+    "seq_print_change": _prints_sql
+    + """SELECT collection_id, item_id, idx, CAST(distance AS INTEGER) AS distance, idx = 0 OR coalesce(distance > 20, FALSE) AS change FROM (
+           SELECT collection_id, item_id, row_number() OVER w - 1 AS idx, bit_count(xor(p, lag(p) OVER w)) + bit_count(xor(q, lag(q) OVER w)) AS distance
+           FROM items LEFT JOIN prints USING (item_id) WINDOW w AS (PARTITION BY collection_id ORDER BY item_id))""",
     "seq_index": B.cte(B.ITEMS, _STEMS)
     + """SELECT collection_id, item_id, stem, row_number() OVER (PARTITION BY collection_id ORDER BY
            NOT regexp_full_match(stem, '[0-9]+'), CASE WHEN regexp_full_match(stem, '[0-9]+') THEN CAST(stem AS BIGINT) END, stem, item_id) - 1 AS idx
