@@ -9,6 +9,8 @@ from shelfmark.operators import labels as L
 from shelfmark.plans import bindings as B
 from shelfmark.plans.sequences import FLAGGED, SUMMARIES, summaries
 from shelfmark.sources.files import explode_item_labels
+from shelfmark.sources.open_labels import edit_fields, open_fields, scan_open_labels, write_open_labels
+from shelfmark.storage import new_folder
 from shelfmark.streaming.keyed import keyed_label_state as run_keyed
 from shelfmark.streaming.labels import read_table_stream, stream_label_state as run_state, stream_todo as run_todo_list
 
@@ -50,6 +52,26 @@ def label_upsert(spark, sf_dir):
     return L.upsert_missing(old, new, ["collection_id", "stem"])
 
 
+def open_labels(spark, sf_dir):
+    """Label documents with fields that no schema names: written, scanned, edited field by field, written and scanned again."""
+    items = B.items(spark, sf_dir).filter("collection_id is not null")
+    named = items.select(
+        "collection_id", "stem", F.inline(F.array(
+            F.struct(F.lit("written in").alias("field"), F.to_json(F.array("lang")).alias("value")),
+            F.struct(F.lit("size").alias("field"), F.col("bytes").cast("string").alias("value")),
+        ))
+    )
+    own = items.groupBy("collection_id").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    fields = named.unionByName(own.select("collection_id", F.lit(None).cast("string").alias("stem"), F.lit("members").alias("field"), "value"))
+    edits = items.filter("item_id % 3 = 0").select(
+        "collection_id", "stem", F.to_json(F.struct((F.col("item_id") % 9).alias("score"), F.lit(0).alias("size"))).alias("document"), F.col("item_id").alias("seq")
+    )
+    first, second = new_folder(spark, "open-labels"), new_folder(spark, "open-labels")
+    write_open_labels(fields, first)
+    write_open_labels(edit_fields(open_fields(scan_open_labels(spark, first)), edits), second)
+    return open_fields(scan_open_labels(spark, second))
+
+
 def stream_label_state(spark, sf_dir):
     schema = B.table(spark, sf_dir, "events").schema
     events = read_table_stream(spark, sf_dir, "events.parquet", schema)
@@ -75,6 +97,7 @@ QUERIES = {
     "label_merge_replace": label_merge_replace,
     "text_merge": text_merge,
     "label_upsert": label_upsert,
+    "open_labels": open_labels,
     "stream_label_state": stream_label_state,
     "keyed_label_state": keyed_label_state,
     "stream_todo": stream_todo,
@@ -100,6 +123,11 @@ ORACLE = {
     "label_upsert": B.cte(B.ITEMS, B.ITEM_LABELS)
     + """SELECT collection_id, stem, ai_score, ai_reason FROM item_labels
          UNION ALL SELECT collection_id, stem, 5, 'new' FROM items WHERE item_id NOT IN (SELECT doc_id FROM labels)""",
+    "open_labels": B.cte(B.ITEMS)
+    + """SELECT collection_id, stem, 'written in' AS field, '["' || lang || '"]' AS value FROM items WHERE collection_id IS NOT NULL
+         UNION ALL SELECT collection_id, stem, 'size', CASE WHEN item_id % 3 = 0 THEN '0' ELSE CAST(bytes AS VARCHAR) END FROM items WHERE collection_id IS NOT NULL
+         UNION ALL SELECT collection_id, stem, 'score', CAST(item_id % 9 AS VARCHAR) FROM items WHERE item_id % 3 = 0 AND collection_id IS NOT NULL
+         UNION ALL SELECT collection_id, NULL, 'members', CAST(count(*) AS VARCHAR) FROM items WHERE collection_id IS NOT NULL GROUP BY collection_id""",
     "stream_label_state": _KEEP,
     "keyed_label_state": _KEEP,
     "stream_todo": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality <> 0)",
