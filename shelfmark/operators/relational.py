@@ -27,6 +27,11 @@ def pack_rows(items: DataFrame, collections: DataFrame, labels: DataFrame, hot_r
     joined = attach(
         items.withColumn("collection_id", as_id), attributes, ["collection_id"], ["file_name"], "inner", hot_rows
     )
+    return packed_columns(joined)
+
+
+def packed_columns(joined: DataFrame) -> DataFrame:
+    """The packed row of an item beside its collection and label."""
     empty = F.lit("")
     return joined.select(
         "item_id",

@@ -11,6 +11,7 @@ from shelfmark.functions import text as T
 from shelfmark.operators import packing, relational
 from shelfmark.plans import bindings as B
 from shelfmark.sources import files
+from shelfmark.sources.buckets import pack_from_buckets, write_pack_buckets
 from shelfmark.sources.creators import append_creators, load_creators
 from shelfmark.schemas import LABEL_DOCUMENT, PACKED
 from shelfmark.sources.packed import write_documents, write_files, write_label_documents, write_sidecar
@@ -44,6 +45,12 @@ def pack_rows(spark, sf_dir):
     return _tags_joined(_packed(spark, sf_dir))
 
 
+def pack_buckets(spark, sf_dir):
+    """The packed rows from buckets of the collection; a collection of more than 40 items is spread over several."""
+    tables = write_pack_buckets(_image_items(spark, sf_dir), B.collections(spark, sf_dir), B.collection_labels(spark, sf_dir), 8, 40)
+    return _tags_joined(pack_from_buckets(spark, tables))
+
+
 def pack_item_labels(spark, sf_dir):
     return _packed_labeled(spark, sf_dir).select("album_id", "item_id", "ai_score", "ai_reason", "album_score")
 
@@ -342,6 +349,7 @@ def scan_labels(spark, sf_dir):
 
 QUERIES = {
     "pack_rows": pack_rows,
+    "pack_buckets": pack_buckets,
     "pack_item_labels": pack_item_labels,
     "packed_head": packed_head,
     "labeled": labeled,
@@ -422,6 +430,7 @@ _balanced_sql = B.cte(B.ITEMS, _SHUFFLED, _BALANCED)
 
 ORACLE = {
     "pack_rows": _packed_sql + "SELECT * FROM packed",
+    "pack_buckets": _packed_sql + "SELECT * FROM packed",
     "pack_item_labels": _labeled_sql + "SELECT album_id, item_id, ai_score, ai_reason, album_score FROM packed_labeled",
     "packed_head": _packed_sql
     + "SELECT file_name, title, model_name, tags, album_id, album_score, ai_score, has_face FROM packed ORDER BY album_id, file_name, item_id LIMIT 100",

@@ -39,3 +39,9 @@ def test_bytes_are_not_read_by_the_item_scan(spark, sf_dir):
 def test_page_expressions_do_not_shuffle(spark, sf_dir):
     for name in ("page_title", "page_tags", "page_media_urls", "verdict_parse", "rubric_sub_score", "fenced_json"):
         assert "Exchange" not in plan_of(catalog.QUERIES[name](spark, sf_dir)), name
+
+
+def test_packing_from_buckets_moves_nothing(spark, sf_dir):
+    plan = plan_of(catalog.QUERIES["pack_buckets"](spark, sf_dir))
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    assert len(set(re.findall(r"SelectedBucketsCount: (\d+ out of \d+)", plan))) == 1
