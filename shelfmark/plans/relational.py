@@ -14,6 +14,7 @@ from shelfmark.sources import files
 from shelfmark.sources.buckets import pack_from_buckets, write_pack_buckets
 from shelfmark.sources.creators import append_creators, load_creators
 from shelfmark.schemas import LABEL_DOCUMENT, PACKED
+from shelfmark.sources.lookup import look_up, write_lookup
 from shelfmark.sources.packed import write_documents, write_files, write_label_documents, write_sidecar
 from shelfmark.sources.publish import publish_shards, read_published
 from shelfmark.storage import new_folder, stage
@@ -104,6 +105,13 @@ def collection_lookup(spark, sf_dir):
     return relational.lookup(info, "src7").unionByName(relational.lookup(info, "no such collection"))
 
 
+def point_lookup(spark, sf_dir):
+    """The same from a table that is written for lookups."""
+    path = new_folder(spark, "lookup")
+    write_lookup(collection_info(spark, sf_dir), path)
+    return look_up(spark, path, "src7").unionByName(look_up(spark, path, "no such collection"))
+
+
 def name_backfill(spark, sf_dir):
     """Names go through the stored lookup: a first batch, and a second one that may not replace it."""
     path, known = new_folder(spark, "creators"), B.creators(spark, sf_dir)
@@ -357,6 +365,7 @@ QUERIES = {
     "collection_info": collection_info,
     "summary": summary,
     "collection_lookup": collection_lookup,
+    "point_lookup": point_lookup,
     "name_backfill": name_backfill,
     "missing_names": missing_names,
     "completeness": completeness,
@@ -516,3 +525,4 @@ ORACLE = {
     + """SELECT collection_id, album_score, album_reason AS notes, text_en, has_face
          FROM collection_labels WHERE collection_id % 7 <> 3""",
 }
+ORACLE["point_lookup"] = ORACLE["collection_lookup"]

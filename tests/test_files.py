@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfmark.constants import BROWSE_EXTENSIONS
 from shelfmark.functions import media
 from shelfmark.operators import packing
-from shelfmark.sources import config, creators, files, packed, publish
+from shelfmark.sources import config, creators, files, lookup, packed, publish
 
 
 def png(width, height):
@@ -220,6 +220,27 @@ def test_folders_are_not_written_by_every_task(spark, tmp_path):
     assert len(parts) == 5 and spark.read.json(str(tmp_path / "d")).count() == 2000
 
 
+def rows_read(df):
+    """Rows that the file scans of ``df`` hand on when it runs, before any filter: what row groups and pages leave over."""
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.executeCollect()
+    final = executed.executedPlan() if executed.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else executed
+    leaves = final.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_lookup_skips_row_groups(spark, tmp_path):
+    path = str(tmp_path / "names")
+    names = spark.range(0, 200_000, 1, 8).select(F.format_string("name-%06d", F.col("id") * 2).alias("name"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    lookup.write_lookup(names, path, files=4, group_bytes=1 << 18)
+    found = spark.read.parquet(path).filter("name = 'name-123456'")
+    assert found.count() == 1 and 0 < rows_read(found) < 30_000
+    # Within every range, but in no filter.
+    assert rows_read(spark.read.parquet(path).filter("name = 'name-123457'")) == 0
+    assert [r["found"] for r in lookup.look_up(spark, path, "name-000004").collect()] == [True]
+    assert [(r["name"], r["found"]) for r in lookup.look_up(spark, path, "nobody").collect()] == [("nobody", False)]
+
+
 def test_missing_payload_is_null(spark):
     df = spark.createDataFrame([("file:/no/such/file.png", 1), (None, 2)], "image string, k int")
     assert [(r.image.bytes, r.k) for r in packed.load_images(df).collect()] == [(None, 1), (None, 2)]
