@@ -10,7 +10,7 @@ from shelfmark.constants import CONTENT_TYPES
 from shelfmark.functions import text as T
 from shelfmark.operators import packing, relational
 from shelfmark.plans import bindings as B
-from shelfmark.sources import files
+from shelfmark.sources import files, listing
 from shelfmark.sources.buckets import pack_from_buckets, write_pack_buckets
 from shelfmark.sources.creators import append_creators, load_creators
 from shelfmark.schemas import LABEL_DOCUMENT, PACKED
@@ -316,11 +316,22 @@ def scan_items(spark, sf_dir):
         F.col("collection_id").alias("c"), F.concat_ws(" ", F.col("item_id").cast("string"), F.col("bytes").cast("string")).alias("value")
     )
     path = new_folder(spark, "items")
-    lines.write.partitionBy("c").text(path)
+    lines.hint("rebalance", "c").write.partitionBy("c").text(path)
     found = files.scan_items(spark, path, (".txt",))
     return found.groupBy("folder", "extension").agg(F.sum("bytes").alias("bytes"))
 
 
+def list_items(spark, sf_dir):
+    """The same folders, listed by tasks."""
+    lines = B.items(spark, sf_dir).select(
+        F.col("collection_id").alias("c"), F.concat_ws(" ", F.col("item_id").cast("string"), F.col("bytes").cast("string")).alias("value")
+    )
+    path = new_folder(spark, "items")
+    lines.hint("rebalance", "c").write.partitionBy("c").text(path)
+    found = listing.list_items(spark, path, (".txt",))
+    return found.groupBy("folder", "extension").agg(F.sum("bytes").alias("bytes"))
+
+
 def scan_metadata(spark, sf_dir):
     """Write one metadata document per collection folder and scan the folders."""
     docs = B.collections(spark, sf_dir).selectExpr(
@@ -394,6 +405,7 @@ QUERIES = {
     "unpack_item_labels": unpack_item_labels,
     "label_documents": label_documents,
     "scan_items": scan_items,
+    "list_items": list_items,
     "scan_metadata": scan_metadata,
     "scan_labels": scan_labels,
 }
@@ -525,4 +537,5 @@ ORACLE = {
     + """SELECT collection_id, album_score, album_reason AS notes, text_en, has_face
          FROM collection_labels WHERE collection_id % 7 <> 3""",
 }
+ORACLE["list_items"] = ORACLE["scan_items"]
 ORACLE["point_lookup"] = ORACLE["collection_lookup"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfmark.constants import BROWSE_EXTENSIONS
 from shelfmark.functions import media
 from shelfmark.operators import packing
-from shelfmark.sources import config, creators, files, lookup, packed, publish
+from shelfmark.sources import config, creators, files, listing, lookup, packed, publish
 
 
 def png(width, height):
@@ -82,6 +82,20 @@ def test_headers_and_broken(spark, tree):
     assert [tuple(r.s) + (r.b,) for r in other.select(media.header_size("c").alias("s"), media.is_broken("c").alias("b")).collect()] == [(0, 0, True)] * 3
 
 
+def test_listing_by_tasks_finds_what_the_scan_finds(spark, tree, monkeypatch):
+    (tree / "7_a" / "deep" / "er").mkdir(parents=True)
+    (tree / "7_a" / "deep" / "er" / "é 1.PNG").write_bytes(b"12345")
+    (tree / "_temporary").mkdir()
+    (tree / "_temporary" / "5.png").write_bytes(b"1")
+    monkeypatch.setattr(listing, "ENTRIES", 2)
+    for root in (str(tree), f"file://{tree}/"):
+        listed = listing.list_items(spark, root, BROWSE_EXTENSIONS, tasks=3)
+        scanned = files.scan_items(spark, root, BROWSE_EXTENSIONS)
+        assert listed.columns == scanned.columns
+        assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, scanned.collect())) and listed.count() == 7
+    assert listing.list_items(spark, str(tree / "none")).count() == 0
+
+
 def test_jpeg_sizes_in_the_jvm_and_beyond(spark):
     frame = lambda w, h: b"\xff\xc0\x00\x0b\x08" + struct.pack(">HH", h, w) + b"\x01\x01\x11\x00"
     segment = b"\xff\xe1\x00\x05abc"
