@@ -50,7 +50,7 @@ def curate(
     out = packing.assign_shards(kept, target_mb, span=span)
     if run_sequence:
         flags = sequence.sequence_flags(
-            features.select("collection_id", "item_id", "hash", "hist"), group, key, [F.col("item_id")], span=span
+            features.select("collection_id", "item_id", "hash", "hist"), group, key, [F.col("item_id")], span=span, biggest=biggest
         )
         gates = sequence.sequence_gates(features, group)
         analyzed = gates.filter(F.col("status") == "analyzed").select("collection_id", F.lit(True).alias("_ok"))

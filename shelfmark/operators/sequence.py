@@ -42,6 +42,7 @@ def sequence_flags(
     lookback: int = SUSTAINED_WINDOW,
     span: int = SPAN,
     narrow: DataFrame | None = None,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Per item: similarity to the one before and the three change flags.
 
@@ -72,7 +73,7 @@ def sequence_flags(
             .drop("_h", "_h0", "_norm", "_norm0")
         )
 
-    return windowed(ready, group, order, key, lookback, build, span, narrow)
+    return windowed(ready, group, order, key, lookback, build, span, narrow, biggest)
 
 
 def sequence_type(

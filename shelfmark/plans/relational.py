@@ -217,8 +217,8 @@ def smoke_shard(spark, sf_dir):
     return packing.smoke_shard(packing.assign_shards(_sized(spark, sf_dir), TARGET_MB)).select("item_id", "position")
 
 
-def _written(spark, sf_dir, payload: bool = False) -> DataFrame:
-    """The packed rows published in shards, in the documented columns and their order, and read back."""
+def _written(spark, sf_dir, payload: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The packed rows published in shards, in the documented columns and their order, and read back; and each item's position."""
     assigned = packing.name_shards(packing.balance_shards(_sized(spark, sf_dir), TARGET_MB))
     assigned = stage(assigned.select("item_id", "position", "bytes", "file", "shard"), "assigned")
     shards = (assigned.agg(F.max("shard")).first()[0] or 0) + 1
@@ -235,12 +235,12 @@ def _written(spark, sf_dir, payload: bool = False) -> DataFrame:
     # Rows of a collection differ in their title, so that it matters which one is first.
     rows = rows.withColumn("title", F.concat_ws(" #", "title", (F.col("item_id") % 3).cast("string")))
     publish_shards(rows.withColumn("image", image).select(*columns, "file", "position"), path, manifest, shards=shards)
-    return read_published(spark, path)
+    return read_published(spark, path), assigned.select("item_id", "position")
 
 
 def write_shards_back(spark, sf_dir):
     """Write the packed rows with their payload, read the set back and look at the payload of every row."""
-    return _written(spark, sf_dir, payload=True).select(
+    return _written(spark, sf_dir, payload=True)[0].select(
         "album_id", "file_name", "title", F.md5("image.bytes").alias("payload_md5"), F.octet_length("image.bytes").cast("bigint").alias("bytes")
     )
 
@@ -279,9 +279,9 @@ def sidecar_rows(spark, sf_dir):
 def _read_back(spark, sf_dir) -> DataFrame:
     """The written set with each row's id and place; its narrow columns are staged, as they are used often."""
     item = F.regexp_extract("file_name", r"^(\d+)", 1).cast("bigint")
-    back = _written(spark, sf_dir).select("album_id", "file_name", "title", "model_name", "tags", item.alias("item_id"))
-    order = relational.shuffle_order(B.items(spark, sf_dir)).select("item_id", "position")
-    return stage(back.join(order, "item_id"), "read-back")
+    back, order = _written(spark, sf_dir)
+    rows = back.select("album_id", "file_name", "title", "model_name", "tags", item.alias("item_id"))
+    return stage(rows.join(order, "item_id"), "read-back")
 
 
 def unpack_collections(spark, sf_dir):

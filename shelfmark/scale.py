@@ -163,6 +163,7 @@ def windowed(
     build: Callable[[DataFrame, WindowSpec], DataFrame],
     span: int = SPAN,
     narrow: DataFrame | None = None,
+    biggest: int | None = None,
 ) -> DataFrame:
     """Apply ``build(df, window)`` to every group in order; ``idx`` holds the position.
 
@@ -170,11 +171,11 @@ def windowed(
     If any group is larger, only its keys are sorted globally, and the rows are windowed in chunks
     of ``span`` positions, each repeating the last ``halo`` rows of the chunk before. ``narrow``
     names a frame with the same rows but only the group, key and order columns, for when ``df``
-    has columns that are costly to compute.
+    has columns that are costly to compute; ``biggest`` is the largest group where the caller knows it.
     """
     group, key = list(group), list(key)
     narrow = df if narrow is None else narrow
-    if largest_group(narrow, group) <= span:
+    if (largest_group(narrow, group) if biggest is None else biggest) <= span:
         window = Window.partitionBy(*group).orderBy(*order)
         return build(df.withColumn("idx", (F.row_number().over(window) - 1).cast("bigint")), window)
     # Keep only what the order needs, so that wide columns stay out of the global sort.
