@@ -21,6 +21,8 @@ from shelfmark.storage import new_folder
 #: Fields of a label with the column that tells whether an edit supplies it.
 FIELDS = {"score": "score_set", "tags": "tags_set", "notes": "notes_set", "images": "images_set"}
 SEEN = "seen"
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def supplied(edits: DataFrame) -> DataFrame:
@@ -125,11 +127,17 @@ def run_keyed_state(
         LabelFold(key, types, keep_ms), out, "Append" if expired else "Update", "EventTime" if keep_ms is not None else "None"
     )
     writer = folded.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if expired:
-        query = writer.outputMode("append").format("parquet").option("path", expired).start()
-    else:
-        query = writer.outputMode("update").format("noop").start()
-    query.awaitTermination()
+    conf = edits.sparkSession.conf
+    provider = conf.get(PROVIDER_KEY)
+    conf.set(PROVIDER_KEY, PROVIDER)  # the only one that keeps several values a key; the checkpoint remembers it
+    try:
+        if expired:
+            query = writer.outputMode("append").format("parquet").option("path", expired).start()
+        else:
+            query = writer.outputMode("update").format("noop").start()
+        query.awaitTermination()
+    finally:
+        conf.set(PROVIDER_KEY, provider)
 
 
 def read_keyed_state(spark: SparkSession, checkpoint: str, key: Sequence[str], types: dict[str, T.DataType]) -> DataFrame:
