@@ -2,7 +2,8 @@
 
 Rows of a group are taken in order; a row joins the earliest leader at least ``threshold`` similar
 to it, else it becomes a leader. Only row-to-leader similarities are ever computed, and no task
-holds more than ``span`` rows of a group plus ``batch`` leaders. An item may have any number of
+holds more than ``chunk`` rows of a group plus ``batch`` leaders. Leaders whose angles to a few pivots are too
+different from a row's are left out by the triangle inequality. An item may have any number of
 vectors, each a row of its own; null vectors take no part, and a null group is a group.
 """
 
@@ -23,6 +24,8 @@ CHUNK = 50_000
 _BLOCK = 1024
 #: Products this near the threshold are computed again by the one kernel that decides.
 _NEAR = 1e-9
+#: Leaders whose angles to all rows and leaders are taken, and the error of an angle (of arccos near 1).
+PIVOTS, _NEAR_ANGLE = 8, 1e-6
 
 
 def _matrix(column):
@@ -87,6 +90,47 @@ def _decide_batch(threshold: float):
     return decide
 
 
+def _angles(x, pivots):
+    import numpy as np
+
+    return np.arccos(np.clip(x @ pivots.T, -1.0, 1.0))
+
+
+def _pivots(seeds):
+    """A few leaders far from each other: the first, then always the one farthest from those before."""
+    import numpy as np
+
+    chosen, nearest = [0], _angles(seeds, seeds[:1])[:, 0]
+    while len(chosen) < min(PIVOTS, len(seeds)):
+        chosen.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, _angles(seeds, seeds[chosen[-1:]])[:, 0])
+    return seeds[chosen]
+
+
+def _blocks(x, seeds, threshold: float):
+    """(rows, leaders): blocks of rows that are near each other, with the leaders that may fit one of them, ascending.
+
+    Of unit vectors within an angle of each other, the angles to any pivot differ by no more than that; so leaders
+    outside the block's range of angles, widened by the threshold's angle, need no product.
+    """
+    import numpy as np
+
+    every = np.arange(len(seeds))
+    if threshold <= 0 or len(seeds) <= PIVOTS:  # a zero vector has no angle, and fits where the threshold is not positive
+        yield from ((np.arange(at, min(at + _BLOCK, len(x))), every) for at in range(0, len(x), _BLOCK))
+        return
+    pivots = _pivots(seeds)
+    of_rows, of_seeds = _angles(x, pivots), _angles(seeds, pivots)
+    wide = np.arccos(min(threshold, 1.0)) + _NEAR_ANGLE
+    # Rows by their nearest pivot and the angle to it, so that blocks are narrow.
+    near = of_rows.argmin(axis=1)
+    order = np.lexsort((of_rows[np.arange(len(x)), near], near))
+    for at in range(0, len(x), _BLOCK):
+        rows = order[at : at + _BLOCK]
+        low, high = of_rows[rows].min(axis=0) - wide, of_rows[rows].max(axis=0) + wide
+        yield rows, np.flatnonzero(((of_seeds >= low) & (of_seeds <= high)).all(axis=1))
+
+
 def _match_leaders(threshold: float):
     """Earliest fitting leader of each row of one chunk, if any."""
 
@@ -100,13 +144,14 @@ def _match_leaders(threshold: float):
             leaders = leaders.sort_by("idx")
             seeds, seed_idx = _matrix(leaders.column("vec")), leaders.column("idx").to_numpy()
             x = _matrix(rows.column("vec"))
-            for start in range(0, n, _BLOCK):
-                part = x[start : start + _BLOCK]
-                fits = _fits(part @ seeds.T, part, seeds, threshold)
-                first = fits.argmax(axis=1)
-                at = np.flatnonzero(fits[np.arange(len(first)), first])
-                found[start + at] = seed_idx[first[at]]
-                sim[start + at] = _dot(part[at], seeds[first[at]])
+            for own, near in _blocks(x, seeds, threshold):
+                if len(near):
+                    part, some = x[own], seeds[near]
+                    fits = _fits(part @ some.T, part, some, threshold)
+                    first = fits.argmax(axis=1)
+                    at = np.flatnonzero(fits[np.arange(len(first)), first])
+                    found[own[at]] = seed_idx[near[first[at]]]
+                    sim[own[at]] = _dot(part[at], some[first[at]])
         return _with_leader(rows, found, sim)
 
     return match
