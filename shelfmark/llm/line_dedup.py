@@ -15,8 +15,9 @@ on. Near lines are found by deletion keys, over as little of a line as can hold
 A key needs its earliest line only, not its pairs: whoever shares a key with an earlier line has a witness for going.
 The witness is verified on the whole texts: without the characters at the place of the edit they are equal.
 
-Data movement: narrow rows per line; lines cross the network as text only to fetch those that share a half. A written
-table goes when the next one is written. The bound is one edit, for which the method has a key per character.
+Data movement: texts cross the network once, into buckets of the row's number, where both the lines that share a half
+and the places that go are joined to them; otherwise narrow rows per line do. A written table goes when the next one is
+written. The bound is one edit, for which the method has a key per character.
 
 Defined results: a line is what newlines part; empty lines always stay; all others are compared, whatever their length,
 so any two lines of one character are within one edit; a line goes for any earlier line within the bound, even one that
@@ -32,20 +33,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import doc_key, id_of, stage, text_hash
+from shelfmark.sources.buckets import write_bucketed
 from shelfmark.storage import discard
 
 #: Characters of a part that emits its variants.
 PART = 32
 
 
-def _split(docs: DataFrame, text_col: str) -> Column:
-    return F.split(F.coalesce(docs[text_col].cast("string"), F.lit("")), "\n")
+def numbered_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(rid, d, h, lines) of every row, in buckets of the row's number ``rid``."""
+    spark = docs.sparkSession
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("rid"), doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"),
+        F.split(F.coalesce(docs[text_col].cast("string"), F.lit("")), "\n").alias("lines"),
+    )
+    return spark.table(write_bucketed(rows, ["rid"], int(spark.conf.get("spark.sql.shuffle.partitions")), "lines"))
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, h, i, line): all lines that are not empty, with their place."""
-    rows = docs.select(doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"), _split(docs, text_col).alias("lines"))
-    return rows.select("d", "h", F.posexplode("lines").alias("i", "line")).filter("line <> ''")
+def lines_of(rows: DataFrame) -> DataFrame:
+    """(rid, d, h, i, line): all lines that are not empty, with their place."""
+    return rows.select("rid", "d", "h", F.posexplode("lines").alias("i", "line")).filter("line <> ''")
 
 
 def _keys() -> list[Column]:
@@ -64,22 +71,24 @@ def _halves(line: Column) -> Column:
     return F.array_distinct(F.array(*keys))
 
 
-def distinct_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def distinct_lines(rows: DataFrame) -> DataFrame:
     """(lid, k1, k2, first, halves) of every distinct line, written; ``lid`` is a number in no order."""
-    keyed = lines_of(docs, id_col, text_col).select("d", "h", "i", *_keys(), _halves(F.col("line")).alias("halves"))
-    grouped = keyed.groupBy("k1", "k2").agg(F.min(F.struct("d", "h", "i")).alias("first"), F.first("halves").alias("halves"))
+    keyed = lines_of(rows).select("d", "h", "i", "rid", *_keys(), _halves(F.col("line")).alias("halves"))
+    grouped = keyed.groupBy("k1", "k2").agg(F.min(F.struct("d", "h", "i", "rid")).alias("first"), F.first("halves").alias("halves"))
     return stage(grouped.withColumn("lid", F.monotonically_increasing_id()), "distinct-lines")
 
 
-def candidates(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def candidates(rows: DataFrame, distinct: DataFrame) -> DataFrame:
     """(no, k1, k2, line) of the lines that share a half with another one, numbered in order, written."""
     halves = distinct.select("lid", F.explode("halves").alias("half"))
     shared = stage(halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half"), "shared-halves")
     own = stage(halves.join(shared, "half").select("lid").distinct(), "candidate-lines")
     narrow = distinct.select("lid", "k1", "k2", "first").join(own, "lid").select("k1", "k2", "first")
     numbered = stage(narrow.orderBy("first").select("k1", "k2", "first.*", F.monotonically_increasing_id().alias("no")), "numbered-lines")
-    texts = lines_of(docs, id_col, text_col).join(numbered, ["d", "h", "i"]).select("no", "k1", "k2", "line")
-    found = stage(texts.dropDuplicates(["no"]), "candidate-texts")
+    # As many of a row as it has lines; the rows themselves lie in buckets of their number and are not moved.
+    wanted = numbered.groupBy("rid").agg(F.collect_list(F.struct("no", "k1", "k2", "i")).alias("wanted"))
+    taken = F.transform("wanted", lambda w: F.struct(w["no"].alias("no"), w["k1"].alias("k1"), w["k2"].alias("k2"), F.get("lines", w["i"]).alias("line")))
+    found = stage(rows.select("rid", "lines").join(wanted, "rid").select(F.inline(taken)), "candidate-texts")
     discard(shared, own, numbered)
     return found
 
@@ -170,30 +179,30 @@ def near_lines(texts: DataFrame, part: int = PART) -> DataFrame:
     return near
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = PART) -> DataFrame:
-    """(d, h, i) of the lines that go."""
-    distinct = distinct_lines(docs, id_col, text_col)
-    texts = candidates(docs, distinct, id_col, text_col)
+def dropped_lines(rows: DataFrame, part: int = PART) -> DataFrame:
+    """(rid, i) of the lines that go."""
+    distinct = distinct_lines(rows)
+    texts = candidates(rows, distinct)
     near = near_lines(texts, part)
     marked = stage(
-        distinct.select("k1", "k2", "first").join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left"), "marked-lines"
+        distinct.select("k1", "k2", F.struct("first.d", "first.h", "first.i").alias("first")).join(near.withColumn("near", F.lit(True)), ["k1", "k2"], "left"),
+        "marked-lines",
     )
     discard(distinct, texts, near)
-    every = lines_of(docs, id_col, text_col).select("d", "h", "i", *_keys())
+    every = lines_of(rows).select("rid", "d", "h", "i", *_keys())
     later = F.struct("d", "h", "i") != F.col("first")
-    return every.join(marked, ["k1", "k2"]).filter(later | F.coalesce("near", F.lit(False))).select("d", "h", "i").distinct()
+    return every.join(marked, ["k1", "k2"]).filter(later | F.coalesce("near", F.lit(False))).select("rid", "i")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = PART) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped, text (what stays, by newlines)."""
-    gone = dropped_lines(docs, id_col, text_col, part).groupBy("d", "h").agg(F.collect_list("i").alias("gone"))
-    rows = docs.select(doc_key(docs[id_col]).alias("d"), text_hash(docs[text_col]).alias("h"), _split(docs, text_col).alias("lines"))
+    rows = numbered_rows(docs, id_col, text_col)
+    gone = dropped_lines(rows, part).groupBy("rid").agg(F.collect_list("i").alias("gone"))
     count = F.coalesce(F.size("gone"), F.lit(0))
     # A set difference keeps the order; looking each line up in a list would be quadratic in a document.
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
     text = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
-    joined = rows.join(gone, ["d", "h"], "left")
-    return joined.select(
+    return rows.join(gone, "rid", "left").select(
         id_of(F.col("d")).alias("doc_id"), F.size("lines").cast("bigint").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(count).cast("bigint").alias("n_dropped"), text.alias("text"),
     )
