@@ -6,7 +6,10 @@ blocks, agree in at least ``blocks - radius`` of them, so every choice of that m
 share a key are compared by the number of bits in which they differ.
 
 Data movement: words are counted where their item is read, one row an item crosses the network; then one narrow row
-a key and distinct fingerprint. More blocks mean longer keys, hence fewer rows a key, and more keys.
+a key and distinct fingerprint. More blocks mean longer keys, hence fewer rows a key, and more keys. The rows of a key
+are never broadcast: they are several times what the planner expects of them. A key of more than ``HOT_KEY`` rows is
+compared in several tasks, each with its own share of the earlier rows. A pair that shares several keys is found by the
+first of them, so pairs are distinct where they are made.
 
 Defined results: an item without words, or without a payload, has no fingerprint and is near to nothing.
 """
@@ -19,10 +22,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.scale import SPAN, attach, windowed
+from shelfmark.scale import SPAN, attach, hot_keys, largest_group, null_safe_join, windowed
 
 HALF = 32
 RADIUS = 3
+#: Rows of a key beyond which it is compared in several tasks.
+HOT_KEY = 4096
 SPACE = r"[ \t\n\r]+"
 
 
@@ -53,30 +58,76 @@ def representatives(prints: DataFrame, item: str, print_column: str = "print") -
     return attach(prints, first, [print_column], [item], "inner").select(item, "representative", print_column)
 
 
-def block_keys(print_column: Column, radius: int, blocks: int) -> Column:
-    """One key for every choice of blocks that may agree."""
+def block_masks(blocks: int) -> list[int]:
+    """The bits of every block."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [
-        F.shiftrightunsigned(print_column, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(edges, edges[1:])
-    ]
-    chosen = combinations(range(blocks), blocks - radius)
-    return F.array(*[F.struct(F.lit(k).alias("choice"), F.xxhash64(*[parts[i] for i in own]).alias("value")) for k, own in enumerate(chosen)])
+    return [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:])]
+
 
+def _signed(bits: int) -> Column:
+    return F.lit(bits - (1 << 64) if bits >> 63 else bits).cast("bigint")
 
-def print_pairs(prints: DataFrame, item: str, radius: int = RADIUS, blocks: int | None = None, print_column: str = "print") -> DataFrame:
+
+def block_keys(print_column: Column, radius: int, blocks: int) -> Column:
+    """One key for every choice of blocks that may agree; ``own`` has a bit for each of its blocks, ``upto`` for these and all before."""
+    parts = [print_column.bitwiseAND(_signed(mask)) for mask in block_masks(blocks)]
+    chosen = combinations(range(blocks), blocks - radius)
+    return F.array(*[
+        F.struct(
+            F.lit(k).alias("choice"), F.xxhash64(*[parts[i] for i in own]).alias("value"),
+            F.lit(sum(1 << i for i in own)).cast("bigint").alias("own"), F.lit((2 << max(own)) - 1).cast("bigint").alias("upto"),
+        )
+        for k, own in enumerate(chosen)
+    ])
+
+
+def _firsts(prints: DataFrame, item: str, print_column: str) -> DataFrame:
+    """(_item, _p): the distinct fingerprints and their first items; a null is near to nothing."""
+    first = prints.groupBy(F.col(print_column).alias("_p")).agg(F.min(item).alias("_item"))
+    return first.filter("_p is not null and _item is not null")
+
+
+def _pairs(first: DataFrame, radius: int, blocks: int, hot_rows: int) -> DataFrame:
+    """(a, b, distance), one row for two fingerprints within ``radius``."""
+    keyed = first.select("_item", "_p", F.inline(block_keys(F.col("_p"), radius, blocks)))
+    # At most all keys / hot_rows of them.
+    hot = F.broadcast(hot_keys(keyed, ["choice", "value"], hot_rows))
+    salts = F.coalesce("_salts", F.lit(1))
+    dealt = null_safe_join(keyed, hot, ["choice", "value"], "left")
+    left = dealt.withColumn("_salt", F.pmod(F.xxhash64("_item", "_p"), salts).cast("int")).drop("_salts")
+    right = dealt.select(
+        "choice", "value", F.col("_item").alias("b"), F.col("_p").alias("_q"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")
+    )
+    apart, bits = F.col("_p").bitwiseXOR(F.col("_q")), distance(F.col("_p"), F.col("_q"))
+    alike = reduce(
+        Column.bitwiseOR,
+        [F.when(apart.bitwiseAND(_signed(mask)) == 0, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, mask in enumerate(block_masks(blocks))],
+    )
+    # The first key of a pair: its blocks agree, and none before its last one does besides.
+    first_met = alike.bitwiseAND(F.col("upto")) == F.col("own")
+    met = left.hint("merge").join(right, ["choice", "value", "_salt"]).filter(F.col("_item") < F.col("b"))
+    near = met.filter(bits <= radius).filter(first_met)
+    return near.select(F.col("_item").alias("a"), "b", bits.alias("distance"))
+
+
+def print_pairs(
+    prints: DataFrame, item: str, radius: int = RADIUS, blocks: int | None = None, print_column: str = "print", hot_rows: int = HOT_KEY
+) -> DataFrame:
     """(a, b, distance): representatives within ``radius``, a before b; all items follow from ``representatives``."""
-    first = prints.groupBy(print_column).agg(F.min(item).alias("_item"))
-    keyed = first.select("_item", F.col(print_column).alias("_p"), F.inline(block_keys(F.col(print_column), radius, blocks or radius + 2)))
-    right = keyed.select("choice", "value", F.col("_item").alias("b"), F.col("_p").alias("_q"))
-    met = keyed.join(right, ["choice", "value"]).filter(F.col("_item") < F.col("b"))
-    apart = distance(F.col("_p"), F.col("_q"))
-    return met.select(F.col("_item").alias("a"), "b", apart.alias("distance")).filter(F.col("distance") <= radius).distinct()
+    first = _firsts(prints, item, print_column)
+    pairs = _pairs(first, radius, blocks or radius + 2, hot_rows)
+    # Only items with several fingerprints can make a row twice.
+    return pairs if largest_group(first, ["_item"]) <= 1 else pairs.distinct()
 
 
-def near_copies(prints: DataFrame, item: str, radius: int = RADIUS, blocks: int | None = None, print_column: str = "print") -> DataFrame:
+def near_copies(
+    prints: DataFrame, item: str, radius: int = RADIUS, blocks: int | None = None, print_column: str = "print", hot_rows: int = HOT_KEY
+) -> DataFrame:
     """(item, near): items within ``radius`` of an earlier one, and the earliest of those that stand for others."""
     members = representatives(prints, item, print_column).select(item, "representative")
-    earlier = print_pairs(prints, item, radius, blocks, print_column).groupBy(F.col("b").alias("representative")).agg(F.min("a").alias("_near"))
+    pairs = _pairs(_firsts(prints, item, print_column), radius, blocks or radius + 2, hot_rows)
+    # Combined where the pairs are made: a task sends each representative once.
+    earlier = pairs.groupBy(F.col("b").alias("representative")).agg(F.min("a").alias("_near"))
     joined = attach(members, earlier, ["representative"], [item], "left")
     near = F.coalesce("_near", F.when(F.col(item) != F.col("representative"), F.col("representative")))
     return joined.select(item, near.alias("near")).filter("near is not null")

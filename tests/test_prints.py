@@ -71,3 +71,20 @@ def test_changes_along_a_sequence(spark, span):
         ("a", 1): (0, None, True), ("a", 2): (1, 1, False), ("a", 3): (2, 63, True), ("a", 4): (3, None, False),
         ("a", 5): (4, None, False), ("a", 6): (5, 3, True), ("b", 1): (0, None, True), (None, 1): (0, None, True),
     }
+
+
+def test_keys_are_not_broadcast_and_hot_ones_are_split(spark, tmp_path):
+    """A fingerprint has several keys, so their table is much larger than the planner expects."""
+    values = [0b111 << 20 | i for i in range(64)] + [FULL ^ i for i in range(40)]
+    path = str(tmp_path / "prints")
+    spark.createDataFrame([(i, signed(v)) for i, v in enumerate(values)], "id long, print long").write.parquet(path)
+    found = prints.print_pairs(spark.read.parquet(path), "id", 3, hot_rows=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [choice" in plan
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "choice" in line]
+    assert all("_salts" not in line and "isnull(choice" in line for line in joins), joins  # the hot keys alone
+    wanted = {(a, b, (x ^ y).bit_count()) for a, x in enumerate(values) for b, y in enumerate(values) if a < b and (x ^ y).bit_count() <= 3}
+    got = found.collect()
+    assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
+    near = {b: min(a for a, c, _ in wanted if c == b) for _, b, _ in wanted}
+    assert {r["id"]: r["near"] for r in prints.near_copies(spark.read.parquet(path), "id", 3, hot_rows=5).collect()} == near
