@@ -88,3 +88,8 @@ def test_keys_are_not_broadcast_and_hot_ones_are_split(spark, tmp_path):
     assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
     near = {b: min(a for a, c, _ in wanted if c == b) for _, b, _ in wanted}
     assert {r["id"]: r["near"] for r in prints.near_copies(spark.read.parquet(path), "id", 3, hot_rows=5).collect()} == near
+
+
+def test_an_item_with_several_fingerprints_makes_a_pair_once(spark):
+    frame = spark.createDataFrame([(1, 0), (1, 3), (2, 1), (None, 5), (3, None)], "id long, print long")
+    assert [tuple(r) for r in prints.print_pairs(frame, "id", 3).collect()] == [(1, 2, 1)]
