@@ -264,6 +264,22 @@ def test_the_model_is_a_probability_and_learns():
         scoring.BLOCKS = old
 
 
+def test_the_model_has_its_whole_size_and_looks_back_that_far():
+    """A subword is scored by up to 2 * 16 - 1 before it, over 64 classes and 4096 inputs."""
+    assert (scoring.STEP, scoring.WIDTH, scoring.CLASSES, scoring.INPUTS) == (16, 16, 64, 4096)
+    coder = scoring.subwords(scoring.TOKENIZER)
+    rng = random.Random(8)
+    model = scoring.trained([" ".join(rng.choice("the cat sat on a mat".split()) for _ in range(90)) for _ in range(20)], coder)
+    tables = model.tables()
+    assert tables["s"].shape == (4096, 64) and tables["q"].shape == (4096, 16) and tables["d"].shape[0] == 4096
+    assert np.exp(tables["s"]).sum(axis=1) == pytest.approx(1, abs=1e-3)
+    words = ("the cat sat on a mat " * 8).split()
+    other = [*words[:1], "sat", *words[2:]]
+    far = lambda ws: scoring.score_blocks(tables, *scoring.blocked(*scoring.id_streams(scoring.Piece([" ".join(ws).encode()]), coder), coder.begin)[:3])
+    first, changed = far(words), far(other)
+    assert first[1] != changed[1] and first[2:].tolist() == changed[2:].tolist()
+
+
 def test_the_model_is_learned_from_all_training_rows(spark):
     """Three parts, each of its own words: counts and weights come from all of them, whatever the number of rows."""
     coder = scoring.subwords(scoring.TOKENIZER)
