@@ -253,7 +253,8 @@ def pack_files(spark, sf_dir):
         F.encode("text", "utf-8").alias("payload"),
     )
     write_files(texts, root)
-    found = files.scan_items(spark, root, (".txt",)).select(
+    # By tasks: a scan's plan has every file, at most 32 of them to a task.
+    found = listing.list_items(spark, root, (".txt",)).select(
         F.col("path").alias("image"), "file_name", F.col("folder").try_cast("bigint").alias("album_id"), "bytes", F.col("path").alias("item_id")
     )
     sized = stage(found, "scanned")

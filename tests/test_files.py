@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import random
@@ -286,3 +287,19 @@ def test_config(spark, tmp_path):
     own = config.load_config(str(tmp_path / "c.yaml"))
     assert own["factors"]["a"]["weight"] == 0.5 and own["modifier"]["key_frame_bonus"] == 0.3
     assert [r.tag for r in config.vocabulary_frame(spark, own).orderBy("tag_pos").collect()] == ["x", "y"]
+
+
+def test_packed_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """A scan plans every file on the driver and gives a task few of them; the listing finds the same files."""
+    from shelfmark.plans import relational as plans
+
+    def scanned(*_, **__):
+        raise AssertionError("a scan of all files")
+
+    monkeypatch.setattr(plans.files, "scan_items", scanned)
+    texts = [(i, None if i == 7 else f"text {i} é" * (i % 5), None if i == 3 else f"src{i % 4}", "de", 1) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    found = plans.pack_files(spark, str(tmp_path)).collect()
+    data = {i: t.encode() for i, t, *_ in texts if t is not None}
+    wanted = [(None if i == 3 else i % 4, f"{i:03d}.txt", hashlib.md5(b).hexdigest(), len(b)) for i, b in data.items()]
+    assert sorted(map(tuple, found), key=lambda r: r[1]) == sorted(wanted, key=lambda r: r[1])
