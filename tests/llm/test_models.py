@@ -381,3 +381,15 @@ def test_windows_of_a_bounded_sample(spark):
     assert got.keys() == {(1, 1), (2, 2), (2, 3)} and got[2, 2] == "short"
     parts = got[1, 1].split("\n")
     assert len(parts) == 8 and all(p in text for p in parts) and sum(map(len, parts)) > 950
+
+
+def test_counts_by_class_are_enough_to_learn():
+    coder = scoring.subwords(scoring.TOKENIZER)
+    model = scoring.trained(["the cat sat on a mat " * 20, "a dog ran " * 30], coder)
+    counts = np.zeros(coder.size + 2)
+    counts[: coder.size] = np.arange(coder.size) % 7
+    rng = np.random.default_rng(4)
+    moves = rng.integers(0, 3, (scoring.INPUTS, scoring.OUTPUTS + scoring.CLASSES)).astype(np.float64)
+    whole = scoring.Model(counts, coder.opens, moves)
+    assert scoring.Model(counts, coder.opens, whole.often(moves)).s == pytest.approx(whole.s, abs=1e-6)
+    assert model.s.shape == whole.s.shape
