@@ -13,7 +13,7 @@ import corpora
 import numpy as np
 import pytest
 
-from shelfmark.llm import common, language, scoring, secrets, toxicity
+from shelfmark.llm import common, language, scoring, secrets, tables, toxicity
 
 
 def crc(i, by):
@@ -393,3 +393,48 @@ def test_counts_by_class_are_enough_to_learn():
     whole = scoring.Model(counts, coder.opens, moves)
     assert scoring.Model(counts, coder.opens, whole.often(moves)).s == pytest.approx(whole.s, abs=1e-6)
     assert model.s.shape == whole.s.shape
+
+
+def test_rows_written_for_learning_stay_small(spark):
+    """A piece of a MB is many rows of whole texts, so that no task holds it as one object; its rows share its turn."""
+    coder = scoring.subwords(scoring.TOKENIZER)
+    data = [(i, "apple river stone quartz " * 100) for i in range(500)] + [(500, "violet " * 100_000)]
+    frame = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    pieces = scoring.counted(frame.select("text"), scoring.TOKENIZER)[3].collect()
+    many = sorted(len(r["ids"]) // np.dtype(coder.kind).itemsize for r in pieces)
+    assert len(many) > 6 and many[-2] <= scoring.IDS_A_ROW + 600 and 100_000 <= many[-1] <= 100_001 + scoring.IDS_A_ROW
+    assert len({r["turn"] for r in pieces}) < len(pieces)
+    stream, sizes = scoring.id_streams(scoring.Piece([t.encode() for _, t in data]), coder)
+    assert b"".join(r["ids"] for r in pieces) == stream.astype(coder.kind).tobytes()
+    assert b"".join(r["sizes"] for r in pieces) == sizes.tobytes()
+    for r in pieces:
+        assert np.frombuffer(r["sizes"], np.int64).sum() == len(np.frombuffer(r["ids"], coder.kind))
+
+
+def test_sparse_tables_add_up():
+    rng = np.random.default_rng(5)
+    dense = [rng.integers(0, 2, 60) * rng.integers(0, 9, 60) for _ in range(5)] + [np.zeros(60, np.int64)]
+    place, many = tables.sparse_added(tables.sparse(t) for t in dense).reshape(2, -1)
+    assert (np.diff(place) > 0).all() and np.bincount(place, many, minlength=60).tolist() == tables.added(dense).tolist()
+    assert len(tables.sparse_added([tables.sparse(dense[-1])])) == 0
+
+
+def test_exponentials_with_and_without_the_largest_subtracted(monkeypatch):
+    """Gradients and scores are those of the plain softmax, whether logits are small or beyond every float's exponential."""
+    coder = scoring.subwords(scoring.TOKENIZER)
+    model = scoring.trained(["the cat sat on a mat " * 30, "a dog ran " * 40], coder)
+    piece = scoring.Piece([("the dog sat on a cat " * 200).encode(), b"a mat"])
+    inputs, targets, opens, _ = scoring.blocked(*scoring.id_streams(piece, coder), coder.begin)
+    rows = np.concatenate([model.row[inputs][:1], model.row[inputs]])
+    for times in (1, 300):
+        model.p["c"] = model.p["c"] * np.float32(times)
+        model.p["q"] = model.p["q"] * np.float32(times)
+        found = []
+        for safe, part in ((30.0, 128), (-1.0, 128), (30.0, 7)):
+            monkeypatch.setattr(scoring, "SAFE", safe)
+            monkeypatch.setattr(scoring, "PART", part)
+            g, seen, g_e, loss = model.step(rows, targets, opens)
+            found.append([*(g[k] for k in sorted(g)), seen, g_e, np.array(loss), scoring.score_blocks(model.tables(), inputs, targets, opens)])
+        for other in found[1:]:
+            for a, b in zip(found[0], other):
+                assert np.isfinite(a).all() and b == pytest.approx(a, rel=1e-3, abs=float(1e-4 * (np.abs(a).max() + 1e-9)))
