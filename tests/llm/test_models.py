@@ -438,3 +438,90 @@ def test_exponentials_with_and_without_the_largest_subtracted(monkeypatch):
         for other in found[1:]:
             for a, b in zip(found[0], other):
                 assert np.isfinite(a).all() and b == pytest.approx(a, rel=1e-3, abs=float(1e-4 * (np.abs(a).max() + 1e-9)))
+
+
+def test_written_ids_give_the_texts_back():
+    """Training rows are scored from their ids: the words, their hashes and the texts are those the ids were made of."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["a", "B", "é", "🙂", " ", "\n", "\t", "\x1f", "\x85", "\u3000", "word", "x" * 70]) for _ in range(n)) for n in (0, 40, 300, 0, 7, 0)]
+    coder = scoring.Subwords(scoring.TOKENIZER)
+    piece = scoring.Piece([t.encode() for t in texts])
+    stream, sizes = scoring.id_streams(piece, coder)
+    again = scoring.Piece(coder.texts(stream))
+    assert again.hashes[again.codes].tolist() == piece.hashes[piece.codes].tolist()
+    assert again.doc.tolist() == piece.doc.tolist() and again.sizes.tolist() == piece.sizes.tolist() and len(sizes) == len(texts)
+    assert [again.word(c) for c in again.codes] == [piece.word(c) for c in piece.codes]
+
+
+def test_training_rows_are_split_into_subwords_once(spark):
+    """Only the first pass has their texts; scoring takes the written ids, and their keys come along."""
+    data = [(i, f"apple river stone w{i} " * (i % 5)) for i in range(600)] + [(7, "another text"), (None, "no id")]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    texts = spark.sparkContext.accumulator(0)
+    coded = scoring.id_streams
+
+    def counting(piece, coder):
+        texts.add(len(piece.sizes))
+        return coded(piece, coder)
+
+    scoring.id_streams = counting
+    try:
+        rows = scoring.score_texts(frame).collect()
+    finally:
+        scoring.id_streams = coded
+    assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == sorted(i for i, _ in data if i is not None)
+    assert Counter((*tuple(r)[:5], round(r["base_score"], 6)) for r in rows) == base_scores(data)
+    assert texts.value == len(data)
+
+
+def test_texts_without_words_alone(spark):
+    """Pieces in which no text has a word, in the fold and outside."""
+    rows = scoring.score_texts(spark.createDataFrame([(i, None if i % 2 else " ") for i in range(30)], "doc_id long, text string")).collect()
+    assert len(rows) == 30 and {(r["n_tokens"], r["n_known"], round(r["score"], 6)) for r in rows} == {(1, 1, 0)}
+
+
+@pytest.mark.parametrize("most", [1, 4, 12, 1000])
+def test_as_many_words_as_may_be_are_broadcast(spark, monkeypatch, most):
+    """All words down to the least count that leaves them within the limit, not only those that must be few by arithmetic."""
+    monkeypatch.setattr(scoring, "HEAD_WORDS", most)
+    many = [90, 80, 70, 60, *[5] * 6, *[1] * 20]
+    frame = spark.createDataFrame([*enumerate(many)], "w long, c long")
+    n, v, least = scoring.head_of(frame)
+    assert (n, v) == (sum(many), len(many))
+    assert sum(c >= least for c in many) == {1: 1, 4: 4, 12: 10, 1000: 30}[most]
+    assert scoring.head_of(frame.limit(0)) == (0, 0, 1 << 62)
+
+
+def test_hashes_of_words_take_in_every_byte():
+    rng = random.Random(13)
+    words = {"".join(rng.choice("ab") for _ in range(n)).encode() for n in (*range(1, 30), 63, 64, 65, 66, 128, 5000) for _ in range(40)}
+    words |= {b"a" * n for n in range(1, 140)} | {b"a" * n + b"\x00" for n in range(140)}
+    piece = scoring.Piece([b" ".join(sorted(words))])
+    assert len(piece.hashes) == len(words)
+    again = scoring.Piece([b"b", b" ".join(sorted(words, reverse=True))])
+    assert set(again.hashes.tolist()) == set(piece.hashes.tolist())
+
+
+def test_gradients_are_those_of_the_loss():
+    """By differences, over blocks of which some open a text, some have missing targets, and a batch in parts."""
+    coder = scoring.subwords(scoring.TOKENIZER)
+    model = scoring.trained(["the cat sat on a mat " * 30, "a dog ran " * 40], coder)
+    piece = scoring.Piece([b"the cat sat on a mat " * 30, b"a dog ran"])
+    inputs, targets, opens, _ = scoring.blocked(*scoring.id_streams(piece, coder), coder.begin)
+    rows = np.concatenate([model.row[inputs][:1], model.row[inputs]])
+    g, seen, g_e, _ = model.step(rows, targets, opens)
+    g["e"] = np.zeros_like(model.p["e"])
+    g["e"][seen] = g_e
+    rng = np.random.default_rng(3)
+    for key, x in g.items():
+        way = rng.normal(size=x.shape).astype(np.float32) * np.abs(x).max() / max(float(np.abs(x).max()) * np.sqrt(x.size), 1e-9)
+        old, far = model.p[key], np.float32(0.004)
+        if key == "e":
+            way[np.setdiff1d(np.arange(len(way)), seen)] = 0
+            far = np.float32(0.04)
+        losses = []
+        for side in (1, -1):
+            model.p[key] = old + side * far * way
+            losses.append(model.step(rows, targets, opens)[3])
+        model.p[key] = old
+        assert (losses[0] - losses[1]) / (2 * far) == pytest.approx(float((x * way).sum()), abs=5e-4 + 0.05 * abs(float((x * way).sum()))), key
